@@ -15,6 +15,8 @@ single-partition window:
    bucket's offset.
 
 Approximate bounds only change how balanced the buckets are, never the numbers.
+A table proved (by the same pass) to hold at most ``single_task_rows`` rows is
+numbered by one plain ``row_number`` instead: one job instead of three.
 The input must be deterministic (true for Parquet scans and the expressions in
 this package); ``repartitionByRange`` or ``spark_partition_id`` are not used
 because their bounds are re-sampled in every job.
@@ -41,26 +43,35 @@ def _bucket_expr(v: Column, bounds: list) -> Column:
     return F.when(v.isNull(), F.lit(0)).otherwise(build(0, len(bounds))).cast("int")
 
 
-def _bounds(df: DataFrame, value: Column, n: int, accuracy: int) -> list:
-    """n-1 cut points of ``value``: exact-enough quantiles for numbers, a bounded
-    random sample (about ``SAMPLE_PER_BUCKET`` values per bucket) for text."""
+def _bounds(df: DataFrame, value: Column, n: int, accuracy: int, single_task_rows: int) -> tuple[int, list]:
+    """Row count and n-1 cut points of ``value`` in one pass for numbers
+    (``percentile_approx``); for text, a bounded random sample (about
+    ``SAMPLE_PER_BUCKET`` values per bucket) once the count is known.  A table of
+    at most ``single_task_rows`` rows gets no cut points (one bucket)."""
     probe = df.select(value.alias("v"))
     if isinstance(probe.schema[0].dataType, T.NumericType):
-        row = probe.select(F.percentile_approx("v", [i / n for i in range(1, n)], accuracy).alias("q")).first()
-        qs = row["q"] if row is not None and row["q"] is not None else []
-        return sorted(set(qs))
+        row = probe.agg(
+            F.count(F.lit(1)).alias("n"),
+            F.percentile_approx("v", [i / n for i in range(1, n)], accuracy).alias("q"),
+        ).first()
+        total = row["n"]
+        if total <= single_task_rows:
+            return total, []
+        return total, sorted(set(row["q"] or []))
     total = probe.count()
-    if total == 0:
-        return []
+    if total <= single_task_rows:
+        return total, []
     fraction = min(1.0, SAMPLE_PER_BUCKET * n / total)
     sample = sorted(r["v"] for r in probe.sample(False, fraction, seed=17).dropna().collect())
     if not sample:
-        return []
+        return total, []
     cuts = [sample[min(len(sample) - 1, (i * len(sample)) // n)] for i in range(1, n)]
-    return sorted(set(cuts))
+    return total, sorted(set(cuts))
 
 
 SAMPLE_PER_BUCKET = 100
+# A table this small is numbered in one task: its size is proved by the count.
+SINGLE_TASK_ROWS = 1_000_000
 
 
 def default_buckets(df: DataFrame) -> int:
@@ -74,6 +85,7 @@ def dense_key(
     sort_value: Column | None = None,
     n_buckets: int | None = None,
     accuracy: int = 10000,
+    single_task_rows: int = SINGLE_TASK_ROWS,
 ) -> DataFrame:
     """K2: add ``out_col`` BIGINT numbered 1..N by ``order_by`` (ascending, NULLs first).
 
@@ -85,7 +97,11 @@ def dense_key(
     order_by = list(order_by)
     value = sort_value if sort_value is not None else F.col(order_by[0])
     n = n_buckets or default_buckets(df)
-    bounds = _bounds(df, value, n, accuracy) if n > 1 else []
+    total, bounds = _bounds(df, value, n, accuracy, single_task_rows) if n > 1 else (None, [])
+    if not bounds:
+        # One bucket: a plain row_number (the count above proved the size).
+        w1 = Window.orderBy(*[F.col(c).asc_nulls_first() for c in order_by])
+        return df.withColumn(out_col, F.row_number().over(w1).cast("bigint"))
     bucket = _bucket_expr(value, bounds)
     with_bucket = df.withColumn("_bucket", bucket)
     counts = {

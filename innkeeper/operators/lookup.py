@@ -23,9 +23,11 @@ def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
-def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """``F.broadcast(df)`` if its row count is proved small, else ``df`` unchanged."""
-    return F.broadcast(df) if row_count_at_most(df, max_rows) else df
+def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS, known_rows: int | None = None) -> DataFrame:
+    """``F.broadcast(df)`` if its row count is proved small, else ``df`` unchanged.
+    ``known_rows`` (e.g. observed while the table was written) skips the count job."""
+    small = known_rows <= max_rows if known_rows is not None else row_count_at_most(df, max_rows)
+    return F.broadcast(df) if small else df
 
 
 def lookup_key(
@@ -35,6 +37,7 @@ def lookup_key(
     surrogate_key: str,
     how: str = "inner",
     max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+    dim_rows: int | None = None,
 ) -> DataFrame:
     """Add ``surrogate_key`` by equality on ``natural_key``.
 
@@ -42,7 +45,7 @@ def lookup_key(
     NULL natural keys never match (the dimension holds none).
     """
     side = dim.select(natural_key, surrogate_key)
-    return df.join(checked_broadcast(side, max_broadcast_rows), natural_key, how)
+    return df.join(checked_broadcast(side, max_broadcast_rows, dim_rows), natural_key, how)
 
 
 def keep_matching(

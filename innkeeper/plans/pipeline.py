@@ -109,19 +109,27 @@ def run_warehouse(
     max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
 ) -> tuple[str, list]:
     """M13 / S10 full refresh: dimensions, then facts against the written
-    dimensions, then the post-load checks; publish the version last."""
+    dimensions, then the post-load checks; publish the version last.  Row counts
+    of the written dimensions are observed during their write and decide, with
+    ``max_broadcast_rows``, whether the fact lookups broadcast them."""
     stg = read_staging(spark, staging_path)
     version = files.new_version(out_root)
-    files.write_parquet(W.dim_neighbourhood(stg["neighbourhoods"]), f"{version}/dim_neighbourhood")
+    nb_rows = files.write_parquet_counted(W.dim_neighbourhood(stg["neighbourhoods"]), f"{version}/dim_neighbourhood")
     files.write_parquet(W.dim_date(stg["calendar"], stg["reviews"]), f"{version}/dim_date")
     nb = files.read_parquet(spark, f"{version}/dim_neighbourhood")
-    files.write_parquet(W.dim_listing(stg["listings"], nb, max_broadcast_rows), f"{version}/dim_listing")
+    listing_rows = files.write_parquet_counted(
+        W.dim_listing(stg["listings"], nb, max_broadcast_rows, nb_rows), f"{version}/dim_listing"
+    )
     listing = files.read_parquet(spark, f"{version}/dim_listing")
     files.write_parquet(
-        W.fact_reviews(stg["reviews"], listing, max_broadcast_rows), f"{version}/fact_reviews", FACT_PARTITION
+        W.fact_reviews(stg["reviews"], listing, max_broadcast_rows, listing_rows),
+        f"{version}/fact_reviews",
+        FACT_PARTITION,
     )
     files.write_parquet(
-        W.fact_availability(stg["calendar"], listing, max_broadcast_rows), f"{version}/fact_availability", FACT_PARTITION
+        W.fact_availability(stg["calendar"], listing, max_broadcast_rows, listing_rows),
+        f"{version}/fact_availability",
+        FACT_PARTITION,
     )
     star = read_star(spark, version)
     report = W.constraint_report(star)

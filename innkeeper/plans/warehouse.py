@@ -87,14 +87,17 @@ def dim_date(calendar: DataFrame, reviews: DataFrame) -> DataFrame:
 
 
 def listings_with_neighbourhood_key(
-    stg_listings: DataFrame, dim_nb: DataFrame, max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS
+    stg_listings: DataFrame,
+    dim_nb: DataFrame,
+    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+    dim_rows: int | None = None,
 ) -> DataFrame:
     """M8 steps D2, C4, J3: first row per listing_id, price parsed if still text,
     neighbourhood_key looked up (unmatched -> NULL, row kept)."""
     df = keep_first(stg_listings.select(*LISTING_DIM_SOURCE), ["listing_id"])
     if dict(df.dtypes)["price"] == "string":
         df = df.withColumn("price", C.parse_currency("price"))
-    return lookup_key(df, dim_nb, "neighbourhood", "neighbourhood_key", "left", max_broadcast_rows)
+    return lookup_key(df, dim_nb, "neighbourhood", "neighbourhood_key", "left", max_broadcast_rows, dim_rows)
 
 
 def lookup_misses(listings_keyed: DataFrame, n: int = 5) -> DataFrame:
@@ -108,20 +111,26 @@ def lookup_misses(listings_keyed: DataFrame, n: int = 5) -> DataFrame:
 
 
 def dim_listing(
-    stg_listings: DataFrame, dim_nb: DataFrame, max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS
+    stg_listings: DataFrame,
+    dim_nb: DataFrame,
+    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+    dim_rows: int | None = None,
 ) -> DataFrame:
     """M8: D2, C4, J3, C7, then a dense key in listing_id order."""
-    df = listings_with_neighbourhood_key(stg_listings, dim_nb, max_broadcast_rows)
+    df = listings_with_neighbourhood_key(stg_listings, dim_nb, max_broadcast_rows, dim_rows)
     df = dense_key(df, ["listing_id"], "listing_key")
     return conform(df, schemas.DIM_LISTING)
 
 
 def fact_reviews(
-    clean_reviews: DataFrame, dim_list: DataFrame, max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS
+    clean_reviews: DataFrame,
+    dim_list: DataFrame,
+    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+    dim_rows: int | None = None,
 ) -> DataFrame:
     """M9: J4 (inner lookup), C11, P6 (review_count = 1), K2 in review_id order."""
     df = clean_reviews.select("listing_id", "review_id", "date", "reviewer_id")
-    df = lookup_key(df, dim_list, "listing_id", "listing_key", "inner", max_broadcast_rows)
+    df = lookup_key(df, dim_list, "listing_id", "listing_key", "inner", max_broadcast_rows, dim_rows)
     df = df.select(
         "listing_key",
         required_date_key("date").alias("date_key"),
@@ -135,13 +144,16 @@ def fact_reviews(
 
 
 def fact_availability(
-    clean_calendar: DataFrame, dim_list: DataFrame, max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS
+    clean_calendar: DataFrame,
+    dim_list: DataFrame,
+    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+    dim_rows: int | None = None,
 ) -> DataFrame:
     """D3 (global, one row per listing and date, unavailable first), J5,
     C11, K2 in (listing_key, date_key) order."""
     df = clean_calendar.select("listing_id", "date", "available", "minimum_nights", "maximum_nights")
     df = keep_first(df, ["listing_id", "date"], order_by=["available", "minimum_nights", "maximum_nights"])
-    df = lookup_key(df, dim_list, "listing_id", "listing_key", "inner", max_broadcast_rows)
+    df = lookup_key(df, dim_list, "listing_id", "listing_key", "inner", max_broadcast_rows, dim_rows)
     df = df.select(
         "listing_key",
         required_date_key("date").alias("date_key"),

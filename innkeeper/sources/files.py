@@ -17,10 +17,11 @@ import uuid
 from collections.abc import Iterable
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from innkeeper.sources.standin import as_read_from_csv
+from innkeeper.sources.standin import as_read_from_csv, spread
 
 CSV_OPTIONS = {
     "header": "true",
@@ -39,8 +40,7 @@ def scan_csv(
     """Read CSV (plain or ``.gz``) with every column as STRING."""
     reader = spark.read.options(**CSV_OPTIONS).schema(schema)
     df = reader.csv(path)
-    if partitions:
-        df = df.repartition(partitions)
+    df = df.repartition(partitions) if partitions else spread(df)
     return as_read_from_csv(df)
 
 
@@ -75,6 +75,14 @@ def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = Non
     w.parquet(path)
 
 
+def write_parquet_counted(df: DataFrame, path: str, partition_by: list[str] | None = None) -> int:
+    """``write_parquet`` that also returns the number of rows written, observed
+    during the write itself (no second pass)."""
+    obs = Observation(f"rows:{path}")
+    write_parquet(df.observe(obs, F.count(F.lit(1)).alias("rows")), path, partition_by)
+    return int(obs.get["rows"])
+
+
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     """Parquet scan; projections and filters are pushed into the scan."""
     return spark.read.parquet(path)

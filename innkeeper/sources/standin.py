@@ -28,6 +28,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin an under-split scan over the cluster's task slots.
+
+    A gzip CSV (and a one-row-group Parquet file) is read by a single task; when
+    the scan has fewer partitions than ``defaultParallelism`` the parsing that
+    follows would run on one core.  Large multi-file inputs already have more
+    partitions than slots and are returned unchanged (no extra shuffle)."""
+    try:
+        slots = df.sparkSession.sparkContext.defaultParallelism
+        parts = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD access (Spark Connect): leave as is
+        return df
+    return df.repartition(slots) if parts < slots else df
+
+
 def as_read_from_csv(df: DataFrame) -> DataFrame:
     """S3: what a CSV read yields: missing-value tokens become NULL."""
     return df.select(*[null_tokens(F.col(f"`{c}`")).alias(c) for c in df.columns])
@@ -92,7 +107,7 @@ def raw_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
         _s("1 + c_custkey % 4").alias("calculated_host_listings_count"),
         F.col("c_name").alias("name"),
     )
-    return as_read_from_csv(out)
+    return as_read_from_csv(spread(out))
 
 
 def raw_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -105,7 +120,7 @@ def raw_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit(" "), "o_orderpriority", F.lit(" ")).alias("reviewer_name"),
         F.expr("concat('Stay ', lower(o_orderstatus), ', \"', o_orderpriority, '\"')").alias("comments"),
     )
-    return as_read_from_csv(out)
+    return as_read_from_csv(spread(out))
 
 
 def raw_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -117,7 +132,7 @@ def raw_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
         _s("1 + user_id % 7").alias("minimum_nights"),
         _s("3 + user_id % 30").alias("maximum_nights"),
     )
-    return as_read_from_csv(out)
+    return as_read_from_csv(spread(out))
 
 
 def raw_neighbourhoods(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -133,7 +148,7 @@ def raw_neighbourhoods(spark: SparkSession, sf_dir: str) -> DataFrame:
         .alias(" neighbourhood_group"),
         F.concat(F.lit(" "), "n_name").alias("Neighbourhood "),
     )
-    return as_read_from_csv(out)
+    return as_read_from_csv(spread(out))
 
 
 def raw_extracts(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
