@@ -23,9 +23,10 @@ NA_TOKENS = [
 # surrounding whitespace) and the infinities.
 NUMBER_PATTERN = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 INFINITY_PATTERN = r"^\s*[+-]?(?i:inf|infinity)\s*$"
-INTEGER_PATTERN = r"^\s*[+-]?\d+\s*$"
-# Leading/trailing Unicode whitespace (``F.trim`` only removes spaces).
-EDGE_WHITESPACE = r"(?U)^\s+|\s+$"
+# Whitespace a text strip removes: every character Python's ``str.isspace`` accepts
+# (29 code points: ASCII controls 9-13 and 28-31, space, NEL, no-break spaces,
+# the Unicode space separators).  ``F.trim`` alone only removes spaces.
+WHITESPACE = "".join(chr(i) for i in range(0x110000) if chr(i).isspace())
 
 
 def _c(c: ColumnOrName) -> Column:
@@ -34,7 +35,7 @@ def _c(c: ColumnOrName) -> Column:
 
 def strip_text(c: ColumnOrName) -> Column:
     """Remove leading and trailing whitespace of any kind (tabs, newlines, Unicode)."""
-    return F.regexp_replace(_c(c), EDGE_WHITESPACE, "")
+    return F.btrim(_c(c), F.lit(WHITESPACE))
 
 
 def null_tokens(c: ColumnOrName, tokens: list[str] | None = None) -> Column:
@@ -50,13 +51,13 @@ def clean_text(c: ColumnOrName) -> Column:
 
 def strict_bigint(c: ColumnOrName, name: str = "id") -> Column:
     """Integer text to BIGINT; NULL stays NULL, anything else that is not an
-    integer raises (as a strict nullable-integer cast does)."""
+    integer in range (``12.5``, ``1e3``, ``abc``, overflow) raises, as a strict
+    nullable-integer cast does."""
     c = _c(c)
     text = c.cast("string")
-    return F.when(c.isNull(), F.lit(None).cast("bigint")).otherwise(
-        F.when(text.rlike(INTEGER_PATTERN), text.try_cast("bigint")).otherwise(
-            F.raise_error(F.concat(F.lit(f"not an integer in {name}: "), text))
-        )
+    parsed = text.try_cast("bigint")
+    return F.when(c.isNull() | parsed.isNotNull(), parsed).otherwise(
+        F.raise_error(F.concat(F.lit(f"not an integer in {name}: "), text))
     ).cast("bigint")
 
 

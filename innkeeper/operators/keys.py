@@ -30,6 +30,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from innkeeper.session import ensure_checkpoint_dir
+
 
 def _bucket_expr(v: Column, bounds: list) -> Column:
     """Index of the first bound greater than ``v`` (0..len(bounds)), by bisection."""
@@ -86,15 +88,23 @@ def dense_key(
     n_buckets: int | None = None,
     accuracy: int = 10000,
     single_task_rows: int = SINGLE_TASK_ROWS,
+    checkpoint: bool = False,
 ) -> DataFrame:
     """K2: add ``out_col`` BIGINT numbered 1..N by ``order_by`` (ascending, NULLs first).
 
+    ``checkpoint=True`` first writes ``df`` to the shared checkpoint folder, so an
+    expensive input (a dedup and a join, say) is computed once instead of once
+    per pass; use it when ``df`` is not a plain scan.
+
     ``sort_value`` is a numeric expression that is non-decreasing in ``order_by``
     and, ideally, close to unique (default: the first order column); it decides the
     buckets, so a single hot value of it would make one large bucket.  For a
     composite key pass a packed number, e.g. ``listing_key * 10**8 + date_key``.
     """
     order_by = list(order_by)
+    if checkpoint:
+        ensure_checkpoint_dir(df.sparkSession)
+        df = df.checkpoint(eager=True)
     value = sort_value if sort_value is not None else F.col(order_by[0])
     n = n_buckets or default_buckets(df)
     total, bounds = _bounds(df, value, n, accuracy, single_task_rows) if n > 1 else (None, [])

@@ -24,15 +24,30 @@ from innkeeper.operators.lookup import DEFAULT_BROADCAST_ROWS, checked_broadcast
 from innkeeper.plans.warehouse import Star
 
 
-def _month_dates(star: Star, year: int, month: int) -> DataFrame:
-    return star.dim_date.filter((F.col("year") == year) & (F.col("month") == month)).select("date_key")
+def _date_keys(star: Star, predicate, k0: int, k1: int, max_broadcast_rows: int) -> DataFrame:
+    """Distinct DimDate keys matching ``predicate``.  ``k0..k1`` bounds date_key
+    (implied by the predicate: date_key is yyyyMMdd of full_date), so the result
+    has at most ``k1 - k0 + 1`` rows: a proof of size that needs no count job."""
+    keys = (
+        star.dim_date.filter(predicate & F.col("date_key").between(k0, k1)).select("date_key").distinct()
+    )
+    if k1 - k0 + 1 <= max_broadcast_rows:
+        return F.broadcast(keys)
+    return checked_broadcast(keys, max_broadcast_rows)
+
 
+def _month_dates(star: Star, year: int, month: int, max_broadcast_rows: int) -> DataFrame:
+    base = (year * 100 + month) * 100
+    predicate = (F.col("year") == year) & (F.col("month") == month)
+    return _date_keys(star, predicate, base + 1, base + 31, max_broadcast_rows)
 
-def _available_days(fact: DataFrame, dates: DataFrame, max_broadcast_rows: int) -> DataFrame:
-    """``SUM(CAST(available AS INT))`` per listing_key over available rows on ``dates``."""
+
+def _available_days(fact: DataFrame, dates: DataFrame) -> DataFrame:
+    """``SUM(CAST(available AS INT))`` per listing_key over available rows on ``dates``
+    (``dates`` is already a size-checked broadcast)."""
     return (
         fact.filter(F.col("available"))
-        .join(checked_broadcast(dates, max_broadcast_rows), "date_key", "left_semi")
+        .join(dates, "date_key", "left_semi")
         .groupBy("listing_key")
         .agg(F.sum(C.flag_to_bit("available")).cast("bigint").alias("days_available"))
     )
@@ -44,7 +59,7 @@ def cheapest_most_available(
     """Q1: listing(s) with the most available days in a month, cheapest first."""
     ym = year * 100 + month
     fact = star.fact_availability.filter(F.col("month_key") == ym)
-    days = _available_days(fact, _month_dates(star, year, month), max_broadcast_rows)
+    days = _available_days(fact, _month_dates(star, year, month, max_broadcast_rows))
     listing = star.dim_listing.select("listing_key", "listing_id", "price")
     return (
         days.join(listing, "listing_key")
@@ -61,7 +76,7 @@ def most_reviewed(
     ym = year * 100 + month
     counts = (
         star.fact_reviews.filter(F.col("month_key") == ym)
-        .join(checked_broadcast(_month_dates(star, year, month), max_broadcast_rows), "date_key", "left_semi")
+        .join(_month_dates(star, year, month, max_broadcast_rows), "date_key", "left_semi")
         .groupBy("listing_key")
         .agg(F.count("review_id").cast("bigint").alias("total_reviews"))
     )
@@ -88,7 +103,7 @@ def priciest_neighbourhoods(star: Star, n: int = 1, max_broadcast_rows: int = DE
 def _recommend(
     star: Star, fact: DataFrame, dates: DataFrame, guests: int, keep_days, n: int, max_broadcast_rows: int
 ) -> DataFrame:
-    days = _available_days(fact, dates, max_broadcast_rows).filter(keep_days(F.col("days_available")))
+    days = _available_days(fact, dates).filter(keep_days(F.col("days_available")))
     listing = star.dim_listing.filter(F.col("accommodates") >= guests).select(
         "listing_key", "listing_id", "neighbourhood_key", "accommodates", "price"
     )
@@ -114,9 +129,8 @@ def recommend_month(
     """Q4: cheapest listings for ``guests`` people with at least ``min_days``
     available days (not necessarily consecutive) in the month."""
     fact = star.fact_availability.filter(F.col("month_key") == year * 100 + month)
-    return _recommend(
-        star, fact, _month_dates(star, year, month), guests, lambda d: d >= min_days, n, max_broadcast_rows
-    )
+    dates = _month_dates(star, year, month, max_broadcast_rows)
+    return _recommend(star, fact, dates, guests, lambda d: d >= min_days, n, max_broadcast_rows)
 
 
 def recommend_range(
@@ -137,7 +151,7 @@ def recommend_range(
     fact = star.fact_availability.filter(
         F.col("month_key").between(k0 // 100, k1 // 100) & F.col("date_key").between(k0, k1)
     )
-    dates = star.dim_date.filter(F.col("full_date").between(F.lit(start_d), F.lit(end_d))).select("date_key")
+    dates = _date_keys(star, F.col("full_date").between(F.lit(start_d), F.lit(end_d)), k0, k1, max_broadcast_rows)
     return _recommend(star, fact, dates, guests, lambda d: d == n_days, n, max_broadcast_rows)
 
 

@@ -118,16 +118,16 @@ def run_warehouse(
     files.write_parquet(W.dim_date(stg["calendar"], stg["reviews"]), f"{version}/dim_date")
     nb = files.read_parquet(spark, f"{version}/dim_neighbourhood")
     listing_rows = files.write_parquet_counted(
-        W.dim_listing(stg["listings"], nb, max_broadcast_rows, nb_rows), f"{version}/dim_listing"
+        W.dim_listing(stg["listings"], nb, max_broadcast_rows, nb_rows, checkpoint=True), f"{version}/dim_listing"
     )
     listing = files.read_parquet(spark, f"{version}/dim_listing")
     files.write_parquet(
-        W.fact_reviews(stg["reviews"], listing, max_broadcast_rows, listing_rows),
+        W.fact_reviews(stg["reviews"], listing, max_broadcast_rows, listing_rows, checkpoint=True),
         f"{version}/fact_reviews",
         FACT_PARTITION,
     )
     files.write_parquet(
-        W.fact_availability(stg["calendar"], listing, max_broadcast_rows, listing_rows),
+        W.fact_availability(stg["calendar"], listing, max_broadcast_rows, listing_rows, checkpoint=True),
         f"{version}/fact_availability",
         FACT_PARTITION,
     )

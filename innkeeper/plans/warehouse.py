@@ -4,7 +4,9 @@ Layout decisions for scale:
 
 * dimensions are joined to facts through ``lookup_key``: broadcast only when the
   row count is proved small, otherwise a shuffle join with AQE skew splitting;
-* fact surrogate keys use ``dense_key`` (no single-partition window);
+* fact surrogate keys use ``dense_key`` (no single-partition window); the
+  pipeline passes ``checkpoint=True`` so the dedup/join under a key is computed
+  once, not once per numbering pass;
 * both facts carry ``month_key`` (yyyyMM) and are written ``partitionBy``
   month_key, so month/range questions prune partitions;
 * the calendar is deduplicated on its natural key with a map-side-combining
@@ -115,10 +117,11 @@ def dim_listing(
     dim_nb: DataFrame,
     max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
     dim_rows: int | None = None,
+    checkpoint: bool = False,
 ) -> DataFrame:
     """M8: D2, C4, J3, C7, then a dense key in listing_id order."""
     df = listings_with_neighbourhood_key(stg_listings, dim_nb, max_broadcast_rows, dim_rows)
-    df = dense_key(df, ["listing_id"], "listing_key")
+    df = dense_key(df, ["listing_id"], "listing_key", checkpoint=checkpoint)
     return conform(df, schemas.DIM_LISTING)
 
 
@@ -127,6 +130,7 @@ def fact_reviews(
     dim_list: DataFrame,
     max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
     dim_rows: int | None = None,
+    checkpoint: bool = False,
 ) -> DataFrame:
     """M9: J4 (inner lookup), C11, P6 (review_count = 1), K2 in review_id order."""
     df = clean_reviews.select("listing_id", "review_id", "date", "reviewer_id")
@@ -139,7 +143,7 @@ def fact_reviews(
         F.lit(1).cast("int").alias("review_count"),
         C.month_key("date").alias("month_key"),
     )
-    df = dense_key(df, ["review_id", "listing_key", "date_key", "reviewer_id"], "review_key")
+    df = dense_key(df, ["review_id", "listing_key", "date_key", "reviewer_id"], "review_key", checkpoint=checkpoint)
     return conform(df, schemas.FACT_REVIEWS)
 
 
@@ -148,6 +152,7 @@ def fact_availability(
     dim_list: DataFrame,
     max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
     dim_rows: int | None = None,
+    checkpoint: bool = False,
 ) -> DataFrame:
     """D3 (global, one row per listing and date, unavailable first), J5,
     C11, K2 in (listing_key, date_key) order."""
@@ -163,7 +168,7 @@ def fact_availability(
         C.month_key("date").alias("month_key"),
     )
     pair = F.col("listing_key").cast("bigint") * _PAIR_BASE + F.col("date_key")
-    df = dense_key(df, ["listing_key", "date_key"], "availability_key", sort_value=pair)
+    df = dense_key(df, ["listing_key", "date_key"], "availability_key", sort_value=pair, checkpoint=checkpoint)
     return conform(df, schemas.FACT_AVAILABILITY)
 
 

@@ -31,12 +31,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     unset and the session is local (tests).  On a cluster an unset value is an
     error: a machine-local folder is not visible to other executors."""
     current = spark.conf.get("spark.checkpoint.dir", None)
-    if current:
-        return current
     try:
         sc = spark.sparkContext
     except Exception:  # noqa: BLE001 - Spark Connect has no SparkContext
         sc = None
+    if current:
+        if sc is not None and not sc.getCheckpointDir():
+            sc.setCheckpointDir(current)
+        return current
     if sc is not None and sc.getCheckpointDir():
         return sc.getCheckpointDir()
     master = spark.conf.get("spark.master", "")
