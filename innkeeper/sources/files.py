@@ -35,10 +35,18 @@ CSV_OPTIONS = {
 
 
 def scan_csv(
-    spark: SparkSession, path: str | list[str], schema: T.StructType, partitions: int | None = None
+    spark: SparkSession,
+    path: str | list[str],
+    schema: T.StructType,
+    partitions: int | None = None,
+    multiline: bool = True,
 ) -> DataFrame:
-    """Read CSV (plain or ``.gz``) with every column as STRING."""
-    reader = spark.read.options(**CSV_OPTIONS).schema(schema)
+    """Read CSV (plain or ``.gz``) with every column as STRING.
+
+    ``multiline=True`` is needed when quoted fields hold newlines (listings,
+    reviews) and makes every file one task; an extract without free text
+    (calendar) can pass ``False`` so that uncompressed or bzip2 files split."""
+    reader = spark.read.options(**CSV_OPTIONS).option("multiLine", str(multiline).lower()).schema(schema)
     df = reader.csv(path)
     df = df.repartition(partitions) if partitions else spread(df)
     return as_read_from_csv(df)

@@ -69,3 +69,21 @@ def test_lenient_parsers_keep_rows(spark):
     row = S.stage_calendar(df).first()
     assert row["date"] is None and row["minimum_nights"] is None and row["maximum_nights"] == 3
     assert F  # keep import
+
+
+def test_plain_csv_without_multiline(spark):
+    path = session.scratch_path(spark, "test-csv-plain")
+    r = raw(spark)
+    files.write_csv(r["calendar"], path, compression="none")
+    back = files.scan_csv(spark, path, schemas.RAW_CALENDAR, multiline=False)
+    assert back.count() == r["calendar"].count()
+    assert sorted(tuple(x) for x in back.collect()) == sorted(tuple(x) for x in r["calendar"].collect())
+
+
+def test_union_all_keeps_duplicates(spark):
+    from innkeeper.operators.lookup import union_all, union_distinct
+
+    a = spark.createDataFrame([(1,), (2,)], "d int")
+    b = spark.createDataFrame([(2,), (3,)], "d int")
+    assert union_all(a, b).count() == 4
+    assert union_distinct(a, b).count() == 3
