@@ -6,9 +6,9 @@ single-partition window:
 1. cut points of the sort column (``percentile_approx`` for numbers, a bounded
    sample for text; reads only that column) are collected once and become
    literals;
-2. a bucket column is computed from those literals (a binary search written as
-   nested ``CASE``), so it is deterministic in every later job and on every
-   retry;
+2. a bucket column is computed from those literals (``Bucketizer``, a JVM
+   binary search over the splits, for numbers; a nested ``CASE`` for text), so
+   it is deterministic in every later job and on every retry;
 3. rows per bucket are counted (reads only the key columns) and turned into
    offsets on the driver (one number per bucket);
 4. ``row_number()`` over ``partitionBy(bucket).orderBy(order...)`` plus the
@@ -26,6 +26,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -33,6 +34,22 @@ from pyspark.sql import types as T
 from innkeeper.session import ensure_checkpoint_dir
 
 
+def _with_bucket(df: DataFrame, value: Column, bounds: list, numeric: bool) -> tuple[DataFrame, int]:
+    """``df`` plus ``_bucket`` (0-based, non-decreasing in ``value``, NULL first)
+    and the number of buckets."""
+    if not numeric:
+        return df.withColumn("_bucket", _bucket_expr(value, bounds)), len(bounds) + 1
+    # Doubles keep the order of any number (rounding is monotone); equal
+    # roundings just share a bucket.  NULL -> -inf (first), NaN -> extra last bucket.
+    cuts = sorted({float(b) for b in bounds} - {float("inf"), float("-inf")})
+    cuts = [c for c in cuts if c == c]
+    splits = [float("-inf")] + cuts + [float("inf")]
+    v = F.coalesce(value.cast("double"), F.lit(float("-inf")))
+    bucketizer = Bucketizer(splits=splits, inputCol="_v", outputCol="_b", handleInvalid="keep")
+    out = bucketizer.transform(df.withColumn("_v", v))
+    return out.withColumn("_bucket", F.col("_b").cast("int")).drop("_v", "_b"), len(splits)
+
+
 def _bucket_expr(v: Column, bounds: list) -> Column:
     """Index of the first bound greater than ``v`` (0..len(bounds)), by bisection."""
 
@@ -51,7 +68,7 @@ def _bounds(df: DataFrame, value: Column, n: int, accuracy: int, single_task_row
     ``SAMPLE_PER_BUCKET`` values per bucket) once the count is known.  A table of
     at most ``single_task_rows`` rows gets no cut points (one bucket)."""
     probe = df.select(value.alias("v"))
-    if isinstance(probe.schema[0].dataType, T.NumericType):
+    if _is_numeric(df, value):
         row = probe.agg(
             F.count(F.lit(1)).alias("n"),
             F.percentile_approx("v", [i / n for i in range(1, n)], accuracy).alias("q"),
@@ -71,7 +88,13 @@ def _bounds(df: DataFrame, value: Column, n: int, accuracy: int, single_task_row
     return total, sorted(set(cuts))
 
 
+def _is_numeric(df: DataFrame, value: Column) -> bool:
+    return isinstance(df.select(value).schema[0].dataType, T.NumericType)
+
+
 SAMPLE_PER_BUCKET = 100
+# Cut points for text keys become a nested CASE; keep its generated code small.
+MAX_TEXT_BUCKETS = 256
 # A table this small is numbered in one task: its size is proved by the count.
 SINGLE_TASK_ROWS = 1_000_000
 
@@ -106,20 +129,22 @@ def dense_key(
         ensure_checkpoint_dir(df.sparkSession)
         df = df.checkpoint(eager=True)
     value = sort_value if sort_value is not None else F.col(order_by[0])
+    numeric = _is_numeric(df, value)
     n = n_buckets or default_buckets(df)
+    if not numeric:
+        n = min(n, MAX_TEXT_BUCKETS)
     total, bounds = _bounds(df, value, n, accuracy, single_task_rows) if n > 1 else (None, [])
     if not bounds:
         # One bucket: a plain row_number (the count above proved the size).
         w1 = Window.orderBy(*[F.col(c).asc_nulls_first() for c in order_by])
         return df.withColumn(out_col, F.row_number().over(w1).cast("bigint"))
-    bucket = _bucket_expr(value, bounds)
-    with_bucket = df.withColumn("_bucket", bucket)
+    with_bucket, n_found = _with_bucket(df, value, bounds, numeric)
     counts = {
         r["_bucket"]: r["n"]
         for r in with_bucket.groupBy("_bucket").agg(F.count(F.lit(1)).alias("n")).collect()
     }
     offsets, running = [], 0
-    for b in range(len(bounds) + 1):
+    for b in range(n_found):
         offsets.append(running)
         running += counts.get(b, 0)
     offset = F.element_at(F.array(*[F.lit(o).cast("bigint") for o in offsets]), F.col("_bucket") + 1)
