@@ -69,20 +69,21 @@ def run_staging(
             S.stage_reviews(raw["reviews"], date_format),
             S.stage_calendar(raw["calendar"], date_format),
         ).collect()
-    cleaned = S.clean(
-        S.stage_listings(raw["listings"], date_format),
+    version = files.new_version(out_root)
+    # Listings first: the written table (with its observed row count) is the
+    # id side of both orphan joins, so the listing chain runs once.
+    kept = S.nights_in_range(S.stage_listings(raw["listings"], date_format))
+    kept_rows = files.write_parquet_counted(kept, f"{version}/listings")
+    kept = files.read_parquet(spark, f"{version}/listings")
+    cleaned = S.drop_orphans(
+        kept,
         S.stage_reviews(raw["reviews"], date_format),
         S.stage_calendar(raw["calendar"], date_format),
+        kept_rows,
     )
-    version = files.new_version(out_root)
-    tables = {
-        "listings": cleaned.listings,
-        "reviews": cleaned.reviews,
-        "neighbourhoods": S.stage_neighbourhoods(raw["neighbourhoods"]),
-        "calendar": cleaned.calendar,
-    }
-    for name, df in tables.items():
-        files.write_parquet(df, f"{version}/{name}")
+    files.write_parquet(cleaned["reviews"], f"{version}/reviews")
+    files.write_parquet(S.stage_neighbourhoods(raw["neighbourhoods"]), f"{version}/neighbourhoods")
+    files.write_parquet(cleaned["calendar"], f"{version}/calendar")
     staged = read_staging(spark, version)
     report = staging_report(staged["listings"], staged["reviews"], staged["neighbourhoods"], staged["calendar"])
     rows = Q.enforce(report) if enforce else report.collect()

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from innkeeper import schemas
 from innkeeper.functions import columns as C
 from innkeeper.operators.dedup import drop_exact_duplicates
-from innkeeper.operators.lookup import keep_matching
+from innkeeper.operators.lookup import checked_broadcast
 
 LISTING_RENAMES = {
     "id": "listing_id",
@@ -116,12 +116,19 @@ def nights_in_range(listings: DataFrame) -> DataFrame:
 def clean(listings: DataFrame, reviews: DataFrame, calendar: DataFrame) -> Cleaned:
     """M5: F1 on listings, then keep reviews/calendar rows of kept listings."""
     kept = nights_in_range(listings)
-    valid_ids = kept.select("listing_id").dropna()
-    return Cleaned(
-        listings=kept,
-        reviews=keep_matching(reviews, valid_ids, "listing_id"),
-        calendar=keep_matching(calendar, valid_ids, "listing_id"),
-    )
+    return Cleaned(listings=kept, **drop_orphans(kept, reviews, calendar))
+
+
+def drop_orphans(
+    kept_listings: DataFrame, reviews: DataFrame, calendar: DataFrame, kept_rows: int | None = None
+) -> dict[str, DataFrame]:
+    """Reviews and calendar rows whose listing_id is a kept listing.  The
+    id side is size-checked once (or ``kept_rows`` proves it) for both joins."""
+    ids = checked_broadcast(kept_listings.select("listing_id").dropna(), known_rows=kept_rows)
+    return {
+        "reviews": reviews.join(ids, "listing_id", "left_semi"),
+        "calendar": calendar.join(ids, "listing_id", "left_semi"),
+    }
 
 
 def cleaning_metrics(listings: DataFrame, reviews: DataFrame, calendar: DataFrame) -> DataFrame:
