@@ -38,10 +38,19 @@ def strip_text(c: ColumnOrName) -> Column:
     return F.btrim(_c(c), F.lit(WHITESPACE))
 
 
+def _sql_text_array(values: list[str]) -> str:
+    return "array(" + ", ".join("'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'" for v in values) + ")"
+
+
+NA_ARRAY_SQL = _sql_text_array(NA_TOKENS)
+
+
 def null_tokens(c: ColumnOrName, tokens: list[str] | None = None) -> Column:
-    """Missing-value tokens (and blank text) become NULL."""
+    """Missing-value tokens (and blank text) become NULL.  The token list is
+    one array literal (one expression, not one literal per token)."""
     c = _c(c)
-    return F.when(~c.isin(tokens if tokens is not None else NA_TOKENS), c)
+    arr = F.expr(NA_ARRAY_SQL if tokens is None else _sql_text_array(tokens))
+    return F.when(~F.array_contains(arr, c), c)
 
 
 def clean_text(c: ColumnOrName) -> Column:

@@ -13,6 +13,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from innkeeper import schemas
 from innkeeper.operators import quality as Q
 from innkeeper.operators.lookup import DEFAULT_BROADCAST_ROWS, missing_parent_ids
 from innkeeper.plans import staging as S
@@ -74,7 +75,7 @@ def run_staging(
     # id side of both orphan joins, so the listing chain runs once.
     kept = S.nights_in_range(S.stage_listings(raw["listings"], date_format))
     kept_rows = files.write_parquet_counted(kept, f"{version}/listings")
-    kept = files.read_parquet(spark, f"{version}/listings")
+    kept = files.read_parquet(spark, f"{version}/listings", schemas.STG_LISTINGS)
     cleaned = S.drop_orphans(
         kept,
         S.stage_reviews(raw["reviews"], date_format),
@@ -91,15 +92,21 @@ def run_staging(
     return StagingResult(version, rows, metrics)
 
 
+STAGING_SCHEMAS = {
+    "listings": schemas.STG_LISTINGS,
+    "reviews": schemas.STG_REVIEWS,
+    "neighbourhoods": schemas.STG_NEIGHBOURHOODS,
+    "calendar": schemas.STG_CALENDAR,
+}
+
+
 def read_staging(spark: SparkSession, path: str) -> dict[str, DataFrame]:
-    """S5 (S11 first: every input must exist)."""
-    paths = {t: f"{path}/{t}" for t in STAGING_TABLES}
-    files.require_inputs(spark, paths.values())
-    return {t: files.read_parquet(spark, p) for t, p in paths.items()}
+    """S5 with S11: all four staging tables, or one error naming the missing ones."""
+    return files.read_tables(spark, path, STAGING_SCHEMAS)
 
 
 def read_star(spark: SparkSession, path: str) -> W.Star:
-    return W.Star(**{t: files.read_parquet(spark, f"{path}/{t}") for t in W.Star.__dataclass_fields__})
+    return W.Star(**files.read_tables(spark, path, dict(schemas.WAREHOUSE)))
 
 
 def run_warehouse(
@@ -117,11 +124,11 @@ def run_warehouse(
     version = files.new_version(out_root)
     nb_rows = files.write_parquet_counted(W.dim_neighbourhood(stg["neighbourhoods"]), f"{version}/dim_neighbourhood")
     files.write_parquet(W.dim_date(stg["calendar"], stg["reviews"]), f"{version}/dim_date")
-    nb = files.read_parquet(spark, f"{version}/dim_neighbourhood")
+    nb = files.read_parquet(spark, f"{version}/dim_neighbourhood", schemas.DIM_NEIGHBOURHOOD)
     listing_rows = files.write_parquet_counted(
         W.dim_listing(stg["listings"], nb, max_broadcast_rows, nb_rows, checkpoint=True), f"{version}/dim_listing"
     )
-    listing = files.read_parquet(spark, f"{version}/dim_listing")
+    listing = files.read_parquet(spark, f"{version}/dim_listing", schemas.DIM_LISTING)
     files.write_parquet(
         W.fact_reviews(stg["reviews"], listing, max_broadcast_rows, listing_rows, checkpoint=True),
         f"{version}/fact_reviews",

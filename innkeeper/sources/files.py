@@ -91,9 +91,28 @@ def write_parquet_counted(df: DataFrame, path: str, partition_by: list[str] | No
     return int(obs.get["rows"])
 
 
-def read_parquet(spark: SparkSession, path: str) -> DataFrame:
-    """Parquet scan; projections and filters are pushed into the scan."""
-    return spark.read.parquet(path)
+def read_parquet(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """Parquet scan; projections and filters are pushed into the scan.
+    A known ``schema`` skips reading file footers to infer one."""
+    reader = spark.read.schema(schema) if schema is not None else spark.read
+    return reader.parquet(path)
+
+
+def read_tables(
+    spark: SparkSession, root: str, schemas: dict[str, T.StructType | None]
+) -> dict[str, DataFrame]:
+    """S11 + S5: open every ``root/<name>``; if any is missing, raise one
+    ``FileNotFoundError`` naming all of them, before anything is written."""
+    out, missing = {}, []
+    for name, schema in schemas.items():
+        path = f"{root.rstrip('/')}/{name}"
+        try:
+            out[name] = read_parquet(spark, path, schema)
+        except AnalysisException:
+            missing.append(path)
+    if missing:
+        raise FileNotFoundError(f"required input not found: {', '.join(missing)}")
+    return out
 
 
 def row_count(df: DataFrame) -> int:
@@ -107,9 +126,8 @@ def new_version(root: str) -> str:
 
 def publish_version(spark: SparkSession, root: str, version_dir: str) -> None:
     """Point ``<root>/_current`` at a fully written version directory."""
-    spark.createDataFrame([(version_dir,)], "path string").coalesce(1).write.mode("overwrite").text(
-        f"{root.rstrip('/')}/_current"
-    )
+    pointer = spark.range(1).select(F.lit(version_dir).alias("path"))
+    pointer.write.mode("overwrite").text(f"{root.rstrip('/')}/_current")
 
 
 def current_version(spark: SparkSession, root: str) -> str:

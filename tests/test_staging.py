@@ -87,3 +87,9 @@ def test_union_all_keeps_duplicates(spark):
     b = spark.createDataFrame([(2,), (3,)], "d int")
     assert union_all(a, b).count() == 4
     assert union_distinct(a, b).count() == 3
+
+
+def test_read_tables_names_every_missing_input(spark):
+    with pytest.raises(FileNotFoundError) as err:
+        files.read_tables(spark, "/nonexistent/innkeeper", {"a": None, "b": schemas.STG_REVIEWS})
+    assert "/nonexistent/innkeeper/a" in str(err.value) and "/nonexistent/innkeeper/b" in str(err.value)
