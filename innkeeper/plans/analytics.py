@@ -36,6 +36,12 @@ def _date_keys(star: Star, predicate, k0: int, k1: int, max_broadcast_rows: int)
     return checked_broadcast(keys, max_broadcast_rows)
 
 
+def _dim_neighbourhood(star: Star, max_broadcast_rows: int) -> DataFrame:
+    rows = star.rows("dim_neighbourhood") if hasattr(star, "rows") else None
+    side = star.dim_neighbourhood.select("neighbourhood_key", "neighbourhood")
+    return checked_broadcast(side, max_broadcast_rows, rows)
+
+
 def _month_dates(star: Star, year: int, month: int, max_broadcast_rows: int) -> DataFrame:
     base = (year * 100 + month) * 100
     predicate = (F.col("year") == year) & (F.col("month") == month)
@@ -94,7 +100,7 @@ def priciest_neighbourhoods(star: Star, n: int = 1, max_broadcast_rows: int = DE
     avg = (
         star.dim_listing.groupBy("neighbourhood_key")
         .agg(F.avg(F.col("price").cast("double")).alias("_avg"))
-        .join(checked_broadcast(star.dim_neighbourhood, max_broadcast_rows), "neighbourhood_key")
+        .join(_dim_neighbourhood(star, max_broadcast_rows), "neighbourhood_key")
         .select("neighbourhood", F.round("_avg", 6).alias("avg_price"))
     )
     return avg.orderBy(F.desc_nulls_last("avg_price"), F.asc("neighbourhood")).limit(n)
@@ -107,7 +113,7 @@ def _recommend(
     listing = star.dim_listing.filter(F.col("accommodates") >= guests).select(
         "listing_key", "listing_id", "neighbourhood_key", "accommodates", "price"
     )
-    nb = checked_broadcast(star.dim_neighbourhood.select("neighbourhood_key", "neighbourhood"), max_broadcast_rows)
+    nb = _dim_neighbourhood(star, max_broadcast_rows)
     return (
         days.join(listing, "listing_key")
         .join(nb, "neighbourhood_key")

@@ -105,8 +105,23 @@ def read_staging(spark: SparkSession, path: str) -> dict[str, DataFrame]:
     return files.read_tables(spark, path, STAGING_SCHEMAS)
 
 
-def read_star(spark: SparkSession, path: str) -> W.Star:
-    return W.Star(**files.read_tables(spark, path, dict(schemas.WAREHOUSE)))
+def read_star(spark: SparkSession, path: str, row_counts: dict[str, int] | None = None) -> W.Star:
+    return W.Star(**files.read_tables(spark, path, dict(schemas.WAREHOUSE)), row_counts=dict(row_counts or {}))
+
+
+@dataclass
+class WarehouseResult:
+    path: str
+    report: list
+    row_counts: dict[str, int]
+
+
+def write_fact(df: DataFrame, path: str) -> int:
+    """Facts are written partitioned by month.  ``rebalance`` on the partition
+    column lets adaptive execution pack small months into one file and split a
+    hot month over several tasks, instead of every task writing a file for
+    every month it holds."""
+    return files.write_parquet_counted(df.hint("rebalance", *FACT_PARTITION), path, FACT_PARTITION)
 
 
 def run_warehouse(
@@ -115,39 +130,41 @@ def run_warehouse(
     out_root: str,
     enforce: bool = True,
     max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-) -> tuple[str, list]:
+) -> WarehouseResult:
     """M13 / S10 full refresh: dimensions, then facts against the written
     dimensions, then the post-load checks; publish the version last.  Row counts
-    of the written dimensions are observed during their write and decide, with
-    ``max_broadcast_rows``, whether the fact lookups broadcast them."""
+    of the written tables are observed during their write; they decide, with
+    ``max_broadcast_rows``, whether the lookups broadcast a dimension."""
     stg = read_staging(spark, staging_path)
     version = files.new_version(out_root)
-    nb_rows = files.write_parquet_counted(W.dim_neighbourhood(stg["neighbourhoods"]), f"{version}/dim_neighbourhood")
-    files.write_parquet(W.dim_date(stg["calendar"], stg["reviews"]), f"{version}/dim_date")
+    rows: dict[str, int] = {}
+    rows["dim_neighbourhood"] = files.write_parquet_counted(
+        W.dim_neighbourhood(stg["neighbourhoods"]), f"{version}/dim_neighbourhood"
+    )
+    rows["dim_date"] = files.write_parquet_counted(W.dim_date(stg["calendar"], stg["reviews"]), f"{version}/dim_date")
     nb = files.read_parquet(spark, f"{version}/dim_neighbourhood", schemas.DIM_NEIGHBOURHOOD)
-    listing_rows = files.write_parquet_counted(
-        W.dim_listing(stg["listings"], nb, max_broadcast_rows, nb_rows, checkpoint=True), f"{version}/dim_listing"
+    rows["dim_listing"] = files.write_parquet_counted(
+        W.dim_listing(stg["listings"], nb, max_broadcast_rows, rows["dim_neighbourhood"], checkpoint=True),
+        f"{version}/dim_listing",
     )
     listing = files.read_parquet(spark, f"{version}/dim_listing", schemas.DIM_LISTING)
-    files.write_parquet(
-        W.fact_reviews(stg["reviews"], listing, max_broadcast_rows, listing_rows, checkpoint=True),
+    rows["fact_reviews"] = write_fact(
+        W.fact_reviews(stg["reviews"], listing, max_broadcast_rows, rows["dim_listing"], checkpoint=True),
         f"{version}/fact_reviews",
-        FACT_PARTITION,
     )
-    files.write_parquet(
-        W.fact_availability(stg["calendar"], listing, max_broadcast_rows, listing_rows, checkpoint=True),
+    rows["fact_availability"] = write_fact(
+        W.fact_availability(stg["calendar"], listing, max_broadcast_rows, rows["dim_listing"], checkpoint=True),
         f"{version}/fact_availability",
-        FACT_PARTITION,
     )
-    star = read_star(spark, version)
+    star = read_star(spark, version, rows)
     report = W.constraint_report(star)
-    rows = Q.enforce(report) if enforce else report.collect()
+    checked = Q.enforce(report) if enforce else report.collect()
     files.publish_version(spark, out_root, version)
-    return version, rows
+    return WarehouseResult(version, checked, rows)
 
 
 def full_refresh(spark: SparkSession, raw: dict[str, DataFrame], root: str, enforce: bool = True) -> W.Star:
     """Staging then warehouse; returns the published star, read back from Parquet."""
     staged = run_staging(spark, raw, f"{root.rstrip('/')}/staging", enforce)
-    version, _ = run_warehouse(spark, staged.path, f"{root.rstrip('/')}/warehouse", enforce)
-    return read_star(spark, version)
+    built = run_warehouse(spark, staged.path, f"{root.rstrip('/')}/warehouse", enforce)
+    return read_star(spark, built.path, built.row_counts)

@@ -15,7 +15,7 @@ Layout decisions for scale:
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -27,9 +27,9 @@ from innkeeper.operators.dedup import keep_first
 from innkeeper.operators.keys import dense_key
 from innkeeper.operators.lookup import (
     DEFAULT_BROADCAST_ROWS,
+    checked_broadcast,
     lookup_key,
     union_distinct,
-    without_match,
 )
 
 LISTING_DIM_SOURCE = [
@@ -59,6 +59,12 @@ class Star:
     dim_date: DataFrame
     fact_reviews: DataFrame
     fact_availability: DataFrame
+    # Exact row counts per table when known (observed while the tables were
+    # written); they prove broadcast sizes without a count job.
+    row_counts: dict[str, int] = field(default_factory=dict)
+
+    def rows(self, name: str) -> int | None:
+        return self.row_counts.get(name)
 
     def tables(self) -> dict[str, DataFrame]:
         return {
@@ -204,30 +210,30 @@ def table_row_counts(star: Star) -> DataFrame:
     return Q.report_union(parts)
 
 
-def orphan_facts(star: Star) -> DataFrame:
-    """Fact rows whose listing_key is not in DimListing."""
-    dim = star.dim_listing.select("listing_key")
+def _unmatched_report(star: Star, dim_name: str, key: str, rule: str) -> DataFrame:
+    rows = _rows(star, dim_name)
+    dim = checked_broadcast(getattr(star, dim_name).select(key), known_rows=rows)
     return Q.report_union(
         [
-            Q.count_report("fact_reviews", "orphan_listing_key", Q.REPORT, without_match(star.fact_reviews, dim, "listing_key")),
-            Q.count_report(
-                "fact_availability", "orphan_listing_key", Q.REPORT, without_match(star.fact_availability, dim, "listing_key")
-            ),
+            Q.count_report(fact, rule, Q.REPORT, getattr(star, fact).join(dim, key, "left_anti"))
+            for fact in ("fact_reviews", "fact_availability")
         ]
     )
 
 
+def _rows(star, name: str) -> int | None:
+    rows = getattr(star, "rows", None)
+    return rows(name) if rows is not None else None
+
+
+def orphan_facts(star: Star) -> DataFrame:
+    """Fact rows whose listing_key is not in DimListing."""
+    return _unmatched_report(star, "dim_listing", "listing_key", "orphan_listing_key")
+
+
 def invalid_date_keys(star: Star) -> DataFrame:
     """Fact rows whose date_key is not in DimDate."""
-    dim = star.dim_date.select("date_key")
-    return Q.report_union(
-        [
-            Q.count_report("fact_reviews", "invalid_date_key", Q.REPORT, without_match(star.fact_reviews, dim, "date_key")),
-            Q.count_report(
-                "fact_availability", "invalid_date_key", Q.REPORT, without_match(star.fact_availability, dim, "date_key")
-            ),
-        ]
-    )
+    return _unmatched_report(star, "dim_date", "date_key", "invalid_date_key")
 
 
 UNIQUE_KEYS = {
@@ -246,10 +252,12 @@ def constraint_report(star: Star) -> DataFrame:
     for name, df in star.tables().items():
         rules = Q.constraint_rules(schemas.WAREHOUSE[name], UNIQUE_KEYS[name], schemas.TEXT_WIDTHS.get(name, {}))
         parts.append(Q.validate(df, name, rules))
-    nb_keys = star.dim_neighbourhood.select("neighbourhood_key")
+    nb_keys = checked_broadcast(
+        star.dim_neighbourhood.select("neighbourhood_key"), known_rows=_rows(star, "dim_neighbourhood")
+    )
     listed = star.dim_listing.filter(F.col("neighbourhood_key").isNotNull())
     parts.append(
-        Q.count_report("dim_listing", "fk_neighbourhood_key", Q.FATAL, without_match(listed, nb_keys, "neighbourhood_key"))
+        Q.count_report("dim_listing", "fk_neighbourhood_key", Q.FATAL, listed.join(nb_keys, "neighbourhood_key", "left_anti"))
     )
     parts.append(orphan_facts(star).withColumn("severity", F.lit(Q.FATAL)))
     parts.append(invalid_date_keys(star).withColumn("severity", F.lit(Q.FATAL)))

@@ -92,3 +92,19 @@ def test_rerun_gives_same_rows(star, spark):
     again = P.full_refresh(spark, raw(spark), root, enforce=False)
     for name, df in s.tables().items():
         assert rows(df, *df.columns) == rows(again.tables()[name], *df.columns), name
+
+
+def test_without_match_anti_join(spark):
+    from innkeeper.operators.lookup import without_match
+
+    fact = spark.createDataFrame([(1,), (2,), (3,)], "k int")
+    dim = spark.createDataFrame([(1,), (3,)], "k int")
+    assert [r[0] for r in without_match(fact, dim, "k").collect()] == [2]
+
+
+def test_fact_files_follow_months(star, spark):
+    _, root = star
+    import glob
+
+    version = glob.glob(f"{root}/warehouse/v=*/fact_availability/month_key=*")
+    assert version, "fact is partitioned by month_key"
