@@ -27,7 +27,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -117,7 +117,8 @@ def dense_key(
 
     ``checkpoint=True`` first writes ``df`` to the shared checkpoint folder, so an
     expensive input (a dedup and a join, say) is computed once instead of once
-    per pass; use it when ``df`` is not a plain scan.
+    per pass; use it when ``df`` is not a plain scan.  The row count is observed
+    during that write, so a small input needs no separate count pass.
 
     ``sort_value`` is a numeric expression that is non-decreasing in ``order_by``
     and, ideally, close to unique (default: the first order column); it decides the
@@ -125,15 +126,21 @@ def dense_key(
     composite key pass a packed number, e.g. ``listing_key * 10**8 + date_key``.
     """
     order_by = list(order_by)
+    known_rows = None
     if checkpoint:
         ensure_checkpoint_dir(df.sparkSession)
-        df = df.checkpoint(eager=True)
+        seen = Observation("dense_key_rows")
+        df = df.observe(seen, F.count(F.lit(1)).alias("rows")).checkpoint(eager=True)
+        known_rows = int(seen.get["rows"])
     value = sort_value if sort_value is not None else F.col(order_by[0])
     numeric = _is_numeric(df, value)
     n = n_buckets or default_buckets(df)
     if not numeric:
         n = min(n, MAX_TEXT_BUCKETS)
-    total, bounds = _bounds(df, value, n, accuracy, single_task_rows) if n > 1 else (None, [])
+    if n <= 1 or (known_rows is not None and known_rows <= single_task_rows):
+        total, bounds = known_rows, []
+    else:
+        total, bounds = _bounds(df, value, n, accuracy, single_task_rows)
     if not bounds:
         # One bucket: a plain row_number (the count above proved the size).
         w1 = Window.orderBy(*[F.col(c).asc_nulls_first() for c in order_by])
