@@ -11,7 +11,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from innkeeper import schemas
 from innkeeper.operators import quality as Q
@@ -53,38 +54,39 @@ def staging_report(listings: DataFrame, reviews: DataFrame, neighbourhoods: Data
     )
 
 
+def _observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
+    obs = Observation(name)
+    return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
+
+
 def run_staging(
     spark: SparkSession,
     raw: dict[str, DataFrame],
     out_root: str,
     enforce: bool = True,
     date_format: str = "yyyy-MM-dd",
-    with_metrics: bool = False,
 ) -> StagingResult:
     """Stage, clean, write, validate the written tables, then publish.
-    ``with_metrics`` adds the S13 row counts (one more pass over the raw input)."""
-    metrics = []
-    if with_metrics:
-        metrics = S.cleaning_metrics(
-            S.stage_listings(raw["listings"], date_format),
-            S.stage_reviews(raw["reviews"], date_format),
-            S.stage_calendar(raw["calendar"], date_format),
-        ).collect()
+
+    The S13 metrics (rows in / out of each cleaning step) are observed during the
+    writes themselves, so they cost no extra pass over the input."""
     version = files.new_version(out_root)
     # Listings first: the written table (with its observed row count) is the
     # id side of both orphan joins, so the listing chain runs once.
-    kept = S.nights_in_range(S.stage_listings(raw["listings"], date_format))
-    kept_rows = files.write_parquet_counted(kept, f"{version}/listings")
+    staged_listings, listings_in = _observed(S.stage_listings(raw["listings"], date_format), "listings_in")
+    kept_rows = files.write_parquet_counted(S.nights_in_range(staged_listings), f"{version}/listings")
     kept = files.read_parquet(spark, f"{version}/listings", schemas.STG_LISTINGS)
-    cleaned = S.drop_orphans(
-        kept,
-        S.stage_reviews(raw["reviews"], date_format),
-        S.stage_calendar(raw["calendar"], date_format),
-        kept_rows,
-    )
-    files.write_parquet(cleaned["reviews"], f"{version}/reviews")
+    staged_reviews, reviews_in = _observed(S.stage_reviews(raw["reviews"], date_format), "reviews_in")
+    staged_calendar, calendar_in = _observed(S.stage_calendar(raw["calendar"], date_format), "calendar_in")
+    cleaned = S.drop_orphans(kept, staged_reviews, staged_calendar, kept_rows)
+    reviews_out = files.write_parquet_counted(cleaned["reviews"], f"{version}/reviews")
     files.write_parquet(S.stage_neighbourhoods(raw["neighbourhoods"]), f"{version}/neighbourhoods")
-    files.write_parquet(cleaned["calendar"], f"{version}/calendar")
+    calendar_out = files.write_parquet_counted(cleaned["calendar"], f"{version}/calendar")
+    metrics = [
+        _metric("listings_nights_range", listings_in.get["rows"], kept_rows),
+        _metric("reviews_orphans", reviews_in.get["rows"], reviews_out),
+        _metric("calendar_orphans", calendar_in.get["rows"], calendar_out),
+    ]
     staged = read_staging(spark, version)
     report = staging_report(staged["listings"], staged["reviews"], staged["neighbourhoods"], staged["calendar"])
     rows = Q.enforce(report) if enforce else report.collect()
@@ -92,6 +94,10 @@ def run_staging(
     return StagingResult(version, rows, metrics)
 
 
+def _metric(step: str, rows_in: int, rows_out: int) -> dict:
+    return {"step": step, "rows_in": int(rows_in), "rows_out": int(rows_out), "dropped": int(rows_in) - int(rows_out)}
+
+
 STAGING_SCHEMAS = {
     "listings": schemas.STG_LISTINGS,
     "reviews": schemas.STG_REVIEWS,

@@ -11,6 +11,8 @@ import __spark_entry__ as entry
 from tests.conftest import SF_SMALL
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
+# Row-at-a-time Python, cartesian products and nested-loop joins do not scale.
+FORBIDDEN_NODES = ("BatchEvalPython", "ArrowEvalPython", "CartesianProduct", "BroadcastNestedLoopJoin")
 QUERIES = entry.queries()
 ORACLE = entry.oracle_sql()
 
@@ -43,6 +45,9 @@ def test_query_matches_oracle(spark, con, name):
     df = QUERIES[name](spark, SF_SMALL)
     cols = df.columns
     got = df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    for node in FORBIDDEN_NODES:
+        assert node not in plan, f"{name}: {node} in plan"
     res = con.execute(ORACLE[name])
     dcols = [d[0] for d in res.description]
     want = res.fetchall()

@@ -108,3 +108,12 @@ def test_fact_files_follow_months(star, spark):
 
     version = glob.glob(f"{root}/warehouse/v=*/fact_availability/month_key=*")
     assert version, "fact is partitioned by month_key"
+
+
+def test_staging_metrics_observed_during_writes(spark):
+    root = session.scratch_path(spark, "test-metrics")
+    result = P.run_staging(spark, raw(spark), root, enforce=False)
+    m = {x["step"]: x for x in result.metrics}
+    assert m["listings_nights_range"] == {"step": "listings_nights_range", "rows_in": 5, "rows_out": 4, "dropped": 1}
+    assert m["reviews_orphans"]["dropped"] == 1
+    assert m["calendar_orphans"]["rows_in"] == 5 * 31 + 1 and m["calendar_orphans"]["dropped"] == 31
