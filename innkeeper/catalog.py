@@ -15,10 +15,10 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from innkeeper import session
+from innkeeper import schemas, session
 from innkeeper.functions import columns as C
 from innkeeper.operators import quality as Q
-from innkeeper.operators.dedup import drop_exact_duplicates, duplicate_count, keep_first
+from innkeeper.operators.dedup import drop_exact_duplicates, keep_first
 from innkeeper.operators.keys import dense_key
 from innkeeper.operators.lookup import lookup_key, missing_parent_ids, union_distinct
 from innkeeper.plans import analytics as A
@@ -26,7 +26,6 @@ from innkeeper.plans import pipeline as P
 from innkeeper.plans import staging as S
 from innkeeper.plans import warehouse as W
 from innkeeper.sources import files, standin
-from innkeeper import schemas
 
 # Question parameters on the stand-in data.
 Q1_YEAR, Q1_MONTH = 2024, 1

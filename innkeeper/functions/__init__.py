@@ -9,7 +9,6 @@ from innkeeper.functions.columns import (  # noqa: F401
     day_of_week,
     flag_to_bit,
     month_key,
-    month_key_of_date_key,
     null_tokens,
     parse_currency,
     parse_date,

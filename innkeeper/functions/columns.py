@@ -116,10 +116,6 @@ def month_key(c: ColumnOrName) -> Column:
     return (F.year(d) * 100 + F.month(d)).cast("int")
 
 
-def month_key_of_date_key(c: ColumnOrName) -> Column:
-    return F.floor(_c(c) / 100).cast("int")
-
-
 def day_of_week(c: ColumnOrName) -> Column:
     """C14: Monday = 1 ... Sunday = 7."""
     return (F.weekday(_c(c)) + 1).cast("int")

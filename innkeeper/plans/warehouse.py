@@ -264,6 +264,25 @@ def constraint_report(star: Star) -> DataFrame:
     return Q.report_union(parts)
 
 
+def validate_warehouse(star: Star) -> dict[str, DataFrame]:
+    """The post-load reports by name (row counts, orphans, invalid date keys,
+    every DDL constraint, total-vs-distinct of the four natural keys)."""
+    return {
+        "row_counts": table_row_counts(star),
+        "orphan_facts": orphan_facts(star),
+        "invalid_date_keys": invalid_date_keys(star),
+        "constraints": constraint_report(star),
+        "unique_listings": total_vs_distinct(star.dim_listing, ["listing_id"], "total_listings", "unique_listings"),
+        "unique_neighbourhoods": total_vs_distinct(
+            star.dim_neighbourhood, ["neighbourhood"], "total_rows", "unique_neighbourhoods"
+        ),
+        "unique_reviews": total_vs_distinct(star.fact_reviews, ["review_id"], "total_reviews", "unique_reviews"),
+        "unique_listing_date": total_vs_distinct(
+            star.fact_availability, ["listing_key", "date_key"], "total_rows", "unique_listing_date"
+        ),
+    }
+
+
 def total_vs_distinct(df: DataFrame, cols: list[str], total_name: str, distinct_name: str) -> DataFrame:
     """``COUNT(*)`` beside ``COUNT(DISTINCT key)``; for a composite key
     the key is the text ``a-b`` (NULL parts empty), as ``CONCAT`` gives."""

@@ -115,11 +115,6 @@ def read_tables(
     return out
 
 
-def row_count(df: DataFrame) -> int:
-    """S12."""
-    return df.count()
-
-
 def new_version(root: str) -> str:
     return f"{root.rstrip('/')}/v={uuid.uuid4().hex}"
 

@@ -1,5 +1,4 @@
 import pytest
-from pyspark.sql import functions as F
 
 from innkeeper import schemas, session
 from innkeeper.plans import staging as S
@@ -68,7 +67,6 @@ def test_lenient_parsers_keep_rows(spark):
     df = spark.createDataFrame([("1", "bad", "t", "x", "3")], schemas.RAW_CALENDAR)
     row = S.stage_calendar(df).first()
     assert row["date"] is None and row["minimum_nights"] is None and row["maximum_nights"] == 3
-    assert F  # keep import
 
 
 def test_plain_csv_without_multiline(spark):

@@ -117,3 +117,12 @@ def test_staging_metrics_observed_during_writes(spark):
     assert m["listings_nights_range"] == {"step": "listings_nights_range", "rows_in": 5, "rows_out": 4, "dropped": 1}
     assert m["reviews_orphans"]["dropped"] == 1
     assert m["calendar_orphans"]["rows_in"] == 5 * 31 + 1 and m["calendar_orphans"]["dropped"] == 31
+
+
+def test_validate_warehouse_reports(star):
+    s, _ = star
+    reports = W.validate_warehouse(s)
+    counts = {r["table_name"]: r["row_count"] for r in reports["row_counts"].collect()}
+    assert counts == {"dim_neighbourhood": 2, "dim_listing": 4, "dim_date": 34, "fact_reviews": 3, "fact_availability": 124}
+    u = reports["unique_listing_date"].first()
+    assert u["total_rows"] == u["unique_listing_date"] == 124
