@@ -8,7 +8,7 @@ Runs on ``local[$BENCH_CPUS]`` over ``$BENCH_SF_DIR`` (default sf0.1):
 * ``dq_constraints`` all warehouse constraints over the written star
 
 Prints one JSON line.  ``rows_per_sec`` is input rows (customer + orders + events)
-through staging and warehouse, the figure comparable with the reference's load rate.
+through staging and warehouse, the figure comparable with the source system's published load rate.
 """
 
 from __future__ import annotations

@@ -1,4 +1,4 @@
-"""Streaming: the reference is a daily full-reload batch with no streams,
+"""Streaming: the source system is a daily full-reload batch with no streams,
 watermarks or stateful operators, so nothing is built here.  A daily run is
 ``innkeeper.plans.pipeline.full_refresh``; scheduling belongs to the scheduler.
 """
