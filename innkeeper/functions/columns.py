@@ -70,12 +70,33 @@ def strict_bigint(c: ColumnOrName, name: str = "id") -> Column:
     ).cast("bigint")
 
 
+def _exponent_out_of_range(text: Column) -> Column:
+    """True for scientific text whose decimal exponent, less the digits after the
+    point, is above 308 (``0e309``, ``0.1e310``): such text is not a number, even
+    when its value would be 0."""
+    exp_text = F.regexp_extract(text, r"[eE]([+-]?\d+)", 1)
+    exp = F.coalesce(
+        exp_text.try_cast("long"), F.when(exp_text.startswith("-"), F.lit(-(10**18))).otherwise(F.lit(10**18))
+    )
+    decimals = F.length(F.regexp_extract(text, r"\.(\d*)", 1))
+    return exp - decimals > MAX_DECIMAL_EXPONENT
+
+
+# Fixed value: the largest decimal exponent a finite double can carry.
+MAX_DECIMAL_EXPONENT = 308
+
+
 def parse_number(c: ColumnOrName) -> Column:
-    """Lenient numeric parse to DOUBLE; unparsable text becomes NULL, never NaN."""
+    """Lenient numeric parse to DOUBLE; unparsable text becomes NULL, never NaN.
+    Finite text that overflows (``1e309``) is unparsable too; ``inf`` text is infinity."""
     text = _c(c).cast("string")
-    return F.when(
-        text.rlike(NUMBER_PATTERN) | text.rlike(INFINITY_PATTERN), text.try_cast("double")
-    ).cast("double")
+    value = text.try_cast("double")
+    is_inf_text = text.rlike(INFINITY_PATTERN)
+    finite_ok = text.rlike(NUMBER_PATTERN) & (
+        ~(text.contains("e") | text.contains("E"))
+        | (~F.abs(value).eqNullSafe(F.lit(float("inf"))) & ~_exponent_out_of_range(text))
+    )
+    return F.when(finite_ok | is_inf_text, value).cast("double")
 
 
 def parse_int(c: ColumnOrName) -> Column:
