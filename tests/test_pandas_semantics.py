@@ -74,3 +74,26 @@ def test_strip_agrees_with_python(spark):
     got = _spark_map(spark, values, C.strip_text)
     for v in values:
         assert got[v] == v.strip(), (repr(v), repr(got[v]))
+
+
+def test_date_attributes_agree_with_pandas(spark):
+    dates = pd.Series(pd.date_range("1990-01-01", "2035-12-31", freq="D"))
+    df = spark.createDataFrame([(d.date(),) for d in dates], "d date")
+    attrs = C.date_attributes("d")
+    got = {r["full_date"]: r for r in df.select(*[v.alias(k) for k, v in attrs.items()]).collect()}
+    want = pd.DataFrame(
+        {
+            "date_key": dates.dt.strftime("%Y%m%d").astype(int),
+            "day": dates.dt.day,
+            "month": dates.dt.month,
+            "month_name": dates.dt.month_name(),
+            "quarter": dates.dt.quarter,
+            "year": dates.dt.year,
+            "day_name": dates.dt.day_name(),
+            "day_of_week": dates.dt.dayofweek + 1,
+            "week_of_year": dates.dt.isocalendar().week.astype(int),
+        }
+    )
+    for d, w in zip(dates, want.itertuples(index=False)):
+        g = got[d.date()]
+        assert tuple(g[k] for k in want.columns) == tuple(w), d
