@@ -96,6 +96,22 @@ def count_report(table: str, name: str, severity: str, counted: DataFrame) -> Da
     return counted.agg(F.count(F.lit(1)).alias("_n")).select(_report_rows(table, [(name, severity, F.col("_n"))]))
 
 
+def value_report(table: str, name: str, severity: str, one_row: DataFrame, value_col: str) -> DataFrame:
+    """A report row whose violation count is ``value_col`` of a one-row DataFrame."""
+    return one_row.select(_report_rows(table, [(name, severity, F.col(value_col))]))
+
+
+def unmatched_row_count(df: DataFrame, parent_keys: DataFrame, key: str) -> DataFrame:
+    """Rows of ``df`` whose ``key`` is not in ``parent_keys`` (NULL keys included,
+    as ``LEFT JOIN ... WHERE parent.key IS NULL`` counts them), as one row ``n``.
+
+    Counted per key first: the partial aggregate collapses a hot key map-side,
+    so the anti join moves one row per key and task, never every fact row."""
+    per_key = df.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
+    missing = per_key.join(parent_keys.select(key), key, "left_anti")
+    return missing.agg(F.coalesce(F.sum("_rows"), F.lit(0)).cast("bigint").alias("n"))
+
+
 def enforce(report: DataFrame) -> list[T.Row]:
     """Collect the (small) report; raise if any fatal rule has violations."""
     rows = report.collect()

@@ -132,22 +132,30 @@ def drop_orphans(
 
 
 def cleaning_metrics(listings: DataFrame, reviews: DataFrame, calendar: DataFrame) -> DataFrame:
-    """``(step, rows_in, rows_out, dropped)`` for the three cleaning steps,
-    each counted in one pass (the membership test is a left join against the
-    distinct kept ids, so no row is duplicated)."""
+    """``(step, rows_in, rows_out, dropped)`` for the three cleaning steps.
+
+    Reviews and calendar are counted per listing_id first (a hot listing collapses
+    map-side), then those counts are matched against the distinct kept ids.
+    ``pipeline.run_staging`` observes the same figures during its writes."""
     kept_ids = (
         nights_in_range(listings).select("listing_id").dropna().distinct().withColumn("_kept", F.lit(True))
     )
 
-    def step(name: str, df: DataFrame, kept: F.Column) -> DataFrame:
+    def totals(name: str, rows: F.Column, kept_rows: F.Column, df: DataFrame) -> DataFrame:
         return df.agg(
             F.lit(name).alias("step"),
-            F.count(F.lit(1)).cast("bigint").alias("rows_in"),
-            F.count_if(kept).cast("bigint").alias("rows_out"),
+            F.coalesce(F.sum(rows), F.lit(0)).cast("bigint").alias("rows_in"),
+            F.coalesce(F.sum(kept_rows), F.lit(0)).cast("bigint").alias("rows_out"),
         ).withColumn("dropped", F.col("rows_in") - F.col("rows_out"))
 
+    def orphans(name: str, df: DataFrame) -> DataFrame:
+        per_key = df.groupBy("listing_id").agg(F.count(F.lit(1)).alias("_rows"))
+        matched = per_key.join(kept_ids, "listing_id", "left")
+        return totals(name, F.col("_rows"), F.when(F.col("_kept"), F.col("_rows")), matched)
+
+    nights_ok = F.col("minimum_nights") <= F.col("maximum_nights")
     return (
-        step("listings_nights_range", listings, F.col("minimum_nights") <= F.col("maximum_nights"))
-        .unionByName(step("reviews_orphans", reviews.join(kept_ids, "listing_id", "left"), F.col("_kept")))
-        .unionByName(step("calendar_orphans", calendar.join(kept_ids, "listing_id", "left"), F.col("_kept")))
+        totals("listings_nights_range", F.lit(1), F.when(nights_ok, F.lit(1)), listings)
+        .unionByName(orphans("reviews_orphans", reviews))
+        .unionByName(orphans("calendar_orphans", calendar))
     )

@@ -215,7 +215,7 @@ def _unmatched_report(star: Star, dim_name: str, key: str, rule: str) -> DataFra
     dim = checked_broadcast(getattr(star, dim_name).select(key), known_rows=rows)
     return Q.report_union(
         [
-            Q.count_report(fact, rule, Q.REPORT, getattr(star, fact).join(dim, key, "left_anti"))
+            Q.value_report(fact, rule, Q.REPORT, Q.unmatched_row_count(getattr(star, fact), dim, key), "n")
             for fact in ("fact_reviews", "fact_availability")
         ]
     )
@@ -257,7 +257,9 @@ def constraint_report(star: Star) -> DataFrame:
     )
     listed = star.dim_listing.filter(F.col("neighbourhood_key").isNotNull())
     parts.append(
-        Q.count_report("dim_listing", "fk_neighbourhood_key", Q.FATAL, listed.join(nb_keys, "neighbourhood_key", "left_anti"))
+        Q.value_report(
+            "dim_listing", "fk_neighbourhood_key", Q.FATAL, Q.unmatched_row_count(listed, nb_keys, "neighbourhood_key"), "n"
+        )
     )
     parts.append(orphan_facts(star).withColumn("severity", F.lit(Q.FATAL)))
     parts.append(invalid_date_keys(star).withColumn("severity", F.lit(Q.FATAL)))
