@@ -73,3 +73,20 @@ def test_dense_key_stable_across_jobs(spark):
     a = sorted(tuple(r) for r in keyed.select("k", "key").collect())
     b = sorted(tuple(r) for r in keyed.select("k", "key").collect())
     assert a == b
+
+
+def test_dense_key_random_against_row_number(spark):
+    rnd = random.Random(21)
+    for trial in range(4):
+        n = rnd.randint(50, 2000)
+        hot = rnd.randint(-5, 5)
+        data = [
+            (hot if rnd.random() < 0.33 else (None if rnd.random() < 0.02 else rnd.randint(-10**12, 10**12)), i)
+            for i in range(n)
+        ]
+        df = spark.createDataFrame(data, "k long, i int")
+        got = dense_key(df, ["k", "i"], "key", n_buckets=rnd.randint(2, 40), single_task_rows=0)
+        expect = sorted(data, key=lambda r: (r[0] is not None, r[0] if r[0] is not None else 0, r[1]))
+        rows = sorted((r["key"], r["k"], r["i"]) for r in got.collect())
+        assert [(k, i) for _, k, i in rows] == expect, trial
+        assert [x[0] for x in rows] == list(range(1, n + 1))

@@ -91,3 +91,12 @@ def test_read_tables_names_every_missing_input(spark):
     with pytest.raises(FileNotFoundError) as err:
         files.read_tables(spark, "/nonexistent/innkeeper", {"a": None, "b": schemas.STG_REVIEWS})
     assert "/nonexistent/innkeeper/a" in str(err.value) and "/nonexistent/innkeeper/b" in str(err.value)
+
+
+def test_publish_moves_the_current_pointer(spark):
+    root = session.scratch_path(spark, "test-publish")
+    v1, v2 = files.new_version(root), files.new_version(root)
+    files.publish_version(spark, root, v1)
+    assert files.current_version(spark, root) == v1
+    files.publish_version(spark, root, v2)
+    assert files.current_version(spark, root) == v2
