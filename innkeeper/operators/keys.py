@@ -12,7 +12,8 @@ single-partition window:
 3. rows per bucket are counted (reads only the key columns) and turned into
    offsets on the driver (one number per bucket);
 4. ``row_number()`` over ``partitionBy(bucket).orderBy(order...)`` plus the
-   bucket's offset.
+   bucket's offset, after a range partitioning on the bucket id (about one
+   bucket per task).
 
 Approximate bounds only change how balanced the buckets are, never the numbers.
 A table proved (by the same pass) to hold at most ``single_task_rows`` rows is
@@ -154,8 +155,12 @@ def dense_key(
     for b in range(n_found):
         offsets.append(running)
         running += counts.get(b, 0)
-    offset = F.element_at(F.array(*[F.lit(o).cast("bigint") for o in offsets]), F.col("_bucket") + 1)
+    offset = F.element_at(F.expr("array(" + ", ".join(f"{o}L" for o in offsets) + ")"), F.col("_bucket") + 1)
+    # Range-partition on the bucket id: about one bucket per task (hashing a few
+    # thousand ids onto as many partitions would stack 4-5 buckets on the busiest
+    # task).  The window reuses this partitioning; numbers do not depend on it.
+    spread_buckets = with_bucket.repartitionByRange(n_found, "_bucket")
     w = Window.partitionBy("_bucket").orderBy(*[F.col(c).asc_nulls_first() for c in order_by])
-    return with_bucket.withColumn(out_col, (F.row_number().over(w) + offset).cast("bigint")).drop("_bucket")
+    return spread_buckets.withColumn(out_col, (F.row_number().over(w) + offset).cast("bigint")).drop("_bucket")
 
 
