@@ -231,7 +231,7 @@ def scan_csv_typed(spark, sf_dir):
     string schema and staged."""
     path = session.scratch_path(spark, "innkeeper-csv")
     files.write_csv(_b(spark, sf_dir).raw["listings"], path)
-    return S.stage_listings(files.scan_csv(spark, path, schemas.RAW_LISTINGS))
+    return S.stage_listings(files.scan_csv(spark, path, schemas.LISTING_COLUMNS))
 
 
 def staging_roundtrip(spark, sf_dir):

@@ -37,17 +37,26 @@ CSV_OPTIONS = {
 def scan_csv(
     spark: SparkSession,
     path: str | list[str],
-    schema: T.StructType,
+    expected: T.StructType | list[str] | None = None,
     partitions: int | None = None,
     multiline: bool = True,
 ) -> DataFrame:
-    """Read CSV (plain or ``.gz``) with every column as STRING.
+    """Read CSV (plain or ``.gz``) with every column as STRING, named by
+    the header line (no schema inference pass, no positional binding: an extract
+    may carry more columns, in any order).  ``expected`` names the columns that
+    must be present; a missing one raises before any work.
 
     ``multiline=True`` is needed when quoted fields hold newlines (listings,
     reviews) and makes every file one task; an extract without free text
     (calendar) can pass ``False`` so that uncompressed or bzip2 files split."""
-    reader = spark.read.options(**CSV_OPTIONS).option("multiLine", str(multiline).lower()).schema(schema)
+    reader = spark.read.options(**CSV_OPTIONS).option("multiLine", str(multiline).lower())
+    reader = reader.option("inferSchema", "false")
     df = reader.csv(path)
+    if expected is not None:
+        names = expected.fieldNames() if isinstance(expected, T.StructType) else list(expected)
+        missing = [n for n in names if n not in df.columns]
+        if missing:
+            raise ValueError(f"{path}: missing columns {missing}")
     df = df.repartition(partitions) if partitions else spread(df)
     return as_read_from_csv(df)
 

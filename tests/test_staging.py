@@ -100,3 +100,18 @@ def test_publish_moves_the_current_pointer(spark):
     assert files.current_version(spark, root) == v1
     files.publish_version(spark, root, v2)
     assert files.current_version(spark, root) == v2
+
+
+def test_csv_binds_columns_by_header_name(spark):
+    """Extracts carry more columns than staging uses, in their own order."""
+    path = session.scratch_path(spark, "test-csv-order")
+    r = raw(spark)["listings"]
+    rest = [c for c in reversed(r.columns) if c not in ("price", "id", "name")]
+    shuffled = r.select("price", "id", "name", *rest)
+    files.write_csv(shuffled.withColumn("scrape_id", shuffled["id"]), path)
+    back = files.scan_csv(spark, path, schemas.LISTING_COLUMNS)
+    staged = S.stage_listings(back)
+    assert sorted((x["listing_id"], x["price"]) for x in staged.collect()) == [
+        (1, 100.0), (2, 80.0), (3, None), (4, 50.0), (5, 1200.0)]
+    with pytest.raises(ValueError, match="missing columns"):
+        files.scan_csv(spark, path, ["id", "no_such_column"])
