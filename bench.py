@@ -47,7 +47,12 @@ def main() -> None:
     root = session.scratch_path(spark, "innkeeper-bench")
     raw = standin.raw_extracts(spark, sf_dir)
     staged = timed("staging", lambda: P.run_staging(spark, raw, f"{root}/staging", enforce=False))
-    built = timed("warehouse", lambda: P.run_warehouse(spark, staged.path, f"{root}/warehouse", enforce=False))
+    built = timed(
+        "warehouse",
+        lambda: P.run_warehouse(
+            spark, staged.path, f"{root}/warehouse", enforce=False, staging_rows=staged.row_counts
+        ),
+    )
     star = P.read_star(spark, built.path, built.row_counts)
     questions = {
         "q1": lambda: A.cheapest_most_available(star, catalog.Q1_YEAR, catalog.Q1_MONTH),

@@ -100,6 +100,12 @@ MAX_TEXT_BUCKETS = 256
 SINGLE_TASK_ROWS = 1_000_000
 
 
+def _single_task_numbering(df: DataFrame, order_by: list[str], out_col: str) -> DataFrame:
+    """One bucket: a plain ``row_number`` (only for inputs proved small)."""
+    w = Window.orderBy(*[F.col(c).asc_nulls_first() for c in order_by])
+    return df.withColumn(out_col, F.row_number().over(w).cast("bigint"))
+
+
 def default_buckets(df: DataFrame) -> int:
     return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
 
@@ -113,6 +119,7 @@ def dense_key(
     accuracy: int = 10000,
     single_task_rows: int = SINGLE_TASK_ROWS,
     checkpoint: bool = False,
+    max_rows: int | None = None,
 ) -> DataFrame:
     """K2: add ``out_col`` BIGINT numbered 1..N by ``order_by`` (ascending, NULLs first).
 
@@ -121,12 +128,18 @@ def dense_key(
     per pass; use it when ``df`` is not a plain scan.  The row count is observed
     during that write, so a small input needs no separate count pass.
 
+    ``max_rows`` is a known upper bound on the rows of ``df`` (say, the rows of
+    the table it was derived from by filters, dedup and unique-key joins); when
+    it is within ``single_task_rows`` there is no checkpoint and no count at all.
+
     ``sort_value`` is a numeric expression that is non-decreasing in ``order_by``
     and, ideally, close to unique (default: the first order column); it decides the
     buckets, so a single hot value of it would make one large bucket.  For a
     composite key pass a packed number, e.g. ``listing_key * 10**8 + date_key``.
     """
     order_by = list(order_by)
+    if max_rows is not None and max_rows <= single_task_rows:
+        return _single_task_numbering(df, order_by, out_col)
     known_rows = None
     if checkpoint:
         ensure_checkpoint_dir(df.sparkSession)
@@ -143,9 +156,7 @@ def dense_key(
     else:
         total, bounds = _bounds(df, value, n, accuracy, single_task_rows)
     if not bounds:
-        # One bucket: a plain row_number (the count above proved the size).
-        w1 = Window.orderBy(*[F.col(c).asc_nulls_first() for c in order_by])
-        return df.withColumn(out_col, F.row_number().over(w1).cast("bigint"))
+        return _single_task_numbering(df, order_by, out_col)
     with_bucket, n_found = _with_bucket(df, value, bounds, numeric)
     counts = {
         r["_bucket"]: r["n"]

@@ -30,6 +30,7 @@ class StagingResult:
     path: str
     report: list
     metrics: list
+    row_counts: dict[str, int]
 
 
 def relationship_report(listings: DataFrame, reviews: DataFrame, calendar: DataFrame) -> DataFrame:
@@ -80,7 +81,7 @@ def run_staging(
     staged_calendar, calendar_in = _observed(S.stage_calendar(raw["calendar"], date_format), "calendar_in")
     cleaned = S.drop_orphans(kept, staged_reviews, staged_calendar, kept_rows)
     reviews_out = files.write_parquet_counted(cleaned["reviews"], f"{version}/reviews")
-    files.write_parquet(S.stage_neighbourhoods(raw["neighbourhoods"]), f"{version}/neighbourhoods")
+    nb_rows = files.write_parquet_counted(S.stage_neighbourhoods(raw["neighbourhoods"]), f"{version}/neighbourhoods")
     calendar_out = files.write_parquet_counted(cleaned["calendar"], f"{version}/calendar")
     metrics = [
         _metric("listings_nights_range", listings_in.get["rows"], kept_rows),
@@ -91,7 +92,8 @@ def run_staging(
     report = staging_report(staged["listings"], staged["reviews"], staged["neighbourhoods"], staged["calendar"])
     rows = Q.enforce(report) if enforce else report.collect()
     files.publish_version(spark, out_root, version)
-    return StagingResult(version, rows, metrics)
+    counts = {"listings": kept_rows, "reviews": reviews_out, "neighbourhoods": nb_rows, "calendar": calendar_out}
+    return StagingResult(version, rows, metrics, counts)
 
 
 def _metric(step: str, rows_in: int, rows_out: int) -> dict:
@@ -136,12 +138,16 @@ def run_warehouse(
     out_root: str,
     enforce: bool = True,
     max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+    staging_rows: dict[str, int] | None = None,
 ) -> WarehouseResult:
     """M13 / S10 full refresh: dimensions, then facts against the written
     dimensions, then the post-load checks; publish the version last.  Row counts
     of the written tables are observed during their write; they decide, with
-    ``max_broadcast_rows``, whether the lookups broadcast a dimension."""
+    ``max_broadcast_rows``, whether the lookups broadcast a dimension.
+    ``staging_rows`` (from ``run_staging``) bounds the rows each key numbering
+    sees; small inputs are then numbered without a checkpoint."""
     stg = read_staging(spark, staging_path)
+    bound = dict(staging_rows or {})
     version = files.new_version(out_root)
     rows: dict[str, int] = {}
     rows["dim_neighbourhood"] = files.write_parquet_counted(
@@ -150,16 +156,20 @@ def run_warehouse(
     rows["dim_date"] = files.write_parquet_counted(W.dim_date(stg["calendar"], stg["reviews"]), f"{version}/dim_date")
     nb = files.read_parquet(spark, f"{version}/dim_neighbourhood", schemas.DIM_NEIGHBOURHOOD)
     rows["dim_listing"] = files.write_parquet_counted(
-        W.dim_listing(stg["listings"], nb, max_broadcast_rows, rows["dim_neighbourhood"], checkpoint=True),
+        W.dim_listing(
+            stg["listings"], nb, max_broadcast_rows, rows["dim_neighbourhood"], True, bound.get("listings")
+        ),
         f"{version}/dim_listing",
     )
     listing = files.read_parquet(spark, f"{version}/dim_listing", schemas.DIM_LISTING)
     rows["fact_reviews"] = write_fact(
-        W.fact_reviews(stg["reviews"], listing, max_broadcast_rows, rows["dim_listing"], checkpoint=True),
+        W.fact_reviews(stg["reviews"], listing, max_broadcast_rows, rows["dim_listing"], True, bound.get("reviews")),
         f"{version}/fact_reviews",
     )
     rows["fact_availability"] = write_fact(
-        W.fact_availability(stg["calendar"], listing, max_broadcast_rows, rows["dim_listing"], checkpoint=True),
+        W.fact_availability(
+            stg["calendar"], listing, max_broadcast_rows, rows["dim_listing"], True, bound.get("calendar")
+        ),
         f"{version}/fact_availability",
     )
     star = read_star(spark, version, rows)
@@ -172,5 +182,7 @@ def run_warehouse(
 def full_refresh(spark: SparkSession, raw: dict[str, DataFrame], root: str, enforce: bool = True) -> W.Star:
     """Staging then warehouse; returns the published star, read back from Parquet."""
     staged = run_staging(spark, raw, f"{root.rstrip('/')}/staging", enforce)
-    built = run_warehouse(spark, staged.path, f"{root.rstrip('/')}/warehouse", enforce)
+    built = run_warehouse(
+        spark, staged.path, f"{root.rstrip('/')}/warehouse", enforce, staging_rows=staged.row_counts
+    )
     return read_star(spark, built.path, built.row_counts)

@@ -124,10 +124,12 @@ def dim_listing(
     max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
     dim_rows: int | None = None,
     checkpoint: bool = False,
+    input_rows: int | None = None,
 ) -> DataFrame:
-    """M8: D2, C4, J3, C7, then a dense key in listing_id order."""
+    """M8: D2, C4, J3, C7, then a dense key in listing_id order.  ``input_rows``
+    (rows of ``stg_listings``, if known) bounds the rows to number."""
     df = listings_with_neighbourhood_key(stg_listings, dim_nb, max_broadcast_rows, dim_rows)
-    df = dense_key(df, ["listing_id"], "listing_key", checkpoint=checkpoint)
+    df = dense_key(df, ["listing_id"], "listing_key", checkpoint=checkpoint, max_rows=input_rows)
     return conform(df, schemas.DIM_LISTING)
 
 
@@ -137,6 +139,7 @@ def fact_reviews(
     max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
     dim_rows: int | None = None,
     checkpoint: bool = False,
+    input_rows: int | None = None,
 ) -> DataFrame:
     """M9: J4 (inner lookup), C11, P6 (review_count = 1), K2 in review_id order."""
     df = clean_reviews.select("listing_id", "review_id", "date", "reviewer_id")
@@ -149,7 +152,10 @@ def fact_reviews(
         F.lit(1).cast("int").alias("review_count"),
         C.month_key("date").alias("month_key"),
     )
-    df = dense_key(df, ["review_id", "listing_key", "date_key", "reviewer_id"], "review_key", checkpoint=checkpoint)
+    df = dense_key(
+        df, ["review_id", "listing_key", "date_key", "reviewer_id"], "review_key",
+        checkpoint=checkpoint, max_rows=input_rows,
+    )
     return conform(df, schemas.FACT_REVIEWS)
 
 
@@ -159,6 +165,7 @@ def fact_availability(
     max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
     dim_rows: int | None = None,
     checkpoint: bool = False,
+    input_rows: int | None = None,
 ) -> DataFrame:
     """D3 (global, one row per listing and date, unavailable first), J5,
     C11, K2 in (listing_key, date_key) order."""
@@ -174,7 +181,10 @@ def fact_availability(
         C.month_key("date").alias("month_key"),
     )
     pair = F.col("listing_key").cast("bigint") * _PAIR_BASE + F.col("date_key")
-    df = dense_key(df, ["listing_key", "date_key"], "availability_key", sort_value=pair, checkpoint=checkpoint)
+    df = dense_key(
+        df, ["listing_key", "date_key"], "availability_key", sort_value=pair,
+        checkpoint=checkpoint, max_rows=input_rows,
+    )
     return conform(df, schemas.FACT_AVAILABILITY)
 
 
