@@ -48,20 +48,19 @@ class Rule:
         return Rule(name, severity, violation=violation)
 
 
-def _report_rows(table: str, items: Sequence[tuple[str, str, Column]]) -> Column:
-    return F.inline(
-        F.array(
-            *[
-                F.struct(
-                    F.lit(table).alias("table_name"),
-                    F.lit(name).alias("rule"),
-                    F.lit(sev).alias("severity"),
-                    value.cast("bigint").alias("violations"),
-                )
-                for name, sev, value in items
-            ]
-        )
+def _sql_text(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _report_rows(table: str, items: Sequence[tuple[str, str, str]]) -> str:
+    """One SQL generator expression yielding a report row per ``(rule, severity,
+    count column)``; built as text so the whole report row is one expression."""
+    structs = ", ".join(
+        f"named_struct('table_name', {_sql_text(table)}, 'rule', {_sql_text(name)}, "
+        f"'severity', {_sql_text(sev)}, 'violations', CAST(`{col}` AS BIGINT))"
+        for name, sev, col in items
     )
+    return f"inline(array({structs}))"
 
 
 def validate(df: DataFrame, table: str, rules: Iterable[Rule]) -> DataFrame:
@@ -72,14 +71,12 @@ def validate(df: DataFrame, table: str, rules: Iterable[Rule]) -> DataFrame:
     if row_rules:
         counts = df.agg(*[F.count_if(r.violation).alias(f"_v{i}") for i, r in enumerate(row_rules)])
         parts.append(
-            counts.select(
-                _report_rows(table, [(r.name, r.severity, F.col(f"_v{i}")) for i, r in enumerate(row_rules)])
-            )
+            counts.selectExpr(_report_rows(table, [(r.name, r.severity, f"_v{i}") for i, r in enumerate(row_rules)]))
         )
     for r in rules:
         if r.unique is not None:
             parts.append(
-                duplicate_count(df, r.unique).select(_report_rows(table, [(r.name, r.severity, F.col("duplicates"))]))
+                duplicate_count(df, r.unique).selectExpr(_report_rows(table, [(r.name, r.severity, "duplicates")]))
             )
     return report_union(parts)
 
@@ -93,12 +90,12 @@ def report_union(parts: Sequence[DataFrame]) -> DataFrame:
 
 def count_report(table: str, name: str, severity: str, counted: DataFrame) -> DataFrame:
     """A report row whose violation count is the number of rows of ``counted``."""
-    return counted.agg(F.count(F.lit(1)).alias("_n")).select(_report_rows(table, [(name, severity, F.col("_n"))]))
+    return counted.agg(F.count(F.lit(1)).alias("_n")).selectExpr(_report_rows(table, [(name, severity, "_n")]))
 
 
 def value_report(table: str, name: str, severity: str, one_row: DataFrame, value_col: str) -> DataFrame:
     """A report row whose violation count is ``value_col`` of a one-row DataFrame."""
-    return one_row.select(_report_rows(table, [(name, severity, F.col(value_col))]))
+    return one_row.selectExpr(_report_rows(table, [(name, severity, value_col)]))
 
 
 def unmatched_row_count(df: DataFrame, parent_keys: DataFrame, key: str) -> DataFrame:
