@@ -154,7 +154,8 @@ def dense_key(
     if n <= 1 or (known_rows is not None and known_rows <= single_task_rows):
         total, bounds = known_rows, []
     else:
-        total, bounds = _bounds(df, value, n, accuracy, single_task_rows)
+        # quantile rank error 1/accuracy must stay well below one bucket (1/n)
+        total, bounds = _bounds(df, value, n, max(accuracy, 10 * n), single_task_rows)
     if not bounds:
         return _single_task_numbering(df, order_by, out_col)
     with_bucket, n_found = _with_bucket(df, value, bounds, numeric)

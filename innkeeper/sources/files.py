@@ -1,9 +1,10 @@
 """File sources and sinks.
 
-* CSV extracts are read with an explicit all-STRING schema (no inference pass),
-  ``multiLine`` for quoted newlines and ``""`` as the quote escape; the
-  missing-value tokens become NULL (S3).  A gzip file is one split, so the scan
-  is followed by a repartition before any wide work.
+* CSV extracts are read with every column as STRING, named by the header line
+  (no inference pass, no positional binding), ``multiLine`` for quoted newlines
+  and ``""`` as the quote escape; the missing-value tokens become NULL (S3).  A
+  gzip file is one split, so an under-split scan is spread over the task slots
+  before any wide work.
 * Staging and warehouse tables are Parquet (types survive between layers).
   Facts are written ``partitionBy("month_key")``.
 * A full refresh writes a complete new version directory and only then points
