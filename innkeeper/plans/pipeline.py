@@ -9,7 +9,10 @@ pass.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from typing import TypeVar
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +25,7 @@ from innkeeper.plans import warehouse as W
 from innkeeper.sources import files
 
 STAGING_TABLES = ("listings", "reviews", "neighbourhoods", "calendar")
+T = TypeVar("T")
 FACT_PARTITION = ["month_key"]
 
 
@@ -55,6 +59,19 @@ def staging_report(listings: DataFrame, reviews: DataFrame, neighbourhoods: Data
     )
 
 
+def run_concurrently(*jobs: Callable[[], T]) -> list[T]:
+    """Run independent Spark actions (table writes) as concurrent jobs.
+
+    Each small job leaves most task slots idle, and the driver-side planning of
+    one overlaps the execution of another; results do not depend on the overlap.
+    An exception in any job is raised after all have finished."""
+    if len(jobs) == 1:
+        return [jobs[0]()]
+    with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
+        futures = [pool.submit(job) for job in jobs]
+        return [f.result() for f in futures]
+
+
 def _observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     obs = Observation(name)
     return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
@@ -80,9 +97,12 @@ def run_staging(
     staged_reviews, reviews_in = _observed(S.stage_reviews(raw["reviews"], date_format), "reviews_in")
     staged_calendar, calendar_in = _observed(S.stage_calendar(raw["calendar"], date_format), "calendar_in")
     cleaned = S.drop_orphans(kept, staged_reviews, staged_calendar, kept_rows)
-    reviews_out = files.write_parquet_counted(cleaned["reviews"], f"{version}/reviews")
-    nb_rows = files.write_parquet_counted(S.stage_neighbourhoods(raw["neighbourhoods"]), f"{version}/neighbourhoods")
-    calendar_out = files.write_parquet_counted(cleaned["calendar"], f"{version}/calendar")
+    neighbourhoods = S.stage_neighbourhoods(raw["neighbourhoods"])
+    reviews_out, nb_rows, calendar_out = run_concurrently(
+        lambda: files.write_parquet_counted(cleaned["reviews"], f"{version}/reviews"),
+        lambda: files.write_parquet_counted(neighbourhoods, f"{version}/neighbourhoods"),
+        lambda: files.write_parquet_counted(cleaned["calendar"], f"{version}/calendar"),
+    )
     metrics = [
         _metric("listings_nights_range", listings_in.get["rows"], kept_rows),
         _metric("reviews_orphans", reviews_in.get["rows"], reviews_out),
@@ -150,10 +170,10 @@ def run_warehouse(
     bound = dict(staging_rows or {})
     version = files.new_version(out_root)
     rows: dict[str, int] = {}
-    rows["dim_neighbourhood"] = files.write_parquet_counted(
-        W.dim_neighbourhood(stg["neighbourhoods"]), f"{version}/dim_neighbourhood"
+    rows["dim_neighbourhood"], rows["dim_date"] = run_concurrently(
+        lambda: files.write_parquet_counted(W.dim_neighbourhood(stg["neighbourhoods"]), f"{version}/dim_neighbourhood"),
+        lambda: files.write_parquet_counted(W.dim_date(stg["calendar"], stg["reviews"]), f"{version}/dim_date"),
     )
-    rows["dim_date"] = files.write_parquet_counted(W.dim_date(stg["calendar"], stg["reviews"]), f"{version}/dim_date")
     nb = files.read_parquet(spark, f"{version}/dim_neighbourhood", schemas.DIM_NEIGHBOURHOOD)
     rows["dim_listing"] = files.write_parquet_counted(
         W.dim_listing(
@@ -162,15 +182,17 @@ def run_warehouse(
         f"{version}/dim_listing",
     )
     listing = files.read_parquet(spark, f"{version}/dim_listing", schemas.DIM_LISTING)
-    rows["fact_reviews"] = write_fact(
-        W.fact_reviews(stg["reviews"], listing, max_broadcast_rows, rows["dim_listing"], True, bound.get("reviews")),
-        f"{version}/fact_reviews",
-    )
-    rows["fact_availability"] = write_fact(
-        W.fact_availability(
-            stg["calendar"], listing, max_broadcast_rows, rows["dim_listing"], True, bound.get("calendar")
+    rows["fact_reviews"], rows["fact_availability"] = run_concurrently(
+        lambda: write_fact(
+            W.fact_reviews(stg["reviews"], listing, max_broadcast_rows, rows["dim_listing"], True, bound.get("reviews")),
+            f"{version}/fact_reviews",
+        ),
+        lambda: write_fact(
+            W.fact_availability(
+                stg["calendar"], listing, max_broadcast_rows, rows["dim_listing"], True, bound.get("calendar")
+            ),
+            f"{version}/fact_availability",
         ),
-        f"{version}/fact_availability",
     )
     star = read_star(spark, version, rows)
     report = W.constraint_report(star)
