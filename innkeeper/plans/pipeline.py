@@ -89,20 +89,22 @@ def run_staging(
     The S13 metrics (rows in / out of each cleaning step) are observed during the
     writes themselves, so they cost no extra pass over the input."""
     version = files.new_version(out_root)
-    # Listings first: the written table (with its observed row count) is the
-    # id side of both orphan joins, so the listing chain runs once.
-    staged_listings, listings_in = _observed(S.stage_listings(raw["listings"], date_format), "listings_in")
-    kept_rows = files.write_parquet_counted(S.nights_in_range(staged_listings), f"{version}/listings")
-    kept = files.read_parquet(spark, f"{version}/listings", schemas.STG_LISTINGS)
-    staged_reviews, reviews_in = _observed(S.stage_reviews(raw["reviews"], date_format), "reviews_in")
-    staged_calendar, calendar_in = _observed(S.stage_calendar(raw["calendar"], date_format), "calendar_in")
-    cleaned = S.drop_orphans(kept, staged_reviews, staged_calendar, kept_rows)
-    neighbourhoods = S.stage_neighbourhoods(raw["neighbourhoods"])
-    reviews_out, nb_rows, calendar_out = run_concurrently(
-        lambda: files.write_parquet_counted(cleaned["reviews"], f"{version}/reviews"),
-        lambda: files.write_parquet_counted(neighbourhoods, f"{version}/neighbourhoods"),
-        lambda: files.write_parquet_counted(cleaned["calendar"], f"{version}/calendar"),
-    )
+    with ThreadPoolExecutor(max_workers=3) as pool:
+        # Neighbourhoods depend on nothing else: written alongside the rest.
+        nb_job = pool.submit(
+            files.write_parquet_counted, S.stage_neighbourhoods(raw["neighbourhoods"]), f"{version}/neighbourhoods"
+        )
+        # Listings next: the written table (with its observed row count) is the
+        # id side of both orphan joins, so the listing chain runs once.
+        staged_listings, listings_in = _observed(S.stage_listings(raw["listings"], date_format), "listings_in")
+        kept_rows = files.write_parquet_counted(S.nights_in_range(staged_listings), f"{version}/listings")
+        kept = files.read_parquet(spark, f"{version}/listings", schemas.STG_LISTINGS)
+        staged_reviews, reviews_in = _observed(S.stage_reviews(raw["reviews"], date_format), "reviews_in")
+        staged_calendar, calendar_in = _observed(S.stage_calendar(raw["calendar"], date_format), "calendar_in")
+        cleaned = S.drop_orphans(kept, staged_reviews, staged_calendar, kept_rows)
+        reviews_job = pool.submit(files.write_parquet_counted, cleaned["reviews"], f"{version}/reviews")
+        calendar_out = files.write_parquet_counted(cleaned["calendar"], f"{version}/calendar")
+        reviews_out, nb_rows = reviews_job.result(), nb_job.result()
     metrics = [
         _metric("listings_nights_range", listings_in.get["rows"], kept_rows),
         _metric("reviews_orphans", reviews_in.get["rows"], reviews_out),
@@ -170,30 +172,33 @@ def run_warehouse(
     bound = dict(staging_rows or {})
     version = files.new_version(out_root)
     rows: dict[str, int] = {}
-    rows["dim_neighbourhood"], rows["dim_date"] = run_concurrently(
-        lambda: files.write_parquet_counted(W.dim_neighbourhood(stg["neighbourhoods"]), f"{version}/dim_neighbourhood"),
-        lambda: files.write_parquet_counted(W.dim_date(stg["calendar"], stg["reviews"]), f"{version}/dim_date"),
-    )
-    nb = files.read_parquet(spark, f"{version}/dim_neighbourhood", schemas.DIM_NEIGHBOURHOOD)
-    rows["dim_listing"] = files.write_parquet_counted(
-        W.dim_listing(
-            stg["listings"], nb, max_broadcast_rows, rows["dim_neighbourhood"], True, bound.get("listings")
-        ),
-        f"{version}/dim_listing",
-    )
-    listing = files.read_parquet(spark, f"{version}/dim_listing", schemas.DIM_LISTING)
-    rows["fact_reviews"], rows["fact_availability"] = run_concurrently(
-        lambda: write_fact(
-            W.fact_reviews(stg["reviews"], listing, max_broadcast_rows, rows["dim_listing"], True, bound.get("reviews")),
-            f"{version}/fact_reviews",
-        ),
-        lambda: write_fact(
-            W.fact_availability(
-                stg["calendar"], listing, max_broadcast_rows, rows["dim_listing"], True, bound.get("calendar")
+    with ThreadPoolExecutor(max_workers=2) as pool:
+        # DimDate depends on nothing else: written alongside the listing chain.
+        date_job = pool.submit(
+            files.write_parquet_counted, W.dim_date(stg["calendar"], stg["reviews"]), f"{version}/dim_date"
+        )
+        rows["dim_neighbourhood"] = files.write_parquet_counted(
+            W.dim_neighbourhood(stg["neighbourhoods"]), f"{version}/dim_neighbourhood"
+        )
+        nb = files.read_parquet(spark, f"{version}/dim_neighbourhood", schemas.DIM_NEIGHBOURHOOD)
+        rows["dim_listing"] = files.write_parquet_counted(
+            W.dim_listing(stg["listings"], nb, max_broadcast_rows, rows["dim_neighbourhood"], True, bound.get("listings")),
+            f"{version}/dim_listing",
+        )
+        listing = files.read_parquet(spark, f"{version}/dim_listing", schemas.DIM_LISTING)
+        rows["fact_reviews"], rows["fact_availability"] = run_concurrently(
+            lambda: write_fact(
+                W.fact_reviews(stg["reviews"], listing, max_broadcast_rows, rows["dim_listing"], True, bound.get("reviews")),
+                f"{version}/fact_reviews",
             ),
-            f"{version}/fact_availability",
-        ),
-    )
+            lambda: write_fact(
+                W.fact_availability(
+                    stg["calendar"], listing, max_broadcast_rows, rows["dim_listing"], True, bound.get("calendar")
+                ),
+                f"{version}/fact_availability",
+            ),
+        )
+        rows["dim_date"] = date_job.result()
     star = read_star(spark, version, rows)
     report = W.constraint_report(star)
     checked = Q.enforce(report) if enforce else report.collect()
