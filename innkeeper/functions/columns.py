@@ -143,7 +143,11 @@ def day_of_week(c: ColumnOrName) -> Column:
 
 
 def date_attributes(c: ColumnOrName) -> dict[str, Column]:
-    """Every DimDate attribute of a DATE column, by output name."""
+    """Every DimDate attribute of a DATE column, by output name.
+
+    ``week_of_year`` is the ISO week, next to the calendar ``year``: 2027-01-01
+    is in week 53 of ISO year 2026, so (year, week_of_year) is not a valid
+    grouping key across a year boundary."""
     d = _c(c)
     return {
         "date_key": date_key(d),
