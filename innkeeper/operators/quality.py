@@ -1,8 +1,8 @@
 """Data-quality rules (V-series).
 
-A rule is either a row predicate (counted with ``count_if``; all row rules of a
-table are evaluated in ONE aggregation pass) or a uniqueness rule on a key
-(``groupBy(key)`` with map-side partial counts).  ``validate`` returns a report
+A rule is either a row predicate (``count_if``) or a uniqueness rule on a key
+(rows minus distinct keys); all rules of a table are evaluated in ONE
+aggregation pass.  ``validate`` returns a report
 ``(table_name, rule, severity, violations)`` as a DataFrame; nothing stops at
 the first failure.  ``enforce`` collects that report (one row per rule) and
 raises once, listing every fatal rule that has violations.
@@ -17,8 +17,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from innkeeper.operators.dedup import duplicate_count
-
 FATAL, WARNING, REPORT = "fatal", "warning", "report"
 
 REPORT_COLUMNS = ["table_name", "rule", "severity", "violations"]
@@ -64,21 +62,23 @@ def _report_rows(table: str, items: Sequence[tuple[str, str, str]]) -> str:
 
 
 def validate(df: DataFrame, table: str, rules: Iterable[Rule]) -> DataFrame:
-    """Evaluate ``rules`` on ``df``; one report row per rule."""
+    """Evaluate ``rules`` on ``df`` in ONE aggregation pass; one report row per rule.
+
+    A uniqueness rule counts ``rows - count(DISTINCT struct(key))``: the struct is
+    never NULL and NULL fields compare equal, so NULL keys repeat like any other
+    value (the duplicated-rows semantics).  Spark plans the distinct counts with
+    a map-side partial aggregate per key, so a hot key collapses before the
+    shuffle, and the table is scanned once for all its rules."""
     rules = list(rules)
-    parts: list[DataFrame] = []
-    row_rules = [r for r in rules if r.violation is not None]
-    if row_rules:
-        counts = df.agg(*[F.count_if(r.violation).alias(f"_v{i}") for i, r in enumerate(row_rules)])
-        parts.append(
-            counts.selectExpr(_report_rows(table, [(r.name, r.severity, f"_v{i}") for i, r in enumerate(row_rules)]))
-        )
-    for r in rules:
-        if r.unique is not None:
-            parts.append(
-                duplicate_count(df, r.unique).selectExpr(_report_rows(table, [(r.name, r.severity, "duplicates")]))
-            )
-    return report_union(parts)
+    aggs = []
+    for i, r in enumerate(rules):
+        if r.violation is not None:
+            aggs.append(F.count_if(r.violation).alias(f"_v{i}"))
+        else:
+            key = F.struct(*[F.col(c) for c in r.unique])
+            aggs.append((F.count(F.lit(1)) - F.count_distinct(key)).alias(f"_v{i}"))
+    counts = df.agg(*aggs)
+    return counts.selectExpr(_report_rows(table, [(r.name, r.severity, f"_v{i}") for i, r in enumerate(rules)]))
 
 
 def report_union(parts: Sequence[DataFrame]) -> DataFrame:
