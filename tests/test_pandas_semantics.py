@@ -97,3 +97,59 @@ def test_date_attributes_agree_with_pandas(spark):
     for d, w in zip(dates, want.itertuples(index=False)):
         g = got[d.date()]
         assert tuple(g[k] for k in want.columns) == tuple(w), d
+
+
+def _random_rows(seed, n=400):
+    rnd = random.Random(seed)
+    pick = lambda values: rnd.choice(values)
+    return [
+        (pick([1, 2, 3, None]), pick(["a", "b", None]), pick([True, False, None]), pick([10, 20, None]))
+        for _ in range(n)
+    ]
+
+
+SCHEMA = "k int, s string, b boolean, v int"
+COLS = ["k", "s", "b", "v"]
+
+
+def _frame(rows):
+    return pd.DataFrame(rows, columns=COLS).astype({"k": "Int64", "v": "Int64", "s": "string", "b": "boolean"})
+
+
+def _plain(x):
+    if pd.isna(x):
+        return None
+    return x.item() if hasattr(x, "item") else x
+
+
+def _canon(rows):
+    return sorted((tuple(_plain(x) for x in r) for r in rows), key=repr)
+
+
+def test_dedup_and_duplicate_counts_agree_with_pandas(spark):
+    from innkeeper.operators import quality as Q
+    from innkeeper.operators.dedup import drop_exact_duplicates, duplicate_count
+
+    for seed in range(3):
+        rows = _random_rows(seed)
+        df, pdf = spark.createDataFrame(rows, SCHEMA), _frame(rows)
+        got = _canon(tuple(r) for r in drop_exact_duplicates(df).collect())
+        assert got == _canon(pdf.drop_duplicates().itertuples(index=False)), seed
+        for subset in (["k"], ["k", "s"], ["s", "b"]):
+            want = int(pdf.duplicated(subset=subset).sum())
+            assert duplicate_count(df, subset).first()["duplicates"] == want, (seed, subset)
+            report = Q.validate(df, "t", [Q.Rule.unique_key(*subset)]).first()
+            assert report["violations"] == want, (seed, subset)
+
+
+def test_keep_first_agrees_with_sorted_drop_duplicates(spark):
+    from innkeeper.operators.dedup import keep_first
+
+    for seed in range(3):
+        rows = _random_rows(seed + 10)
+        df, pdf = spark.createDataFrame(rows, SCHEMA), _frame(rows)
+        got = _canon(tuple(r) for r in keep_first(df, ["k"], ["s", "b", "v"]).collect())
+        # NULLs first, then ascending: the order keep_first promises
+        ordered = pdf.sort_values(["s", "b", "v"], na_position="first", kind="stable")
+        want = ordered.drop_duplicates(subset=["k"], keep="first")
+        assert got == _canon(want.itertuples(index=False)), seed
