@@ -126,3 +126,18 @@ def test_validate_warehouse_reports(star):
     assert counts == {"dim_neighbourhood": 2, "dim_listing": 4, "dim_date": 34, "fact_reviews": 3, "fact_availability": 124}
     u = reports["unique_listing_date"].first()
     assert u["total_rows"] == u["unique_listing_date"] == 124
+
+
+def test_fact_files_are_clustered_by_day(star):
+    """Within each written file rows are in date_key order, so Parquet row-group
+    statistics can skip row groups for a date range."""
+    import glob
+
+    import pyarrow.parquet as pq
+
+    _, root = star
+    files_ = glob.glob(f"{root}/warehouse/v=*/fact_availability/month_key=*/*.parquet")
+    assert files_
+    for f in files_:
+        keys = pq.read_table(f, columns=["date_key"]).column("date_key").to_pylist()
+        assert keys == sorted(keys), f
