@@ -3,6 +3,7 @@
     python -m innkeeper staging   --listings L --reviews R --calendar C --neighbourhoods N --out ROOT
     python -m innkeeper warehouse --staging ROOT/staging/v=... --out ROOT
     python -m innkeeper questions --warehouse ROOT/warehouse/v=... [--month 2027-01] [--range 2026-12-29:2027-01-02]
+        [--q1-month 2027-01 --q2-month 2026-11 --q4-month 2027-03]
 
 ``staging`` reads the four raw CSV extracts (gzip or plain) and publishes a
 validated staging version; ``warehouse`` builds, checks and publishes the star
@@ -40,7 +41,9 @@ def _parser() -> argparse.ArgumentParser:
     w.add_argument("--report-only", action="store_true")
     q = sub.add_parser("questions")
     q.add_argument("--warehouse", required=True, help="a warehouse version directory")
-    q.add_argument("--month", default=None, help="YYYY-MM for Q1, Q2 and Q4")
+    q.add_argument("--month", default=None, help="YYYY-MM for Q1, Q2 and Q4 (each can be overridden)")
+    for n in ("q1", "q2", "q4"):
+        q.add_argument(f"--{n}-month", default=None, help=f"YYYY-MM for {n.upper()}")
     q.add_argument("--range", default=None, help="START:END for Q5 (inclusive ISO dates)")
     q.add_argument("--guests-month", type=int, default=4)
     q.add_argument("--min-days", type=int, default=7)
@@ -82,11 +85,14 @@ def main(argv: list[str] | None = None) -> int:
         else:
             star = P.read_star(spark, args.warehouse)
             out = {"q3_priciest_neighbourhood": A.priciest_neighbourhoods(star, 1)}
-            if args.month:
-                y, m = (int(x) for x in args.month.split("-"))
-                out["q1_cheapest_most_available"] = A.cheapest_most_available(star, y, m)
-                out["q2_most_reviewed"] = A.most_reviewed(star, y, m)
-                out["q4_family_stay"] = A.recommend_month(star, args.guests_month, args.min_days, y, m)
+            months = {n: getattr(args, f"{n}_month") or args.month for n in ("q1", "q2", "q4")}
+            ym = {n: tuple(int(x) for x in v.split("-")) for n, v in months.items() if v}
+            if "q1" in ym:
+                out["q1_cheapest_most_available"] = A.cheapest_most_available(star, *ym["q1"])
+            if "q2" in ym:
+                out["q2_most_reviewed"] = A.most_reviewed(star, *ym["q2"])
+            if "q4" in ym:
+                out["q4_family_stay"] = A.recommend_month(star, args.guests_month, args.min_days, *ym["q4"])
             if args.range:
                 start, end = args.range.split(":")
                 out["q5_range_stay"] = A.recommend_range(star, args.guests_range, start, end)
