@@ -9,7 +9,7 @@ from innkeeper import catalog, session
 from innkeeper.plans import analytics as A
 from innkeeper.plans import pipeline as P
 from innkeeper.plans import warehouse as W
-from innkeeper.sources import standin
+from innkeeper.sources import files, standin
 from tests.conftest import SF_SMALL
 
 
@@ -73,3 +73,16 @@ def test_staging_reads_only_needed_columns(built):
     _, stg = built
     plan = plan_of(W.dim_date(stg["calendar"], stg["reviews"]))
     assert "ReadSchema: struct<date:date>" in plan
+
+
+def test_enforced_staging_names_every_fatal_rule(spark):
+    from innkeeper.operators.quality import DataQualityError
+
+    root = session.scratch_path(spark, "test-enforce-standin")
+    with pytest.raises(DataQualityError) as err:
+        P.run_staging(spark, standin.raw_extracts(spark, SF_SMALL), f"{root}/staging", enforce=True)
+    message = str(err.value)
+    for rule in ("price_not_negative", "rating_between_1_and_5", "listing_id_date_unique"):
+        assert rule in message, rule
+    with pytest.raises(Exception):  # nothing was published
+        files.current_version(spark, f"{root}/staging")
