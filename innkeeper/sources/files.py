@@ -7,13 +7,14 @@
   before any wide work.
 * Staging and warehouse tables are Parquet (types survive between layers).
   Facts are written ``partitionBy("month_key")``.
-* A full refresh writes a complete new version directory and only then points
-  ``_current`` at it, so readers never see a half-loaded warehouse and a failed
-  or retried run leaves the previous version in place.
+* A full refresh writes a complete new version directory and only then appends
+  a pointer record to ``_current``, so readers never see a half-loaded
+  warehouse and a failed or retried run leaves the previous version in place.
 """
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Iterable
 
@@ -130,13 +131,22 @@ def new_version(root: str) -> str:
 
 
 def publish_version(spark: SparkSession, root: str, version_dir: str) -> None:
-    """Point ``<root>/_current`` at a fully written version directory."""
-    pointer = spark.range(1).select(F.lit(version_dir).alias("path"))
-    pointer.write.mode("overwrite").text(f"{root.rstrip('/')}/_current")
+    """Make a fully written version directory current.
+
+    Pointer records are only ever appended (``<ns timestamp>\t<path>``), never
+    overwritten: a reader always finds at least the previous version, and a
+    publish that dies half-way leaves the old pointer in force."""
+    record = f"{time.time_ns():020d}\t{version_dir}"
+    pointer = spark.range(1).select(F.lit(record).alias("value"))
+    pointer.coalesce(1).write.mode("append").text(f"{root.rstrip('/')}/_current")
 
 
 def current_version(spark: SparkSession, root: str) -> str:
-    row = spark.read.text(f"{root.rstrip('/')}/_current").first()
-    if row is None:
+    """The most recently published version directory under ``root``."""
+    try:
+        latest = spark.read.text(f"{root.rstrip('/')}/_current").agg(F.max("value").alias("v")).first()
+    except AnalysisException:
+        latest = None
+    if latest is None or latest["v"] is None:
         raise FileNotFoundError(f"no published version under {root}")
-    return row[0]
+    return latest["v"].split("\t", 1)[1]

@@ -115,3 +115,8 @@ def test_csv_binds_columns_by_header_name(spark):
         (1, 100.0), (2, 80.0), (3, None), (4, 50.0), (5, 1200.0)]
     with pytest.raises(ValueError, match="missing columns"):
         files.scan_csv(spark, path, ["id", "no_such_column"])
+
+
+def test_missing_pointer_is_a_clear_error(spark):
+    with pytest.raises(FileNotFoundError):
+        files.current_version(spark, session.scratch_path(spark, "test-no-pointer"))
