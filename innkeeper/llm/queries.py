@@ -2,12 +2,20 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from innkeeper.llm import simhash
+from innkeeper.llm import bpe, simhash
 from innkeeper.llm.common import read_table
 
+WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+
+
+def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of every document, encoded and decoded, as digests."""
+    return bpe.round_trip_digests(read_table(spark, sf_dir, "documents"), WORD_TOKENIZER)
+
 
 def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document: 3-word shingles, 2 bits."""
@@ -16,6 +24,7 @@ def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_bpe": op3_bpe,
     "op7_simhash_near_dedup": op7_simhash_near_dedup,
 }
 ORACLE_SQL: dict[str, str] = {}
