@@ -22,6 +22,7 @@ import hashlib
 import json
 import unicodedata
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +30,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from tokenizers import Tokenizer
 
 from innkeeper.llm.common import byte_chunks, ragged
 
@@ -55,6 +57,7 @@ class WordBpe:
     """A word-level BPE vocabulary with an end-of-word suffix, read from a tokenizer file."""
 
     def __init__(self, path: str):
+        self.path = path
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         model, suffix = spec["model"], spec["model"]["end_of_word_suffix"]
@@ -90,25 +93,26 @@ class WordBpe:
         return self._plain(text)
 
     def _plain(self, text: str) -> list[str]:
+        if not text.isascii() and (strange := set(text) - self.usual):
+            unassigned = {c for c in strange if unicodedata.category(c) == "Cn"}
+            self.usual |= strange - unassigned
+            if unassigned:
+                return self._newer(text)
         if not unicodedata.is_normalized("NFC", text):
             text = unicodedata.normalize("NFC", text)
         # lower case goes character by character: no final form of sigma
-        text = text.replace("Σ", "σ").lower()
-        if not text.isascii() and (strange := set(text) - self.usual):
-            newer = {c for c in strange if unicodedata.category(c) == "Cn"}
-            self.usual |= strange - newer
-            if newer:
-                return self._with_unassigned(text, newer)
-        return self._words.findall(text)
-
-    def _with_unassigned(self, text: str, newer: set[str]) -> list[str]:
-        """Words of a text with characters that became letters after the Unicode version
-        the vocabulary's library knows: they count as neither letter nor number, so private-use
-        characters stand in for them while the text is split."""
-        free = (c for c in map(chr, range(0xF0000, 0xFFFFE)) if c not in text)
-        there = dict(zip(newer, free, strict=False))
-        back = str.maketrans({v: k for k, v in there.items()})
-        return [w.translate(back) for w in self._words.findall(text.translate(str.maketrans(there)))]
+        return self._words.findall(text.replace("Σ", "σ").lower())
+
+    @cached_property
+    def _library(self) -> Tokenizer:
+        return Tokenizer.from_file(self.path)
+
+    def _newer(self, text: str) -> list[str]:
+        """Words of a text with characters that Python's Unicode tables don't know: the
+        splitter of the vocabulary's own library has later tables."""
+        parts = self._library.pre_tokenizer.pre_tokenize_str(self._library.normalizer.normalize_str(text))
+        byte = {s: b for b, s in enumerate(_byte_symbols())}
+        return [bytes(byte[c] for c in part).decode("utf-8") for part, _ in parts]
 
     def _search(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Rank and result of symbol pairs; NO_RANK if they don't merge."""
