@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from innkeeper.llm import bpe, simhash
+from innkeeper.llm import bpe, decontaminate, simhash
 from innkeeper.llm.common import read_table
 
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -23,8 +23,20 @@ def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words and items of every document that occur in benchmark windows of 10 words."""
+    docs, benchmark = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")
+    found = decontaminate.find_overlaps(docs, benchmark, width=10)
+    n_hit = F.aggregate(F.zip_with("starts", "ends", lambda i, j: (j - i).cast("long")), F.lit(0).cast("long"), lambda n, x: n + x)
+    return found.select(
+        "doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join(F.array_sort("items"), ","), 256).alias("items_sha256"),
+    ).withColumn("contaminated", F.col("n_hit") > 0)
+
+
 QUERIES = {
     "op3_bpe": op3_bpe,
     "op7_simhash_near_dedup": op7_simhash_near_dedup,
+    "op9_decontaminate": op9_decontaminate,
 }
 ORACLE_SQL: dict[str, str] = {}
