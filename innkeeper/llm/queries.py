@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from innkeeper.llm import bpe, decontaminate, simhash
+from innkeeper.llm import bpe, decontaminate, sharding, simhash
 from innkeeper.llm.common import read_table
 
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -34,7 +34,22 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).withColumn("contaminated", F.col("n_hit") > 0)
 
 
+def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 40 shards of near equal bytes, equal texts side by side."""
+    text = F.coalesce(F.col("text"), F.lit(""))
+    # the text itself is not moved: its size, checksum and hash place the record
+    docs = read_table(spark, sf_dir, "documents").select(
+        F.col("doc_id").cast("long").alias("doc_id"), (F.octet_length(text) + F.lit(16)).cast("long").alias("size"),
+        F.crc32(text.cast("binary")).alias("text_crc32"), F.xxhash64(text).alias("text_hash"),
+    )
+    found = sharding.shard_records(docs, 40, F.col("size"), F.col("text_hash"), "doc_id", law="bytes")
+    return found.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
+
+
 QUERIES = {
+    "op2_sharding": op2_sharding,
     "op3_bpe": op3_bpe,
     "op7_simhash_near_dedup": op7_simhash_near_dedup,
     "op9_decontaminate": op9_decontaminate,
