@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from innkeeper.llm import bpe, chat, decontaminate, sharding, simhash
+from innkeeper.llm import bpe, chat, decontaminate, langid, sharding, simhash
 from innkeeper.llm.common import read_table
 
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -60,9 +60,18 @@ def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.conversation_digests(chunks, BYTE_TOKENIZER, public_tokenizers.PATTERN)
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from the rows outside the held-out third."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang").withColumn("held_out", langid.crc_fold("doc_id", 3) == 1)
+    model = langid.train(docs.where(~F.col("held_out")), "doc_id", "text", "lang")
+    found = langid.predict(docs.select("doc_id", "held_out", "text"), *model)
+    return found.select("doc_id", "held_out", "lang_pred", "score")
+
+
 QUERIES = {
     "op2_sharding": op2_sharding,
     "op3_bpe": op3_bpe,
+    "op4_language_id": op4_language_id,
     "op5_chat_format": op5_chat_format,
     "op7_simhash_near_dedup": op7_simhash_near_dedup,
     "op9_decontaminate": op9_decontaminate,
