@@ -7,7 +7,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from innkeeper.session import scratch_path
 
@@ -46,3 +47,7 @@ def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         return np.empty(0, np.int64)
     before = np.cumsum(lengths) - lengths
     return np.arange(total, dtype=np.int64) + np.repeat(starts - before, lengths)
+
+def crc_fold(id_col: str, folds: int) -> Column:
+    """crc32 of the id as text, modulo ``folds``."""
+    return F.crc32(F.col(id_col).cast("string").cast("binary")) % folds

@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from innkeeper.llm import bpe, chat, decontaminate, langid, sharding, simhash
-from innkeeper.llm.common import read_table
+from innkeeper.llm import bpe, chat, decontaminate, langid, sharding, simhash, toxicity
+from innkeeper.llm.common import crc_fold, read_table
 
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -62,17 +62,26 @@ def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, learned from the rows outside the held-out third."""
-    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang").withColumn("held_out", langid.crc_fold("doc_id", 3) == 1)
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang").withColumn("held_out", crc_fold("doc_id", 3) == 1)
     model = langid.train(docs.where(~F.col("held_out")), "doc_id", "text", "lang")
     found = langid.predict(docs.select("doc_id", "held_out", "text"), *model)
     return found.select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learned from the labelled rows outside the held-out fifth."""
+    docs, labels = read_table(spark, sf_dir, "documents").select("doc_id", "text"), read_table(spark, sf_dir, "labels")
+    model = toxicity.train(docs, labels.where(crc_fold("doc_id", 5) != 0), "doc_id", "text", "toxic")
+    found = toxicity.score(docs.withColumn("held_out", crc_fold("doc_id", 5) == 0), model)
+    return found.select("doc_id", "held_out", "score", "predicted")
+
+
 QUERIES = {
     "op2_sharding": op2_sharding,
     "op3_bpe": op3_bpe,
     "op4_language_id": op4_language_id,
     "op5_chat_format": op5_chat_format,
+    "op6_toxicity": op6_toxicity,
     "op7_simhash_near_dedup": op7_simhash_near_dedup,
     "op9_decontaminate": op9_decontaminate,
 }
