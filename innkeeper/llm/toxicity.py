@@ -37,6 +37,7 @@ SAMPLE_ROWS = 10_000
 CHUNK_BYTES = 1 << 20
 CACHED_WORDS = 200_000
 PREFIXES = (4, 5, 6)
+FALSE_ALARM = 1e-5
 
 # Letters that a character of leetspeak can stand for.
 LEET = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t"}
@@ -265,8 +266,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_
     """The character model over all ``docs``; the classifier from about ``sample_rows`` of the
     labelled documents (all of them if there are no more), chosen by a hash of the id.
 
-    A feature is telling when it is at least e times as frequent in toxic documents and the difference is
-    over 4 standard errors; at least 3 toxic documents must have it."""
+    A feature is telling when it is at least e times as frequent in toxic documents and would be
+    so by chance with a probability under ``FALSE_ALARM``."""
     characters = language_model(count_trigrams(docs, text_col))
     known = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("_id")).agg(F.max(label_col).alias("_toxic"))
     total = known.count()
@@ -301,10 +302,12 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_
         return Model(characters, constant=n_toxic / max(1, n_toxic + n_clean))
     counted = counted.drop("")
     p, q = (counted["toxic"] + 0.5) / (n_toxic + 1), (counted["clean"] + 0.5) / (n_clean + 1)
-    both = (counted["toxic"] + counted["clean"]) / (n_toxic + n_clean)
-    error = np.sqrt(both * (1 - both) * (1 / n_toxic + 1 / n_clean)) + 1e-12
     odds = np.log(p / q)
-    odds = odds[(odds >= 1) & ((p - q) / error >= 4)]
+    # Chernoff bound: chance of so many toxic holders if the feature told nothing
+    seen, base = counted["toxic"] + counted["clean"], n_toxic / (n_toxic + n_clean)
+    share = counted["toxic"] / seen
+    rest = np.where(share < 1, (1 - share) * np.log(np.maximum(1 - share, 1e-300) / (1 - base)), 0.0)
+    odds = odds[(odds >= 1) & (seen * (share * np.log(share / base) + rest) >= -math.log(FALSE_ALARM))]
     model = Model(characters, odds.to_dict())
     given = docs.sparkSession.sparkContext.broadcast(model)
 
