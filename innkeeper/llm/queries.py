@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from innkeeper.llm import bpe, chat, decontaminate, langid, sharding, simhash, toxicity
+from innkeeper.llm import bpe, chat, decontaminate, embeddings, langid, sharding, simhash, toxicity
 from innkeeper.llm.common import crc_fold, read_table
 
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -76,6 +76,11 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", "score", "predicted")
 
 
+def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all embeddings of equal label at cosine 0.93."""
+    return embeddings.near_duplicates(read_table(spark, sf_dir, "embeddings"), threshold=0.93)
+
+
 QUERIES = {
     "op2_sharding": op2_sharding,
     "op3_bpe": op3_bpe,
@@ -84,5 +89,6 @@ QUERIES = {
     "op6_toxicity": op6_toxicity,
     "op7_simhash_near_dedup": op7_simhash_near_dedup,
     "op9_decontaminate": op9_decontaminate,
+    "op10_embedding_near_dedup": op10_embedding_near_dedup,
 }
 ORACLE_SQL: dict[str, str] = {}
