@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from innkeeper.llm import bpe, chat, decontaminate, embeddings, langid, sharding, simhash, toxicity
+from innkeeper.llm import bpe, chat, decontaminate, embeddings, langid, sharding, simhash, token_counts, toxicity
 from innkeeper.llm.common import crc_fold, read_table
 
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -81,6 +81,13 @@ def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_duplicates(read_table(spark, sf_dir, "embeddings"), threshold=0.93)
 
 
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unigram token counts of every whole document."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = token_counts.count_tokens(docs, BYTE_TOKENIZER, public_tokenizers.PATTERN)
+    return found.select("doc_id", "n_pretokens", "n_tokens", "log_prob")
+
+
 QUERIES = {
     "op2_sharding": op2_sharding,
     "op3_bpe": op3_bpe,
@@ -88,6 +95,7 @@ QUERIES = {
     "op5_chat_format": op5_chat_format,
     "op6_toxicity": op6_toxicity,
     "op7_simhash_near_dedup": op7_simhash_near_dedup,
+    "op8_token_counts": op8_token_counts,
     "op9_decontaminate": op9_decontaminate,
     "op10_embedding_near_dedup": op10_embedding_near_dedup,
 }
