@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from innkeeper.llm import bpe, chat, decontaminate, embeddings, langid, sharding, simhash, token_counts, toxicity
+from innkeeper.llm import bpe, chat, decontaminate, embeddings, langid, sharding, simhash, substring_dedup, token_counts, toxicity
 from innkeeper.llm.common import crc_fold, read_table
 
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -88,7 +88,17 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_pretokens", "n_tokens", "log_prob")
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages of 50 words or more that an earlier document, or an earlier place, has too."""
+    found = substring_dedup.repeated_passages(read_table(spark, sf_dir, "documents"), min_words=50, similarity=0.8)
+    return found.select(
+        F.col("doc").alias("doc_id"), "start_word", "end_word", F.col("doc2").alias("source_doc_id"),
+        F.col("start_word2").alias("source_start_word"), F.col("end_word2").alias("source_end_word"), "similarity",
+    )
+
+
 QUERIES = {
+    "op1_substring_dedup": op1_substring_dedup,
     "op2_sharding": op2_sharding,
     "op3_bpe": op3_bpe,
     "op4_language_id": op4_language_id,
