@@ -38,8 +38,9 @@ BLOCK_BYTES = 2 << 20
 _POS = 40
 _TABLE = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 
-INDEX_SCHEMA = "row_id long, doc_id long, n_words long, terms array<int>, positions array<int>"
-FOUND_SCHEMA = "row_id long, doc_id long, n_words long, starts array<int>, ends array<int>, items array<string>, near_items array<string>"
+KEYS = ["row_id", "doc_id", "text_hash"]
+INDEX_SCHEMA = "row_id long, doc_id long, text_hash long, n_words long, terms array<int>, positions array<int>"
+FOUND_SCHEMA = "row_id long, doc_id long, text_hash long, n_words long, starts array<int>, ends array<int>, items array<string>, near_items array<string>"
 
 
 def words(text: str | None) -> list[bytes]:
@@ -124,11 +125,12 @@ def _index(docs: DataFrame, windows, id_col: str, text_col: str) -> DataFrame:
                 ends = np.r_[0, np.cumsum(np.bincount(doc, minlength=len(n_words)))]
                 position = at - (np.cumsum(n_words) - n_words)[doc]
                 lists = [pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(x, pa.int32())) for x in (term[at], position)]
-                columns = [part.column("row_id"), part.column("doc_id"), pa.array(n_words), *lists]
-                yield pa.RecordBatch.from_arrays(columns, ["row_id", "doc_id", "n_words", "terms", "positions"])
+                columns = [*(part.column(c) for c in KEYS), pa.array(n_words), *lists]
+                yield pa.RecordBatch.from_arrays(columns, [*KEYS, "n_words", "terms", "positions"])
 
+    text = F.col(text_col).cast("string")
     rows = docs.select(
-        F.monotonically_increasing_id().alias("row_id"), F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")
+        F.monotonically_increasing_id().alias("row_id"), F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"), text.alias("text")
     )
     return rows.mapInArrow(run, INDEX_SCHEMA)
 
@@ -183,8 +185,8 @@ def _search(index: DataFrame, windows, width: int, slop: int) -> DataFrame:
             return pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array([w.names[i] for i in item.tolist()], pa.string()))
 
         lists = [pa.ListArray.from_arrays(pa.array(spans, pa.int32()), pa.array(x - base[doc], pa.int32())) for x in (up, down)]
-        columns = [part.column("row_id"), part.column("doc_id"), part.column("n_words"), *lists, listed(pairs), listed(near)]
-        return pa.RecordBatch.from_arrays(columns, ["row_id", "doc_id", "n_words", "starts", "ends", "items", "near_items"])
+        columns = [*(part.column(c) for c in KEYS), part.column("n_words"), *lists, listed(pairs), listed(near)]
+        return pa.RecordBatch.from_arrays(columns, [*KEYS, "n_words", "starts", "ends", "items", "near_items"])
 
     return index.mapInArrow(run, FOUND_SCHEMA)
 
@@ -193,7 +195,7 @@ def find_overlaps(
     docs: DataFrame, benchmark: DataFrame, width: int = 10, slop: int = 0, id_col: str = "doc_id", text_col: str = "text",
     item_col: str = "item_id", item_text_col: str = "text", block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
-    """For every document: ``row_id, doc_id, n_words, starts, ends`` (word ranges inside
+    """For every document: ``row_id, doc_id, text_hash, n_words, starts, ends`` (word ranges inside
     exact matches, merged, end exclusive), ``items`` (ids with an exactly matching window) and ``near_items``
     (ids with a window matched only in proximity)."""
     spark = docs.sparkSession
@@ -214,7 +216,7 @@ def find_overlaps(
     for more in found[1:]:
         every = every.unionByName(more)
     gathered = every.groupBy("row_id").agg(
-        F.first("doc_id").alias("doc_id"), F.first("n_words").alias("n_words"),
+        F.first("doc_id").alias("doc_id"), F.first("text_hash").alias("text_hash"), F.first("n_words").alias("n_words"),
         F.array_sort(F.flatten(F.collect_list(F.arrays_zip("starts", "ends")))).alias("spans"),
         F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"),
         F.array_distinct(F.flatten(F.collect_list("near_items"))).alias("near_items"),
@@ -230,4 +232,13 @@ def find_overlaps(
         ).otherwise(F.concat(done, F.array(x))),
     )
     gathered = gathered.withColumn("spans", F.when(F.size("spans") > 0, merged).otherwise(F.expr("cast(array() as array<struct<starts:int,ends:int>>)")))
-    return gathered.select("row_id", "doc_id", "n_words", F.col("spans.starts").alias("starts"), F.col("spans.ends").alias("ends"), "items", "near_items")
+    return gathered.select(*KEYS, "n_words", F.col("spans.starts").alias("starts"), F.col("spans.ends").alias("ends"), "items", "near_items")
+
+
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """``docs`` without the rows that hold an exact benchmark window; rows of equal id and text share their fate."""
+    found = find_overlaps(docs, benchmark, id_col=id_col, text_col=text_col, **options).where(F.size("starts") > 0)
+    # written, so that the join below can see its size
+    hit = materialise(found.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct(), "decontaminate-hit")
+    same = F.col(id_col).cast("long").eqNullSafe(F.col("_id")) & (F.xxhash64(F.col(text_col).cast("string")) == F.col("_hash"))
+    return docs.join(hit, same, "left_anti")

@@ -78,7 +78,7 @@ def majority(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
-    """``doc_id, fp`` (the 64 bits as a signed long) for every row."""
+    """``doc_id, text_hash, fp`` (the 64 bits as a signed long) for every row; the text's hash tells rows of one id apart."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -86,10 +86,12 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 each = [shingle_hashes(t, shingle) if t else [] for t in part.column("text").to_pylist()]
                 counts = np.array([len(x) for x in each], np.int64)
                 flat = np.fromiter((h for x in each for h in x), np.uint64, int(counts.sum()))
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(majority(flat, counts))], ["doc_id", "fp"])
+                columns = [part.column("doc_id"), part.column("text_hash"), pa.array(majority(flat, counts))]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_hash", "fp"])
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, fp long")
+    text = F.col(text_col).cast("string")
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
+    return rows.mapInArrow(run, "doc_id long, text_hash long, fp long")
 
 
 def segment_radii(distance: int, segments: int) -> list[int]:
@@ -159,12 +161,28 @@ def _crowded_links(index: DataFrame, probes: DataFrame, full: DataFrame, distanc
 def near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, distance: int = 2, segments: int = 2, crowded: int = 64
 ) -> DataFrame:
-    """``doc_id, fp, component_id`` for every row: the smallest doc_id reachable over
-    links of ``distance`` or fewer differing fingerprint bits."""
+    """``doc_id, text_hash, fp, root, component_id`` for every row: the smallest doc_id reachable over
+    links of ``distance`` or fewer differing fingerprint bits, and the fingerprint that names the component."""
     each = materialise(fingerprints(docs, id_col, text_col, shingle), "simhash-fp")
     fps = materialise(each.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "simhash-distinct")
     roots = connected_components(links(fps.select("fp"), distance, segments, crowded), "a", "b")
     known = fps.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     smallest = known.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    labels = known.select("fp", "root").join(smallest, "root").select("fp", "component_id")
-    return each.join(labels, "fp").select("doc_id", "fp", "component_id")
+    labels = known.select("fp", "root").join(smallest, "root").select("fp", "root", "component_id")
+    return each.join(labels, "fp").select("doc_id", "text_hash", "fp", "root", "component_id")
+
+
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """``docs`` with one row of each component: the smallest id (NULL last), of rows that share it the smallest
+    text hash, of equal rows one."""
+    found = materialise(near_duplicates(docs, id_col, text_col, **options), "simhash-found")
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")
+    first = found.groupBy("root").agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    members = found.join(first, "root").select("doc_id", "text_hash", (order == F.col("first")).alias("stays"))
+    # written, so that the join below can see its size
+    counted = materialise(members.groupBy("doc_id", "text_hash").agg(F.max("stays").alias("stays"), F.count(F.lit(1)).alias("n")), "simhash-members")
+    gone = counted.where(~F.col("stays")).select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
+    same = F.col(id_col).cast("long").eqNullSafe(F.col("_id")) & (F.xxhash64(F.col(text_col).cast("string")) == F.col("_hash"))
+    kept = docs.join(gone, same, "left_anti")
+    repeated = counted.where("stays and n > 1")
+    return kept if repeated.isEmpty() else kept.dropDuplicates([id_col, text_col])
