@@ -11,7 +11,8 @@ the cheapest completed piece.  A shared prefix is scored once; pre-tokens read t
 terminal node.  Counts are kept per Python worker within a bound.
 
 Defined results: NULL and empty texts have 0 pre-tokens and 0 tokens; whole texts are counted, pre-tokens of more than
-``MAX_PRETOKEN`` characters are cut there by rule; a byte outside the vocabulary is one token at a fixed cost; repeated rows
+``MAX_PRETOKEN`` characters are cut there by rule (the pattern must start a pre-token at a
+single blank, as the public one does); a byte outside the vocabulary is one token at a fixed cost; repeated rows
 count alike; an empty table gives no rows; extra columns are carried along, and those named like an output column are replaced.
 """
 
@@ -27,7 +28,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from innkeeper.llm.bpe import pieces
 from innkeeper.llm.common import byte_chunks, ragged
 
 COST_SCALE = 10_000
@@ -35,9 +35,20 @@ UNKNOWN_COST = 25 * COST_SCALE
 MAX_PRETOKEN = 4096
 CACHED = 200_000
 CHUNK_BYTES = 2 << 20
+_CUT = regex.compile(r"(?<=\S) (?=\S)")
 _TOKENS = 20  # low bits of a score: pieces so far; above them: the cost
 
 
+def pieces(text: str, limit: int) -> Iterator[str]:
+    """Cut a text before single blanks between other characters, which start a pre-token, into
+    pieces of about ``limit`` characters."""
+    start = 0
+    while len(text) - start > limit and (cut := _CUT.search(text, pos=start + limit)):
+        yield text[start : cut.start()]
+        start = cut.start()
+    yield text[start:]
+
+
 class UnigramCounter:
     """The vocabulary's trie as sorted transitions, and forward scores of pre-tokens."""
 
@@ -124,6 +135,8 @@ class UnigramCounter:
         return sums
 
     def _add(self, sums: np.ndarray, which: list[int], words: list[str], ends: list[int]) -> None:
+        if not which:
+            return
         if len(self.slot) > CACHED:
             self.slot, self.values = {}, np.empty((0, 2), np.int64)
         if missing := set(words) - self.slot.keys():
