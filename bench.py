@@ -50,7 +50,7 @@ def main() -> None:
     built = timed(
         "warehouse",
         lambda: P.run_warehouse(
-            spark, staged.path, f"{root}/warehouse", enforce=False, staging_rows=staged.row_counts
+            spark, staged.path, f"{root}/warehouse", enforce=False
         ),
     )
     star = P.read_star(spark, built.path, built.row_counts)

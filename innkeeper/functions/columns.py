@@ -59,12 +59,14 @@ def clean_text(c: ColumnOrName) -> Column:
 
 
 def strict_bigint(c: ColumnOrName, name: str = "id") -> Column:
-    """Integer text to BIGINT; NULL stays NULL, anything else that is not an
-    integer in range (``12.5``, ``1e3``, ``abc``, overflow) raises, as a strict
-    nullable-integer cast does."""
+    """Text of an integral number to BIGINT (``12``, ``12.0``, ``1e3``: a column read as float
+    is cast to integers the same way); NULL stays NULL, anything else
+    (``12.5``, ``abc``, overflow) raises, as a strict nullable-integer cast does."""
     c = _c(c)
     text = c.cast("string")
-    parsed = text.try_cast("bigint")
+    number = parse_number(text)
+    integral = (number == F.floor(number)) & (F.abs(number) < F.lit(2.0**63))
+    parsed = F.coalesce(text.try_cast("bigint"), F.when(integral, number.try_cast("bigint")))
     return F.when(c.isNull() | parsed.isNotNull(), parsed).otherwise(
         F.raise_error(F.concat(F.lit(f"not an integer in {name}: "), text))
     ).cast("bigint")
@@ -110,8 +112,12 @@ def parse_currency(c: ColumnOrName) -> Column:
 
 
 def parse_date(c: ColumnOrName, fmt: str = "yyyy-MM-dd") -> Column:
-    """Lenient date parse; text that does not match ``fmt`` becomes NULL."""
-    return F.try_to_date(_c(c).cast("string"), fmt)
+    """Lenient date parse; text that does not match ``fmt`` becomes NULL.  Months and
+    days of the default format may lack their leading zero."""
+    text = _c(c).cast("string")
+    if fmt != "yyyy-MM-dd":
+        return F.try_to_date(text, fmt)
+    return F.when(text.rlike(r"^\d{4}-\d{1,2}-\d{1,2}$"), F.try_to_date(text, "yyyy-M-d"))
 
 
 def parse_flag(c: ColumnOrName, true: str = "t", false: str = "f") -> Column:

@@ -1,26 +1,23 @@
 """Surrogate keys (K1, K2).
 
-``dense_key`` numbers rows 1..N in the order of a natural key without a
-single-partition window:
-
-1. cut points of the sort column (``percentile_approx`` for numbers, a bounded
-   sample for text; reads only that column) are collected once and become
-   literals;
-2. a bucket column is computed from those literals (``Bucketizer``, a JVM
-   binary search over the splits, for numbers; a nested ``CASE`` for text), so
-   it is deterministic in every later job and on every retry;
-3. rows per bucket are counted (reads only the key columns) and turned into
-   offsets on the driver (one number per bucket);
-4. ``row_number()`` over ``partitionBy(bucket).orderBy(order...)`` plus the
-   bucket's offset, after a range partitioning on the bucket id (about one
-   bucket per task).
+``dense_key`` numbers rows 1..N in the order of a natural key, by one plan at every size and
+without a single-partition window:
+
+1. cut points of the sort value (``percentile_approx``, reads only that column) are
+   collected once and become literals;
+2. a bucket column is computed from those literals (``Bucketizer``, a JVM binary
+   search over the splits), so it is deterministic in every later job and on
+   every retry;
+3. rows per bucket are counted (reads only the key columns), checked, and turned
+   into offsets on the driver (one number per bucket);
+4. ``repartitionById`` places each bucket in its own task (no sampling job, no two buckets
+   hashed onto one task), and ``row_number()`` over ``partitionBy(bucket).orderBy(order...)`` plus the
+   bucket's offset is the key.
 
 Approximate bounds only change how balanced the buckets are, never the numbers.
-A table proved (by the same pass) to hold at most ``single_task_rows`` rows is
-numbered by one plain ``row_number`` instead: one job instead of three.
+A text key gets its sort value from the bytes behind the prefix that all its values share.
 The input must be deterministic (true for Parquet scans and the expressions in
-this package); ``repartitionByRange`` or ``spark_partition_id`` are not used
-because their bounds are re-sampled in every job.
+this package), or be written first (``checkpoint=True``).
 """
 
 from __future__ import annotations
@@ -28,86 +25,44 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, Observation, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from innkeeper.session import ensure_checkpoint_dir
 
+# A bucket is sorted by one task (it spills); more rows than this mean that the sort value has
+# a hot value, which buckets of it can't split.
+MAX_BUCKET_ROWS = 50_000_000
+# Bytes of a text key that make its sort value: as many as a double keeps exactly.
+_TEXT_BYTES = 6
 
-def _with_bucket(df: DataFrame, value: Column, bounds: list, numeric: bool) -> tuple[DataFrame, int]:
+
+def _text_rank(df: DataFrame, name: str) -> Column:
+    """A number that is non-decreasing in a text column: the bytes behind the prefix shared by
+    the column's least and greatest value (and so by all between them)."""
+    low, high = df.agg(F.min(name).cast("binary"), F.max(name).cast("binary")).first()
+    shared = 0
+    while low is not None and shared < min(len(low), len(high)) and low[shared] == high[shared]:
+        shared += 1
+    behind = F.hex(F.substring(F.col(name).cast("binary"), shared + 1, _TEXT_BYTES))
+    return F.conv(F.rpad(behind, 2 * _TEXT_BYTES, "0"), 16, 10).cast("double")
+
+
+def _bucketed(df: DataFrame, value: Column, cuts: list[float]) -> tuple[DataFrame, int]:
     """``df`` plus ``_bucket`` (0-based, non-decreasing in ``value``, NULL first)
     and the number of buckets."""
-    if not numeric:
-        return df.withColumn("_bucket", _bucket_expr(value, bounds)), len(bounds) + 1
     # Doubles keep the order of any number (rounding is monotone); equal
     # roundings just share a bucket.  NULL -> -inf (first), NaN -> extra last bucket.
-    cuts = sorted({float(b) for b in bounds} - {float("inf"), float("-inf")})
-    cuts = [c for c in cuts if c == c]
-    splits = [float("-inf")] + cuts + [float("inf")]
+    splits = [float("-inf"), *cuts, float("inf")]
     v = F.coalesce(value.cast("double"), F.lit(float("-inf")))
     bucketizer = Bucketizer(splits=splits, inputCol="_v", outputCol="_b", handleInvalid="keep")
     out = bucketizer.transform(df.withColumn("_v", v))
     return out.withColumn("_bucket", F.col("_b").cast("int")).drop("_v", "_b"), len(splits)
 
 
-def _bucket_expr(v: Column, bounds: list) -> Column:
-    """Index of the first bound greater than ``v`` (0..len(bounds)), by bisection."""
-
-    def build(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(v < F.lit(bounds[mid]), build(lo, mid)).otherwise(build(mid + 1, hi))
-
-    return F.when(v.isNull(), F.lit(0)).otherwise(build(0, len(bounds))).cast("int")
-
-
-def _bounds(df: DataFrame, value: Column, n: int, accuracy: int, single_task_rows: int) -> tuple[int, list]:
-    """Row count and n-1 cut points of ``value`` in one pass for numbers
-    (``percentile_approx``); for text, a bounded random sample (about
-    ``SAMPLE_PER_BUCKET`` values per bucket) once the count is known.  A table of
-    at most ``single_task_rows`` rows gets no cut points (one bucket)."""
-    probe = df.select(value.alias("v"))
-    if _is_numeric(df, value):
-        row = probe.agg(
-            F.count(F.lit(1)).alias("n"),
-            F.percentile_approx("v", [i / n for i in range(1, n)], accuracy).alias("q"),
-        ).first()
-        total = row["n"]
-        if total <= single_task_rows:
-            return total, []
-        return total, sorted(set(row["q"] or []))
-    total = probe.count()
-    if total <= single_task_rows:
-        return total, []
-    fraction = min(1.0, SAMPLE_PER_BUCKET * n / total)
-    sample = sorted(r["v"] for r in probe.sample(False, fraction, seed=17).dropna().collect())
-    if not sample:
-        return total, []
-    cuts = [sample[min(len(sample) - 1, (i * len(sample)) // n)] for i in range(1, n)]
-    return total, sorted(set(cuts))
-
-
-def _is_numeric(df: DataFrame, value: Column) -> bool:
-    return isinstance(df.select(value).schema[0].dataType, T.NumericType)
-
-
-SAMPLE_PER_BUCKET = 100
-# Cut points for text keys become a nested CASE; keep its generated code small.
-MAX_TEXT_BUCKETS = 256
-# A table this small is numbered in one task: its size is proved by the count.
-SINGLE_TASK_ROWS = 1_000_000
-
-
-def _single_task_numbering(df: DataFrame, order_by: list[str], out_col: str) -> DataFrame:
-    """One bucket: a plain ``row_number`` (only for inputs proved small)."""
-    w = Window.orderBy(*[F.col(c).asc_nulls_first() for c in order_by])
-    return df.withColumn(out_col, F.row_number().over(w).cast("bigint"))
-
-
 def default_buckets(df: DataFrame) -> int:
-    return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
+    return max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
 
 
 def dense_key(
@@ -117,62 +72,53 @@ def dense_key(
     sort_value: Column | None = None,
     n_buckets: int | None = None,
     accuracy: int = 10000,
-    single_task_rows: int = SINGLE_TASK_ROWS,
     checkpoint: bool = False,
-    max_rows: int | None = None,
+    max_bucket_rows: int = MAX_BUCKET_ROWS,
 ) -> DataFrame:
     """K2: add ``out_col`` BIGINT numbered 1..N by ``order_by`` (ascending, NULLs first).
 
     ``checkpoint=True`` first writes ``df`` to the shared checkpoint folder, so an
     expensive input (a dedup and a join, say) is computed once instead of once
-    per pass; use it when ``df`` is not a plain scan.  The row count is observed
-    during that write, so a small input needs no separate count pass.
-
-    ``max_rows`` is a known upper bound on the rows of ``df`` (say, the rows of
-    the table it was derived from by filters, dedup and unique-key joins); when
-    it is within ``single_task_rows`` there is no checkpoint and no count at all.
+    per pass; use it when ``df`` is not a plain scan.
 
     ``sort_value`` is a numeric expression that is non-decreasing in ``order_by``
     and, ideally, close to unique (default: the first order column); it decides the
-    buckets, so a single hot value of it would make one large bucket.  For a
-    composite key pass a packed number, e.g. ``listing_key * 10**8 + date_key``.
+    buckets, so a single hot value of it makes one large bucket.  For a
+    composite key pass a packed number, e.g. ``listing_key * 10**8 + date_key``.  A
+    bucket of more than ``max_bucket_rows`` rows raises before any row is numbered.
     """
     order_by = list(order_by)
-    if max_rows is not None and max_rows <= single_task_rows:
-        return _single_task_numbering(df, order_by, out_col)
-    known_rows = None
     if checkpoint:
         ensure_checkpoint_dir(df.sparkSession)
-        seen = Observation("dense_key_rows")
-        df = df.observe(seen, F.count(F.lit(1)).alias("rows")).checkpoint(eager=True)
-        known_rows = int(seen.get["rows"])
-    value = sort_value if sort_value is not None else F.col(order_by[0])
-    numeric = _is_numeric(df, value)
-    n = n_buckets or default_buckets(df)
-    if not numeric:
-        n = min(n, MAX_TEXT_BUCKETS)
-    if n <= 1 or (known_rows is not None and known_rows <= single_task_rows):
-        total, bounds = known_rows, []
+        df = df.checkpoint(eager=True)
+    if sort_value is not None:
+        value = sort_value
+    elif isinstance(df.schema[order_by[0]].dataType, T.NumericType):
+        value = F.col(order_by[0])
     else:
-        # quantile rank error 1/accuracy must stay well below one bucket (1/n)
-        total, bounds = _bounds(df, value, n, max(accuracy, 10 * n), single_task_rows)
-    if not bounds:
-        return _single_task_numbering(df, order_by, out_col)
-    with_bucket, n_found = _with_bucket(df, value, bounds, numeric)
+        value = _text_rank(df.select(order_by[0]), order_by[0])
+    n = max(2, n_buckets or default_buckets(df))
+    # quantile rank error 1/accuracy must stay well below one bucket (1/n)
+    found = df.select(value.cast("double").alias("v")).agg(
+        F.percentile_approx("v", [i / n for i in range(1, n)], max(accuracy, 10 * n)).alias("q")
+    ).first()["q"]
+    # a column without any number still has a cut, so that one plan serves every input
+    cuts = sorted({c for c in found or [] if c == c and abs(c) != float("inf")}) or [0.0]
+    with_bucket, n_found = _bucketed(df, value, cuts)
     counts = {
         r["_bucket"]: r["n"]
         for r in with_bucket.groupBy("_bucket").agg(F.count(F.lit(1)).alias("n")).collect()
     }
+    if counts and max(counts.values()) > max_bucket_rows:
+        raise ValueError(
+            f"{out_col}: {max(counts.values())} rows share one bucket (limit {max_bucket_rows}); "
+            "pass a sort_value closer to unique, or more buckets"
+        )
     offsets, running = [], 0
     for b in range(n_found):
         offsets.append(running)
         running += counts.get(b, 0)
     offset = F.element_at(F.expr("array(" + ", ".join(f"{o}L" for o in offsets) + ")"), F.col("_bucket") + 1)
-    # Range-partition on the bucket id: about one bucket per task (hashing a few
-    # thousand ids onto as many partitions would stack 4-5 buckets on the busiest
-    # task).  The window reuses this partitioning; numbers do not depend on it.
-    spread_buckets = with_bucket.repartitionByRange(n_found, "_bucket")
     w = Window.partitionBy("_bucket").orderBy(*[F.col(c).asc_nulls_first() for c in order_by])
-    return spread_buckets.withColumn(out_col, (F.row_number().over(w) + offset).cast("bigint")).drop("_bucket")
-
-
+    placed = with_bucket.repartitionById(n_found, F.col("_bucket"))
+    return placed.withColumn(out_col, (F.row_number().over(w) + offset).cast("bigint")).drop("_bucket")

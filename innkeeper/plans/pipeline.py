@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from typing import TypeVar
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -144,6 +144,8 @@ class WarehouseResult:
     path: str
     report: list
     row_counts: dict[str, int]
+    missing_keys: int = 0  # V15: listings without a neighbourhood key
+    missing_sample: list = field(default_factory=list)
 
 
 def write_fact(df: DataFrame, path: str) -> int:
@@ -163,16 +165,13 @@ def run_warehouse(
     out_root: str,
     enforce: bool = True,
     max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-    staging_rows: dict[str, int] | None = None,
 ) -> WarehouseResult:
     """M13 / S10 full refresh: dimensions, then facts against the written
     dimensions, then the post-load checks; publish the version last.  Row counts
     of the written tables are observed during their write; they decide, with
     ``max_broadcast_rows``, whether the lookups broadcast a dimension.
-    ``staging_rows`` (from ``run_staging``) bounds the rows each key numbering
-    sees; small inputs are then numbered without a checkpoint."""
+    Listings left without a neighbourhood key (V15) are counted, with a sample of them."""
     stg = read_staging(spark, staging_path)
-    bound = dict(staging_rows or {})
     version = files.new_version(out_root)
     rows: dict[str, int] = {}
     with ThreadPoolExecutor(max_workers=2) as pool:
@@ -185,18 +184,18 @@ def run_warehouse(
         )
         nb = files.read_parquet(spark, f"{version}/dim_neighbourhood", schemas.DIM_NEIGHBOURHOOD)
         rows["dim_listing"] = files.write_parquet_counted(
-            W.dim_listing(stg["listings"], nb, max_broadcast_rows, rows["dim_neighbourhood"], True, bound.get("listings")),
+            W.dim_listing(stg["listings"], nb, max_broadcast_rows, rows["dim_neighbourhood"], True),
             f"{version}/dim_listing",
         )
         listing = files.read_parquet(spark, f"{version}/dim_listing", schemas.DIM_LISTING)
         rows["fact_reviews"], rows["fact_availability"] = run_concurrently(
             lambda: write_fact(
-                W.fact_reviews(stg["reviews"], listing, max_broadcast_rows, rows["dim_listing"], True, bound.get("reviews")),
+                W.fact_reviews(stg["reviews"], listing, max_broadcast_rows, rows["dim_listing"], True),
                 f"{version}/fact_reviews",
             ),
             lambda: write_fact(
                 W.fact_availability(
-                    stg["calendar"], listing, max_broadcast_rows, rows["dim_listing"], True, bound.get("calendar")
+                    stg["calendar"], listing, max_broadcast_rows, rows["dim_listing"], True
                 ),
                 f"{version}/fact_availability",
             ),
@@ -206,13 +205,16 @@ def run_warehouse(
     report = W.constraint_report(star)
     checked = Q.enforce(report) if enforce else report.collect()
     files.publish_version(spark, out_root, version)
-    return WarehouseResult(version, checked, rows)
+    # the written dimension names its listings without a key: one pruned scan, a bounded sample
+    missing = int(star.dim_listing.where(F.col("neighbourhood_key").isNull()).count())
+    sample = W.missing_key_sample(star.dim_listing).collect() if missing else []
+    return WarehouseResult(version, checked, rows, missing, sample)
 
 
 def full_refresh(spark: SparkSession, raw: dict[str, DataFrame], root: str, enforce: bool = True) -> W.Star:
     """Staging then warehouse; returns the published star, read back from Parquet."""
     staged = run_staging(spark, raw, f"{root.rstrip('/')}/staging", enforce)
     built = run_warehouse(
-        spark, staged.path, f"{root.rstrip('/')}/warehouse", enforce, staging_rows=staged.row_counts
+        spark, staged.path, f"{root.rstrip('/')}/warehouse", enforce
     )
     return read_star(spark, built.path, built.row_counts)

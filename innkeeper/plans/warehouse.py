@@ -43,8 +43,18 @@ _PAIR_BASE = 10**8
 
 
 def conform(df: DataFrame, schema) -> DataFrame:
-    """Project and cast to the target schema, in its column order."""
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+    """Project and cast to the target schema, in its column order.  A value that the target
+    type can't hold raises, with ANSI casts on or off."""
+    return df.select(*[_checked_cast(df, f) for f in schema.fields])
+
+
+def _checked_cast(df: DataFrame, target) -> F.Column:
+    value = F.col(target.name)
+    if df.schema[target.name].dataType == target.dataType:
+        return value
+    cast = value.try_cast(target.dataType)
+    wrong = F.raise_error(F.concat(F.lit(f"{target.name}: no {target.dataType.simpleString()}: "), value.cast("string")))
+    return F.when(value.isNull() | cast.isNotNull(), cast).otherwise(wrong.cast(target.dataType)).alias(target.name)
 
 
 def required_date_key(c) -> F.Column:
@@ -118,18 +128,21 @@ def lookup_misses(listings_keyed: DataFrame, n: int = 5) -> DataFrame:
     )
 
 
+def missing_key_sample(dim: DataFrame, n: int = 5) -> DataFrame:
+    """V15 on the written dimension: the first listings that got no neighbourhood key."""
+    return dim.where(F.col("neighbourhood_key").isNull()).select("listing_id").orderBy("listing_id").limit(n)
+
+
 def dim_listing(
     stg_listings: DataFrame,
     dim_nb: DataFrame,
     max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
     dim_rows: int | None = None,
     checkpoint: bool = False,
-    input_rows: int | None = None,
 ) -> DataFrame:
-    """M8: D2, C4, J3, C7, then a dense key in listing_id order.  ``input_rows``
-    (rows of ``stg_listings``, if known) bounds the rows to number."""
+    """M8: D2, C4, J3, C7, then a dense key in listing_id order."""
     df = listings_with_neighbourhood_key(stg_listings, dim_nb, max_broadcast_rows, dim_rows)
-    df = dense_key(df, ["listing_id"], "listing_key", checkpoint=checkpoint, max_rows=input_rows)
+    df = dense_key(df, ["listing_id"], "listing_key", checkpoint=checkpoint)
     return conform(df, schemas.DIM_LISTING)
 
 
@@ -139,7 +152,6 @@ def fact_reviews(
     max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
     dim_rows: int | None = None,
     checkpoint: bool = False,
-    input_rows: int | None = None,
 ) -> DataFrame:
     """M9: J4 (inner lookup), C11, P6 (review_count = 1), K2 in review_id order."""
     df = clean_reviews.select("listing_id", "review_id", "date", "reviewer_id")
@@ -154,7 +166,7 @@ def fact_reviews(
     )
     df = dense_key(
         df, ["review_id", "listing_key", "date_key", "reviewer_id"], "review_key",
-        checkpoint=checkpoint, max_rows=input_rows,
+        checkpoint=checkpoint,
     )
     return conform(df, schemas.FACT_REVIEWS)
 
@@ -165,7 +177,6 @@ def fact_availability(
     max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
     dim_rows: int | None = None,
     checkpoint: bool = False,
-    input_rows: int | None = None,
 ) -> DataFrame:
     """D3 (global, one row per listing and date, unavailable first), J5,
     C11, K2 in (listing_key, date_key) order."""
@@ -183,7 +194,7 @@ def fact_availability(
     pair = F.col("listing_key").cast("bigint") * _PAIR_BASE + F.col("date_key")
     df = dense_key(
         df, ["listing_key", "date_key"], "availability_key", sort_value=pair,
-        checkpoint=checkpoint, max_rows=input_rows,
+        checkpoint=checkpoint,
     )
     return conform(df, schemas.FACT_AVAILABILITY)
 

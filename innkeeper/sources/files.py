@@ -17,6 +17,7 @@ from __future__ import annotations
 import time
 import uuid
 from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -36,6 +37,16 @@ CSV_OPTIONS = {
 }
 
 
+def _headers(spark: SparkSession, files: list[str], options: dict[str, str]) -> dict[tuple[str, ...], list[str]]:
+    """Files by their header line; each header is read by a job of its own over the first line."""
+    with ThreadPoolExecutor(max_workers=16) as pool:
+        found = list(pool.map(lambda f: tuple(spark.read.options(**options).csv(f).columns), files))
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for name, header in zip(files, found, strict=True):
+        groups.setdefault(header, []).append(name)
+    return groups
+
+
 def scan_csv(
     spark: SparkSession,
     path: str | list[str],
@@ -44,21 +55,33 @@ def scan_csv(
     multiline: bool = True,
 ) -> DataFrame:
     """Read CSV (plain or ``.gz``) with every column as STRING, named by
-    the header line (no schema inference pass, no positional binding: an extract
-    may carry more columns, in any order).  ``expected`` names the columns that
-    must be present; a missing one raises before any work.
+    the header line of its own file (no schema inference pass, no positional binding: the
+    files of an extract may hold their columns in any order, and more of them; a column that a file
+    lacks is NULL there).  ``expected`` names the columns that
+    every file must have; a missing one raises before any work.
 
     ``multiline=True`` is needed when quoted fields hold newlines (listings,
     reviews) and makes every file one task; an extract without free text
     (calendar) can pass ``False`` so that uncompressed or bzip2 files split."""
-    reader = spark.read.options(**CSV_OPTIONS).option("multiLine", str(multiline).lower())
-    reader = reader.option("inferSchema", "false")
-    df = reader.csv(path)
-    if expected is not None:
-        names = expected.fieldNames() if isinstance(expected, T.StructType) else list(expected)
-        missing = [n for n in names if n not in df.columns]
-        if missing:
-            raise ValueError(f"{path}: missing columns {missing}")
+    options = {**CSV_OPTIONS, "multiLine": str(multiline).lower(), "inferSchema": "false"}
+    inputs = sorted(spark.read.text(path).inputFiles())
+    if not inputs:
+        raise FileNotFoundError(f"no files under {path}")
+    parts = []
+    for header, names in sorted(_headers(spark, inputs, options).items()):
+        if not header:  # an empty file
+            continue
+        if expected is not None:
+            wanted = expected.fieldNames() if isinstance(expected, T.StructType) else list(expected)
+            if missing := [n for n in wanted if n not in header]:
+                raise ValueError(f"{names[0]}: missing columns {missing}")
+        schema = T.StructType([T.StructField(n, T.StringType()) for n in header])
+        parts.append(spark.read.options(**options).option("enforceSchema", "false").schema(schema).csv(names))
+    if not parts:
+        raise ValueError(f"{path}: no header line")
+    df = parts[0]
+    for more in parts[1:]:
+        df = df.unionByName(more, allowMissingColumns=True)
     df = df.repartition(partitions) if partitions else spread(df)
     return as_read_from_csv(df)
 
@@ -150,3 +173,23 @@ def current_version(spark: SparkSession, root: str) -> str:
     if latest is None or latest["v"] is None:
         raise FileNotFoundError(f"no published version under {root}")
     return latest["v"].split("\t", 1)[1]
+
+
+def expire_versions(spark: SparkSession, root: str, keep: int = 2) -> list[str]:
+    """Delete the version directories under ``root`` that were published before the last ``keep``
+    ones; returns what was deleted.  The current version always stays, and so does
+    a version that was never published (a load may be writing it)."""
+    if keep < 1:
+        raise ValueError("keep must be at least 1")
+    try:
+        records = spark.read.text(f"{root.rstrip('/')}/_current").orderBy(F.desc("value")).collect()
+    except AnalysisException:
+        return []
+    published = list(dict.fromkeys(r["value"].split("\t", 1)[1] for r in records))
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    gone = []
+    for version in published[keep:]:
+        path = jvm.org.apache.hadoop.fs.Path(version)
+        if path.getFileSystem(conf).delete(path, True):
+            gone.append(version)
+    return gone

@@ -1,5 +1,7 @@
 import random
 
+import pytest
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -42,7 +44,7 @@ def test_dense_key_bucketed_equals_row_number(spark):
     rnd = random.Random(3)
     data = [(rnd.randint(-1000, 1000), rnd.randint(0, 3)) for _ in range(3000)] + [(None, 1)]
     df = spark.createDataFrame(data, "k int, t int")
-    got = dense_key(df, ["k", "t"], "key", n_buckets=7, single_task_rows=0)
+    got = dense_key(df, ["k", "t"], "key", n_buckets=7)
     w = Window.orderBy(F.col("k").asc_nulls_first(), F.col("t").asc_nulls_first())
     expect = df.withColumn("key", F.row_number().over(w))
     # ties (k, t) may swap numbers, so compare the multiset of (k, t, key) by position
@@ -54,22 +56,44 @@ def test_dense_key_bucketed_equals_row_number(spark):
     assert "_bucket" in plan  # partitioned window, not a single partition
 
 
-def test_dense_key_small_table_single_pass(spark):
-    df = spark.createDataFrame([(5,), (3,), (9,)], "k int")
-    assert sorted((r["k"], r["key"]) for r in dense_key(df, ["k"], "key").collect()) == [(3, 1), (5, 2), (9, 3)]
+@pytest.mark.parametrize("checkpoint", [False, True])
+@pytest.mark.parametrize("partitions", ["1", "4"])
+@pytest.mark.parametrize(
+    "values, schema", [([5, 3, 9], "k int"), ([None] * 40, "k int"), ([7] * 40, "k long"), ([], "k int"), ([None, "b", "", "ab", "aé", "a"], "k string")]
+)
+def test_dense_key_one_plan_for_every_input(spark, values, schema, partitions, checkpoint):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        df = spark.createDataFrame([(v, i) for i, v in enumerate(values)], schema + ", i int")
+        keyed = dense_key(df, ["k", "i"], "key", checkpoint=checkpoint)
+        plan = keyed._jdf.queryExecution().executedPlan().toString()
+        assert "direct_shuffle_partition_id(_bucket" in plan and "SinglePartition" not in plan
+        order = sorted(enumerate(values), key=lambda x: (x[1] is not None, x[1] if x[1] is not None else 0, x[0]))
+        assert sorted((r["key"], r["i"]) for r in keyed.collect()) == [(n + 1, i) for n, (i, _) in enumerate(order)]
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_dense_key_rejects_a_hot_sort_value(spark):
+    df = spark.createDataFrame([(1, i) for i in range(100)], "k int, i int")
+    with pytest.raises(ValueError, match="100 rows share one bucket"):
+        dense_key(df, ["k", "i"], "key", max_bucket_rows=99)
+    packed = F.col("k") * 1000 + F.col("i")
+    assert dense_key(df, ["k", "i"], "key", sort_value=packed, max_bucket_rows=99).count() == 100
 
 
 def test_dense_key_text_keys(spark):
     names = [f"N{i:04d}" for i in range(500)]
     random.Random(1).shuffle(names)
     df = spark.createDataFrame([(n,) for n in names], "k string")
-    got = sorted((r["k"], r["key"]) for r in dense_key(df, ["k"], "key", n_buckets=5, single_task_rows=0).collect())
+    got = sorted((r["k"], r["key"]) for r in dense_key(df, ["k"], "key", n_buckets=5).collect())
     assert got == [(n, i + 1) for i, n in enumerate(sorted(names))]
 
 
 def test_dense_key_stable_across_jobs(spark):
     df = spark.range(0, 5000).withColumn("k", (F.col("id") * 7919) % 5003)
-    keyed = dense_key(df, ["k"], "key", n_buckets=6, single_task_rows=0)
+    keyed = dense_key(df, ["k"], "key", n_buckets=6)
     a = sorted(tuple(r) for r in keyed.select("k", "key").collect())
     b = sorted(tuple(r) for r in keyed.select("k", "key").collect())
     assert a == b
@@ -85,7 +109,7 @@ def test_dense_key_random_against_row_number(spark):
             for i in range(n)
         ]
         df = spark.createDataFrame(data, "k long, i int")
-        got = dense_key(df, ["k", "i"], "key", n_buckets=rnd.randint(2, 40), single_task_rows=0)
+        got = dense_key(df, ["k", "i"], "key", n_buckets=rnd.randint(2, 40))
         expect = sorted(data, key=lambda r: (r[0] is not None, r[0] if r[0] is not None else 0, r[1]))
         rows = sorted((r["key"], r["k"], r["i"]) for r in got.collect())
         assert [(k, i) for _, k, i in rows] == expect, trial

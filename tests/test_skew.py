@@ -32,7 +32,7 @@ def test_hot_listing_fact_is_exact(spark):
     raw = as_read_from_csv(spark.createDataFrame(rows, schemas.RAW_CALENDAR))
     cal = S.stage_calendar(raw)
     listings = spark.createDataFrame([(i,) for i in range(1, 201)], "listing_id long")
-    dim = dense_key(listings, ["listing_id"], "listing_key", n_buckets=4, single_task_rows=0)
+    dim = dense_key(listings, ["listing_id"], "listing_key", n_buckets=4)
     dim = dim.withColumn("listing_key", F.col("listing_key").cast("int"))
     fact = W.fact_availability(cal, dim, dim_rows=None)
     got = sorted((r["listing_key"], r["date_key"], r["available"], r["maximum_nights"]) for r in fact.collect())
