@@ -14,6 +14,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from innkeeper import schemas, session
 from innkeeper.functions import columns as C
@@ -26,6 +27,7 @@ from innkeeper.plans import pipeline as P
 from innkeeper.plans import staging as S
 from innkeeper.plans import warehouse as W
 from innkeeper.sources import files, standin
+from innkeeper.sources.planted import broken, broken_star
 
 # Question parameters on the stand-in data.
 Q1_YEAR, Q1_MONTH = 2024, 1
@@ -98,33 +100,46 @@ def _b(spark: SparkSession, sf_dir: str) -> Build:
     return Build(spark, sf_dir)
 
 
+_STARS: dict[tuple[str, str], W.Star] = {}
+
+
+def _star(spark: SparkSession, sf_dir: str) -> W.Star:
+    """The star of ``sf_dir``, built and written by the pipeline once per application and read
+    back, as the questions and checks read a published warehouse."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _STARS:
+        root = session.scratch_path(spark, "innkeeper-star")
+        _STARS[key] = P.full_refresh(spark, _b(spark, sf_dir).raw, root, enforce=False)
+    return _STARS[key]
+
+
 # --- questions -------------------------------------------------------------------------
 
 
 def q1_cheapest_most_available(spark, sf_dir):
-    return A.cheapest_most_available(_b(spark, sf_dir), Q1_YEAR, Q1_MONTH)
+    return A.cheapest_most_available(_star(spark, sf_dir), Q1_YEAR, Q1_MONTH)
 
 
 def q2_most_reviewed(spark, sf_dir):
-    return A.most_reviewed(_b(spark, sf_dir), Q2_YEAR, Q2_MONTH)
+    return A.most_reviewed(_star(spark, sf_dir), Q2_YEAR, Q2_MONTH)
 
 
 def q3_priciest_neighbourhood(spark, sf_dir):
-    return A.priciest_neighbourhoods(_b(spark, sf_dir), 1)
+    return A.priciest_neighbourhoods(_star(spark, sf_dir), 1)
 
 
 def q4_family_stay(spark, sf_dir):
-    return A.recommend_month(_b(spark, sf_dir), Q4_GUESTS, Q4_MIN_DAYS, Q4_YEAR, Q4_MONTH)
+    return A.recommend_month(_star(spark, sf_dir), Q4_GUESTS, Q4_MIN_DAYS, Q4_YEAR, Q4_MONTH)
 
 
 def q5_range_stay(spark, sf_dir):
-    return A.recommend_range(_b(spark, sf_dir), Q5_GUESTS, Q5_START, Q5_END)
+    return A.recommend_range(_star(spark, sf_dir), Q5_GUESTS, Q5_START, Q5_END)
 
 
 def drill_across(spark, sf_dir):
-    b = _b(spark, sf_dir)
-    shifted = b.cleaned.reviews.withColumn("date", F.add_months("date", 12 * DRILL_SHIFT_YEARS))
-    return A.drill_across(b, W.fact_reviews(shifted, b.dim_listing))
+    star = _star(spark, sf_dir)
+    shifted = _b(spark, sf_dir).cleaned.reviews.withColumn("date", F.add_months("date", 12 * DRILL_SHIFT_YEARS))
+    return A.drill_across(star, W.fact_reviews(shifted, star.dim_listing, dim_rows=star.rows("dim_listing")))
 
 
 # --- star build ------------------------------------------------------------------------
@@ -164,21 +179,43 @@ def fact_surrogate_key(spark, sf_dir):
 
 
 def conform_types(spark, sf_dir):
-    """Staged listing columns cast to the warehouse types."""
-    target = schemas.DIM_LISTING
-    cols = ["listing_id", "latitude", "longitude", "bathrooms", "accommodates", "price"]
-    df = _b(spark, sf_dir).cleaned.listings.select(*cols)
-    return df.select(*[F.col(c).cast(target[c].dataType).alias(c) for c in cols])
+    """Every listing column of the warehouse that staging has, cast to its target type."""
+    listings = _b(spark, sf_dir).cleaned.listings
+    target = [f for f in schemas.DIM_LISTING.fields if f.name in listings.columns]
+    return W.conform(listings, T.StructType(target))
+
+
+# Numbers that depend on the columns of a row together: table -> (key, what goes with it).
+CONTENT = {
+    "dim_neighbourhood": ("neighbourhood_key", "length(neighbourhood) * 7 + length(neighbourhood_group)"),
+    "dim_listing": ("listing_key", "listing_id + coalesce(neighbourhood_key, 0) * 31 + coalesce(accommodates, 0) * 7"),
+    "dim_date": ("date_key", "year * 31 + month * 17 + day + week_of_year * 5 + day_of_week * 3 + quarter"),
+    "fact_reviews": ("review_key", "review_id + listing_key * 31 + date_key * 7 + coalesce(reviewer_id, 0)"),
+    "fact_availability": (
+        "availability_key",
+        "listing_key * 31 + date_key * 7 + cast(available AS INT) + coalesce(minimum_nights, 0) * 3 + coalesce(maximum_nights, 0)",
+    ),
+}
 
 
 def full_refresh(spark, sf_dir):
     """The whole pipeline twice into the shared scratch folder (the
-    second run replaces the first), then the row counts of the published star."""
+    second run replaces the first, whose files expire), then counts and content sums of the published star."""
     b = _b(spark, sf_dir)
     root = session.scratch_path(spark, "innkeeper-full-refresh")
     for _ in range(2):
         star = P.full_refresh(spark, b.raw, root, enforce=False)
-    return W.table_row_counts(star)
+    for layer in ("staging", "warehouse"):
+        files.expire_versions(spark, f"{root}/{layer}", keep=1)
+    parts = []
+    for name, df in star.tables().items():
+        key, rest = CONTENT[name]
+        parts.append(
+            df.selectExpr(f"cast({key} AS BIGINT) AS k", f"cast({key} % 1009 * (({rest}) % 1013) AS BIGINT) AS c").agg(
+                F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("row_count"), F.sum("k").alias("key_sum"), F.sum("c").alias("content_sum")
+            )
+        )
+    return Q.report_union(parts)
 
 
 # --- staging -------------------------------------------------------------------------
@@ -385,7 +422,13 @@ def dq_listings(spark, sf_dir):
 
 
 def dq_reviews(spark, sf_dir):
-    return Q.validate(_b(spark, sf_dir).cleaned.reviews, "reviews", Q.review_rules())
+    """V5/V8/V9 on cleaned reviews with planted breaks: repeated ids, no listing, no date."""
+    changes = {
+        "listing_id": "CASE WHEN review_id % 30 = 2 THEN NULL ELSE listing_id END",
+        "date": "CASE WHEN review_id % 30 = 3 THEN NULL ELSE date END",
+    }
+    planted = broken(_b(spark, sf_dir).cleaned.reviews, "review_id % 30 = 1", changes)
+    return Q.validate(planted, "reviews", Q.review_rules())
 
 
 def dq_neighbourhoods(spark, sf_dir):
@@ -412,38 +455,38 @@ def dq_duplicates(spark, sf_dir):
 
 
 def dq_constraints(spark, sf_dir):
-    return W.constraint_report(_b(spark, sf_dir))  # type: ignore[arg-type]
+    return W.constraint_report(broken_star(_star(spark, sf_dir)))
 
 
 def orphan_facts(spark, sf_dir):
-    return W.orphan_facts(_b(spark, sf_dir))  # type: ignore[arg-type]
+    return W.orphan_facts(broken_star(_star(spark, sf_dir)))
 
 
 def invalid_date_keys(spark, sf_dir):
-    return W.invalid_date_keys(_b(spark, sf_dir))  # type: ignore[arg-type]
+    return W.invalid_date_keys(broken_star(_star(spark, sf_dir)))
 
 
 def table_row_counts(spark, sf_dir):
-    return W.table_row_counts(_b(spark, sf_dir))  # type: ignore[arg-type]
+    return W.table_row_counts(_star(spark, sf_dir))
 
 
 def check_unique_listings(spark, sf_dir):
-    return W.total_vs_distinct(_b(spark, sf_dir).dim_listing, ["listing_id"], "total_listings", "unique_listings")
+    return W.total_vs_distinct(_star(spark, sf_dir).dim_listing, ["listing_id"], "total_listings", "unique_listings")
 
 
 def check_unique_neighbourhoods(spark, sf_dir):
     return W.total_vs_distinct(
-        _b(spark, sf_dir).dim_neighbourhood, ["neighbourhood"], "total_rows", "unique_neighbourhoods"
+        _star(spark, sf_dir).dim_neighbourhood, ["neighbourhood"], "total_rows", "unique_neighbourhoods"
     )
 
 
 def check_unique_reviews(spark, sf_dir):
-    return W.total_vs_distinct(_b(spark, sf_dir).fact_reviews, ["review_id"], "total_reviews", "unique_reviews")
+    return W.total_vs_distinct(_star(spark, sf_dir).fact_reviews, ["review_id"], "total_reviews", "unique_reviews")
 
 
 def check_unique_listing_date(spark, sf_dir):
     return W.total_vs_distinct(
-        _b(spark, sf_dir).fact_availability, ["listing_key", "date_key"], "total_rows", "unique_listing_date"
+        _star(spark, sf_dir).fact_availability, ["listing_key", "date_key"], "total_rows", "unique_listing_date"
     )
 
 

@@ -1,8 +1,8 @@
 """Key lookups, semi/anti joins and the broadcast policy (J-series, K3, U3).
 
-Broadcast policy: a side is broadcast only after ``checked_broadcast`` has proved
-it holds at most ``max_rows`` rows (a ``limit(max_rows + 1).count()`` that stops
-early per partition).  Larger sides are left to Catalyst and adaptive execution:
+Broadcast policy: a side is broadcast only after ``checked_broadcast`` has proved its
+rows and bytes small, from a row count observed while it was written or by one
+aggregation (a row per task).  Larger sides are left to Catalyst and adaptive execution:
 a shuffle join with runtime skew splitting (``spark.sql.adaptive.skewJoin``).
 """
 
@@ -12,22 +12,34 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# Rows a lookup side may have to be broadcast.  Lookup sides here are 2-3 narrow
-# columns (< 40 bytes a row), so 2M rows stay well under 100 MB on every executor.
+# What a lookup side may have at most to be broadcast.
 DEFAULT_BROADCAST_ROWS = 2_000_000
+MAX_BROADCAST_BYTES = 64 << 20
+# Memory of a row besides its texts: a slot per column and the row's own overhead.
+_SLOT_BYTES, _ROW_BYTES = 8, 32
 
 
-def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has no more than ``max_rows`` rows."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def side_size(df: DataFrame) -> tuple[int, int]:
+    """Rows and approximate bytes of ``df``, by one aggregation."""
+    texts = [F.coalesce(F.octet_length(f.name), F.lit(0)) for f in df.schema.fields if isinstance(f.dataType, (T.StringType, T.BinaryType))]
+    text_bytes = F.coalesce(F.sum(sum(texts, F.lit(0)).cast("long")), F.lit(0))
+    rows, size = df.agg(F.count(F.lit(1)), text_bytes).first()
+    return rows, size + rows * (_ROW_BYTES + _SLOT_BYTES * len(df.columns))
 
 
 def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS, known_rows: int | None = None) -> DataFrame:
-    """``F.broadcast(df)`` if its row count is proved small, else ``df`` unchanged.
-    ``known_rows`` (e.g. observed while the table was written) skips the count job."""
-    small = known_rows <= max_rows if known_rows is not None else row_count_at_most(df, max_rows)
-    return F.broadcast(df) if small else df
+    """``F.broadcast(df)`` if it is proved small in rows and bytes, else ``df`` unchanged.
+    ``known_rows`` (e.g. observed while the table was written) skips the aggregation for sides without texts."""
+    rows = known_rows
+    if rows is not None and rows > max_rows:
+        return df
+    if rows is None or any(isinstance(f.dataType, (T.StringType, T.BinaryType)) for f in df.schema.fields):
+        rows, size = side_size(df)
+    else:
+        size = rows * (_ROW_BYTES + _SLOT_BYTES * len(df.columns))
+    return F.broadcast(df) if rows <= max_rows and size <= MAX_BROADCAST_BYTES else df
 
 
 def lookup_key(

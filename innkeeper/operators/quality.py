@@ -62,23 +62,20 @@ def _report_rows(table: str, items: Sequence[tuple[str, str, str]]) -> str:
 
 
 def validate(df: DataFrame, table: str, rules: Iterable[Rule]) -> DataFrame:
-    """Evaluate ``rules`` on ``df`` in ONE aggregation pass; one report row per rule.
-
-    A uniqueness rule counts ``rows - count(DISTINCT struct(key))``: the struct is
-    never NULL and NULL fields compare equal, so NULL keys repeat like any other
-    value (the duplicated-rows semantics).  Spark plans the distinct counts with
-    a map-side partial aggregate per key, so a hot key collapses before the
-    shuffle, and the table is scanned once for all its rules."""
+    """One report row per rule.  The row rules of a table are one aggregation without a
+    shuffle of rows.  A uniqueness rule is an aggregation of its own over its key columns alone: rows less
+    groups, where NULLs are equal, so NULL keys repeat like any other value (the duplicated-rows
+    semantics); equal keys collapse map-side, so a hot key moves one row per task."""
     rules = list(rules)
-    aggs = []
-    for i, r in enumerate(rules):
-        if r.violation is not None:
-            aggs.append(F.count_if(r.violation).alias(f"_v{i}"))
-        else:
-            key = F.struct(*[F.col(c) for c in r.unique])
-            aggs.append((F.count(F.lit(1)) - F.count_distinct(key)).alias(f"_v{i}"))
-    counts = df.agg(*aggs)
-    return counts.selectExpr(_report_rows(table, [(r.name, r.severity, f"_v{i}") for i, r in enumerate(rules)]))
+    parts = []
+    if per_row := [r for r in rules if r.violation is not None]:
+        counts = df.agg(*[F.count_if(r.violation).alias(f"_v{i}") for i, r in enumerate(per_row)])
+        parts.append(counts.selectExpr(_report_rows(table, [(r.name, r.severity, f"_v{i}") for i, r in enumerate(per_row)])))
+    for r in rules:
+        if r.violation is None:
+            groups = df.groupBy(*r.unique).agg(F.count(F.lit(1)).alias("_n"))
+            parts.append(value_report(table, r.name, r.severity, groups.agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("n")), "n"))
+    return report_union(parts)
 
 
 def report_union(parts: Sequence[DataFrame]) -> DataFrame:

@@ -233,32 +233,85 @@ def _missing(child: str, parent: str) -> str:
     )
 
 
-def _constraints() -> str:
-    from innkeeper import schemas
-    from innkeeper.plans.warehouse import UNIQUE_KEYS
+# The warehouse's constraints, spelled out from its DDL.
+NOT_NULL = {
+    "dim_neighbourhood": "neighbourhood_key neighbourhood neighbourhood_group",
+    "dim_listing": "listing_key listing_id",
+    "dim_date": "date_key full_date day month month_name quarter year day_name day_of_week week_of_year month_key",
+    "fact_reviews": "review_key listing_key date_key review_id review_count month_key",
+    "fact_availability": "availability_key listing_key date_key available month_key",
+}
+UNIQUE = {
+    "dim_neighbourhood": ["neighbourhood_key", "neighbourhood"],
+    "dim_listing": ["listing_key", "listing_id"],
+    "dim_date": ["date_key", "full_date"],
+    "fact_reviews": ["review_key", "review_id"],
+    "fact_availability": ["availability_key", "listing_key, date_key"],
+}
+WIDTHS = {
+    "dim_neighbourhood": {"neighbourhood": 255, "neighbourhood_group": 255},
+    "dim_listing": {"host_name": 255, "property_type": 255, "room_type": 100},
+    "dim_date": {"month_name": 20, "day_name": 20},
+}
+# The same breaks that the checked star has, as CTEs named bad_<table>.
+BAD_STAR = """,
+bad_dim_neighbourhood AS (
+  SELECT * REPLACE (CASE neighbourhood_key % 10 WHEN 2 THEN NULL WHEN 3 THEN repeat('n', 256) ELSE neighbourhood END AS neighbourhood,
+                    CASE neighbourhood_key % 10 WHEN 4 THEN NULL WHEN 5 THEN repeat('g', 300) ELSE neighbourhood_group END AS neighbourhood_group)
+  FROM dim_neighbourhood UNION ALL SELECT * FROM dim_neighbourhood WHERE neighbourhood_key % 10 = 1),
+bad_dim_listing AS (
+  SELECT * REPLACE (CASE WHEN listing_key % 50 <> 2 THEN listing_id END AS listing_id,
+                    CASE WHEN listing_key % 50 = 3 THEN repeat('h', 256) ELSE host_name END AS host_name,
+                    CASE WHEN listing_key % 50 = 4 THEN repeat('p', 256) ELSE property_type END AS property_type,
+                    CASE WHEN listing_key % 50 = 5 THEN repeat('r', 101) ELSE room_type END AS room_type,
+                    neighbourhood_key + CASE WHEN listing_key % 50 = 6 THEN 100000 ELSE 0 END AS neighbourhood_key)
+  FROM dim_listing UNION ALL SELECT * FROM dim_listing WHERE listing_key % 50 = 1),
+bad_dim_date AS (
+  SELECT * REPLACE (CASE WHEN date_key % 7 = 2 THEN -date_key ELSE date_key END AS date_key,
+                    CASE WHEN date_key % 7 <> 3 THEN full_date END AS full_date,
+                    CASE WHEN date_key % 7 = 4 THEN repeat('m', 21) ELSE month_name END AS month_name,
+                    CASE date_key % 7 WHEN 5 THEN repeat('d', 21) WHEN 6 THEN NULL ELSE day_name END AS day_name,
+                    CASE WHEN date_key % 7 <> 0 THEN day_of_week END AS day_of_week)
+  FROM dim_date UNION ALL SELECT * FROM dim_date WHERE date_key % 7 = 1),
+bad_fact_reviews AS (
+  SELECT * REPLACE (CASE review_key % 40 WHEN 2 THEN -listing_key WHEN 3 THEN NULL ELSE listing_key END AS listing_key,
+                    CASE WHEN review_key % 40 <> 4 THEN date_key END AS date_key,
+                    CASE WHEN review_key % 40 <> 5 THEN review_count END AS review_count)
+  FROM fact_reviews UNION ALL SELECT * FROM fact_reviews WHERE review_key % 40 = 1),
+bad_fact_availability AS (
+  SELECT * REPLACE (CASE WHEN availability_key % 40 = 2 THEN -listing_key ELSE listing_key END AS listing_key,
+                    CASE WHEN availability_key % 40 <> 3 THEN date_key END AS date_key,
+                    CASE WHEN availability_key % 40 <> 4 THEN available END AS available)
+  FROM fact_availability UNION ALL SELECT * FROM fact_availability WHERE availability_key % 40 = 1)
+"""
 
+
+def _constraints() -> str:
     parts = []
-    for name, schema in schemas.WAREHOUSE.items():
-        rules = [(f"{f.name}_not_null", "fatal", f"SELECT count(*) FROM {name} WHERE {f.name} IS NULL")
-                 for f in schema.fields if not f.nullable]
-        rules += [("_".join(k) + "_unique", "fatal", _dup(", ".join(k), name)) for k in UNIQUE_KEYS[name]]
-        rules += [(f"{c}_width_le_{n}", "fatal", f"SELECT count(*) FROM {name} WHERE length({c}) > {n}")
-                  for c, n in schemas.TEXT_WIDTHS.get(name, {}).items()]
-        parts.append(_dq(name, [(r, s, e) for r, s, e in rules], "(SELECT 1) one"))
-    fk = [
-        ("dim_listing", "fk_neighbourhood_key",
-         "SELECT count(*) FROM dim_listing WHERE neighbourhood_key IS NOT NULL AND neighbourhood_key NOT IN "
-         "(SELECT neighbourhood_key FROM dim_neighbourhood)"),
-        ("fact_reviews", "orphan_listing_key", _orphans("fact_reviews", "dim_listing", "listing_key")),
-        ("fact_availability", "orphan_listing_key", _orphans("fact_availability", "dim_listing", "listing_key")),
-        ("fact_reviews", "invalid_date_key", _orphans("fact_reviews", "dim_date", "date_key")),
-        ("fact_availability", "invalid_date_key", _orphans("fact_availability", "dim_date", "date_key")),
-    ]
-    for t, r, e in fk:
-        parts.append(_dq(t, [(r, "fatal", e)], "(SELECT 1) one"))
+    for name in NOT_NULL:
+        bad = f"bad_{name}"
+        rules = [(f"{c}_not_null", "fatal", f"SELECT count(*) FROM {bad} WHERE {c} IS NULL") for c in NOT_NULL[name].split()]
+        rules += [(k.replace(", ", "_") + "_unique", "fatal", _dup(k, bad)) for k in UNIQUE[name]]
+        rules += [(f"{c}_width_le_{n}", "fatal", f"SELECT count(*) FROM {bad} WHERE length({c}) > {n}") for c, n in WIDTHS.get(name, {}).items()]
+        parts.append(_dq(name, rules, "(SELECT 1) one"))
+    broken_fk = (
+        "SELECT count(*) FROM bad_dim_listing WHERE neighbourhood_key IS NOT NULL AND neighbourhood_key NOT IN "
+        "(SELECT neighbourhood_key FROM bad_dim_neighbourhood)"
+    )
+    parts.append(_dq("dim_listing", [("fk_neighbourhood_key", "fatal", broken_fk)], "(SELECT 1) one"))
+    parts += [_bad_keys(dim, key, rule, "fatal") for dim, key, rule in BAD_KEYS]
     return "\nUNION ALL\n".join(parts)
 
 
+BAD_KEYS = [("dim_listing", "listing_key", "orphan_listing_key"), ("dim_date", "date_key", "invalid_date_key")]
+
+
+def _bad_keys(dim: str, key: str, rule: str, severity: str) -> str:
+    return "\nUNION ALL\n".join(
+        _dq(fact, [(rule, severity, _orphans(f"bad_{fact}", f"bad_{dim}", key))], "(SELECT 1) one") for fact in ("fact_reviews", "fact_availability")
+    )
+
+
 def _orphans(fact: str, dim: str, key: str) -> str:
     return f"SELECT count(*) FROM {fact} f LEFT JOIN {dim} d ON f.{key} = d.{key} WHERE d.{key} IS NULL"
 
@@ -345,9 +398,21 @@ JOIN dim_listing l ON l.listing_key = COALESCE(fr.listing_key, fa.listing_key)""
         "fact_surrogate_key": f"""
 SELECT *, CAST(row_number() OVER (ORDER BY {LINEITEM_ORDER}) AS BIGINT) AS line_key FROM lineitem""",
         "conform_types": """
-SELECT listing_id, CAST(latitude AS DECIMAL(9,6)) AS latitude, CAST(longitude AS DECIMAL(9,6)) AS longitude,
-       CAST(bathrooms AS DECIMAL(4,1)) AS bathrooms, accommodates, price FROM clean_listings""",
-        "full_refresh": _star_counts(),
+SELECT listing_id, host_id, host_name, price, host_is_superhost, CAST(latitude AS DECIMAL(9,6)) AS latitude,
+       CAST(longitude AS DECIMAL(9,6)) AS longitude, property_type, room_type, accommodates,
+       CAST(bathrooms AS DECIMAL(4,1)) AS bathrooms, bedrooms, beds FROM clean_listings""",
+        "full_refresh": "\nUNION ALL\n".join(
+            f"SELECT '{t}' AS table_name, CAST(count(*) AS BIGINT) AS row_count, CAST(sum({key}) AS BIGINT) AS key_sum, "
+            f"CAST(sum({key} % 1009 * (({rest}) % 1013)) AS BIGINT) AS content_sum FROM {t}"
+            for t, key, rest in [
+                ("dim_neighbourhood", "neighbourhood_key", "length(neighbourhood) * 7 + length(neighbourhood_group)"),
+                ("dim_listing", "listing_key", "listing_id + COALESCE(neighbourhood_key, 0) * 31 + COALESCE(accommodates, 0) * 7"),
+                ("dim_date", "date_key", "year * 31 + month * 17 + day + week_of_year * 5 + day_of_week * 3 + quarter"),
+                ("fact_reviews", "review_key", "review_id + listing_key * 31 + date_key * 7 + COALESCE(reviewer_id, 0)"),
+                ("fact_availability", "availability_key",
+                 "listing_key * 31 + date_key * 7 + CAST(available AS INT) + COALESCE(minimum_nights, 0) * 3 + COALESCE(maximum_nights, 0)"),
+            ]
+        ),
         "table_row_counts": _star_counts(),
         "stg_listings": "SELECT * FROM stg_listings",
         "stg_reviews": "SELECT * FROM stg_reviews",
@@ -434,12 +499,17 @@ SELECT DISTINCT listing_id, 'calendar' AS child FROM stg_calendar
 WHERE listing_id IS NOT NULL AND listing_id NOT IN (SELECT listing_id FROM clean_listings WHERE listing_id IS NOT NULL)""",
         "union_dates": "SELECT date FROM clean_calendar UNION SELECT date FROM clean_reviews",
         "dq_listings": _listing_rules_sql("clean_listings"),
-        "dq_reviews": _dq(
+        "dq_reviews": """,
+bad_reviews AS (
+  SELECT * REPLACE (CASE WHEN review_id % 30 <> 2 THEN listing_id END AS listing_id, CASE WHEN review_id % 30 <> 3 THEN date END AS date)
+  FROM clean_reviews UNION ALL SELECT * FROM clean_reviews WHERE review_id % 30 = 1)
+"""
+        + _dq(
             "reviews",
             [
-                ("review_id_unique", "fatal", _dup("review_id", "clean_reviews")),
-                ("listing_id_not_null", "fatal", "SELECT count(*) FROM clean_reviews WHERE listing_id IS NULL"),
-                ("date_not_null", "fatal", "SELECT count(*) FROM clean_reviews WHERE date IS NULL"),
+                ("review_id_unique", "fatal", _dup("review_id", "bad_reviews")),
+                ("listing_id_not_null", "fatal", "SELECT count(*) FROM bad_reviews WHERE listing_id IS NULL"),
+                ("date_not_null", "fatal", "SELECT count(*) FROM bad_reviews WHERE date IS NULL"),
             ],
             "(SELECT 1) one",
         ),
@@ -477,17 +547,9 @@ WHERE listing_id IS NOT NULL AND listing_id NOT IN (SELECT listing_id FROM clean
             ],
             "(SELECT 1) one",
         ),
-        "dq_constraints": _constraints(),
-        "orphan_facts": _dq("fact_reviews", [("orphan_listing_key", "report",
-                                              _orphans("fact_reviews", "dim_listing", "listing_key"))], "(SELECT 1) one")
-        + "\nUNION ALL\n"
-        + _dq("fact_availability", [("orphan_listing_key", "report",
-                                     _orphans("fact_availability", "dim_listing", "listing_key"))], "(SELECT 1) one"),
-        "invalid_date_keys": _dq("fact_reviews", [("invalid_date_key", "report",
-                                                   _orphans("fact_reviews", "dim_date", "date_key"))], "(SELECT 1) one")
-        + "\nUNION ALL\n"
-        + _dq("fact_availability", [("invalid_date_key", "report",
-                                     _orphans("fact_availability", "dim_date", "date_key"))], "(SELECT 1) one"),
+        "dq_constraints": BAD_STAR + _constraints(),
+        "orphan_facts": BAD_STAR + _bad_keys(*BAD_KEYS[0], "report"),
+        "invalid_date_keys": BAD_STAR + _bad_keys(*BAD_KEYS[1], "report"),
         "check_unique_listings": """
 SELECT CAST(count(*) AS BIGINT) AS total_listings, CAST(count(DISTINCT listing_id) AS BIGINT) AS unique_listings
 FROM dim_listing""",

@@ -307,9 +307,9 @@ def validate_warehouse(star: Star) -> dict[str, DataFrame]:
 
 
 def total_vs_distinct(df: DataFrame, cols: list[str], total_name: str, distinct_name: str) -> DataFrame:
-    """``COUNT(*)`` beside ``COUNT(DISTINCT key)``; for a composite key
-    the key is the text ``a-b`` (NULL parts empty), as ``CONCAT`` gives."""
-    key = F.col(cols[0]) if len(cols) == 1 else C.composite_key(*cols)
+    """``COUNT(*)`` beside ``COUNT(DISTINCT key)``; a composite key is a struct
+    of its columns, whose NULLs count as values (its text ``a-b`` counts the same for integer parts)."""
+    key = F.col(cols[0]) if len(cols) == 1 else F.struct(*cols)
     return df.agg(
         F.count(F.lit(1)).cast("bigint").alias(total_name),
         F.count_distinct(key).cast("bigint").alias(distinct_name),
