@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 from innkeeper.session import scratch_path
 
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -22,9 +24,16 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
 
     Later passes read the written rows, so a lost executor costs a re-read and never
     a recomputation that could order or number rows in another way."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    before = spark.conf.get(SHUFFLE_CLEANUP)
+    # the shuffles of this write serve nothing else: their files go when it ends
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def byte_chunks(batch: pa.RecordBatch, column: str, limit: int) -> Iterator[pa.RecordBatch]:
