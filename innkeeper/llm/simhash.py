@@ -134,11 +134,12 @@ def links(fps: DataFrame, distance: int = 2, segments: int = 2, crowded: int = 6
     probes = probes.select("s", F.col("v").bitwiseXOR(F.col("mask")).alias("v"), "q")
 
     full = materialise(index.groupBy("s", "v").count().where(F.col("count") > crowded).select("s", "v"), "simhash-crowded")
+    # the planner takes exploded rows for as few as their source's and would broadcast them: merge joins
     near = F.bit_count(F.col("q").bitwiseXOR(F.col("fp"))) <= distance
     if full.isEmpty():
-        return probes.join(index, ["s", "v"]).where((F.col("q") < F.col("fp")) & near).select(F.col("q").alias("a"), F.col("fp").alias("b"))
+        return probes.join(index.hint("merge"), ["s", "v"]).where((F.col("q") < F.col("fp")) & near).select(F.col("q").alias("a"), F.col("fp").alias("b"))
     calm = index.join(full, ["s", "v"], "left_anti")
-    pairs = probes.join(calm, ["s", "v"]).where((F.col("q") < F.col("fp")) & near).select(F.col("q").alias("a"), F.col("fp").alias("b"))
+    pairs = probes.join(calm.hint("merge"), ["s", "v"]).where((F.col("q") < F.col("fp")) & near).select(F.col("q").alias("a"), F.col("fp").alias("b"))
     return pairs.unionByName(_crowded_links(index, probes, full, distance))
 
 
@@ -150,12 +151,12 @@ def _crowded_links(index: DataFrame, probes: DataFrame, full: DataFrame, distanc
     points = points.select(F.col("fp").bitwiseXOR(F.col("mask")).alias("point"), "fp")
     if distance % 2 == 0:
         least = points.groupBy("point").agg(F.min("fp").alias("a"), F.max("fp").alias("z")).where("a < z").select("point", "a")
-        return points.join(least, "point").where("fp <> a").select("a", F.col("fp").alias("b")).distinct()
+        return points.join(least.hint("merge"), "point").where("fp <> a").select("a", F.col("fp").alias("b")).distinct()
     # odd distance: one side takes the smaller ball, so that two holders of a point can't be farther apart
     inner = members.unionByName(seekers).distinct().select("fp", F.explode(_longs(_ball(BITS, distance // 2))).alias("mask"))
     inner = inner.select(F.col("fp").bitwiseXOR(F.col("mask")).alias("point"), F.col("fp").alias("c"))
     least = inner.groupBy("point").agg(F.min("c").alias("a"))
-    return points.join(least, "point").where("fp <> a").select(F.least("a", "fp").alias("a"), F.greatest("a", "fp").alias("b")).distinct()
+    return points.join(least.hint("merge"), "point").where("fp <> a").select(F.least("a", "fp").alias("a"), F.greatest("a", "fp").alias("b")).distinct()
 
 
 def near_duplicates(
