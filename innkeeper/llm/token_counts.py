@@ -10,9 +10,12 @@ at it (state in the vocabulary's trie, cost of the start), extended from its par
 the cheapest completed piece.  A shared prefix is scored once; pre-tokens read their count off their
 terminal node.  Counts are kept per Python worker within a bound.
 
-Defined results: NULL and empty texts have 0 pre-tokens and 0 tokens; whole texts are counted, pre-tokens of more than
-``MAX_PRETOKEN`` characters are cut there by rule (the pattern must start a pre-token at a
-single blank, as the public one does); a byte outside the vocabulary is one token at a fixed cost; repeated rows
+Pre-tokens of more than ``LONG`` bytes are walked one by one instead, with a score for each byte that the longest piece
+reaches, and their counts aren't kept.
+
+Defined results: NULL and empty texts have 0 pre-tokens and 0 tokens; whole texts and whole pre-tokens of any length are
+counted (the pattern must start a pre-token at a single blank, as the public one does);
+``UnigramCounter`` alone cuts pre-tokens at ``MAX_PRETOKEN`` characters unless told otherwise, ``count_tokens`` never does; a byte outside the vocabulary is one token at a fixed cost; repeated rows
 count alike; an empty table gives no rows; extra columns are carried along, and those named like an output column are replaced.
 """
 
@@ -33,6 +36,7 @@ from innkeeper.llm.common import byte_chunks, ragged
 COST_SCALE = 10_000
 UNKNOWN_COST = 25 * COST_SCALE
 MAX_PRETOKEN = 4096
+LONG = 4096  # bytes; its pieces fit the low bits of a score
 CACHED = 200_000
 CHUNK_BYTES = 2 << 20
 _CUT = regex.compile(r"(?<=\S) (?=\S)")
@@ -52,8 +56,8 @@ def pieces(text: str, limit: int) -> Iterator[str]:
 class UnigramCounter:
     """The vocabulary's trie as sorted transitions, and forward scores of pre-tokens."""
 
-    def __init__(self, path: str, pattern: str):
-        self.pattern = regex.compile(pattern)
+    def __init__(self, path: str, pattern: str, max_pretoken: int | None = MAX_PRETOKEN):
+        self.pattern, self.max_pretoken = regex.compile(pattern), max_pretoken
         with open(path, "rb") as f:
             found = sorted((int(rank), base64.b64decode(token)) for token, rank in map(bytes.split, f))
         ranks = np.arange(1, len(found) + 1)
@@ -65,6 +69,7 @@ class UnigramCounter:
             for b in token:
                 state = step.setdefault(state << 8 | b, len(step) + 1)
             end.setdefault(state, c)
+        self.step, self.end, self.longest = step, end, max((len(token) for _, token in found), default=0)
         keys = np.fromiter(step.keys(), np.int64, len(step))
         order = np.argsort(keys)
         self.keys, self.next = keys[order], np.fromiter(step.values(), np.int64, len(step))[order]
@@ -74,11 +79,31 @@ class UnigramCounter:
         self.values = np.empty((0, 2), np.int64)  # tokens and cost by slot
 
     def pretokens(self, text: str) -> list[str]:
-        words = self.pattern.findall(text)
-        if len(text) > MAX_PRETOKEN and any(len(w) > MAX_PRETOKEN for w in words):
-            words = [w[i : i + MAX_PRETOKEN] for w in words for i in range(0, len(w), MAX_PRETOKEN)]
+        words, limit = self.pattern.findall(text), self.max_pretoken
+        if limit and len(text) > limit and any(len(w) > limit for w in words):
+            words = [w[i : i + limit] for w in words for i in range(0, len(w), limit)]
         return words
 
+    def forward_long(self, word: bytes) -> tuple[int, int]:
+        """Pieces and cost of one pre-token of any length."""
+        step, end, size = self.step, self.end, self.longest + 1
+        scores: list[tuple[int, int] | None] = [None] * size  # cost and pieces up to the next bytes, in turn
+        scores[0] = (0, 0)
+        for i in range(len(word)):
+            cost, n = scores[i % size]
+            scores[i % size] = None
+            n += 1
+            state, at = 0, i
+            unknown = (cost + UNKNOWN_COST, n)
+            if (old := scores[(i + 1) % size]) is None or unknown < old:
+                scores[(i + 1) % size] = unknown
+            while at < len(word) and (state := step.get(state << 8 | word[at])) is not None:
+                at += 1
+                if (c := end.get(state)) is not None and ((old := scores[at % size]) is None or (cost + c, n) < old):
+                    scores[at % size] = (cost + c, n)
+        cost, n = scores[len(word) % size]
+        return n, cost
+
     def forward(self, words: list[bytes]) -> np.ndarray:
         """Final score (cost above, pieces in the low bits) of sorted distinct pre-tokens."""
         lengths = np.fromiter(map(len, words), np.int64, len(words))
@@ -137,14 +162,20 @@ class UnigramCounter:
     def _add(self, sums: np.ndarray, which: list[int], words: list[str], ends: list[int]) -> None:
         if not which:
             return
-        if len(self.slot) > CACHED:
+        if len(self.values) > CACHED:
             self.slot, self.values = {}, np.empty((0, 2), np.int64)
         if missing := set(words) - self.slot.keys():
             by = sorted((w.encode("utf-8"), w) for w in missing)
+            long = [(b, w) for b, w in by if len(b) > LONG]
+            by = [(b, w) for b, w in by if len(b) <= LONG]
             scores = self.forward([b for b, _ in by])
+            found = [self.forward_long(b) for b, _ in long]
+            by += long
             self.slot.update(zip((w for _, w in by), range(len(self.values), len(self.values) + len(by)), strict=True))
-            self.values = np.vstack([self.values, np.c_[scores & ((1 << _TOKENS) - 1), scores >> _TOKENS]])
+            self.values = np.vstack([self.values, np.c_[scores & ((1 << _TOKENS) - 1), scores >> _TOKENS], np.array(found, np.int64).reshape(-1, 2)])
         slots = np.fromiter(map(self.slot.__getitem__, words), np.int64, len(words))
+        for w in [w for w in missing if len(w) > LONG // 4]:  # their text would fill the memory
+            del self.slot[w]
         reach = np.vstack([np.zeros((1, 2), np.int64), np.cumsum(self.values[slots], axis=0)])
         bounds = np.r_[0, ends]
         np.add.at(sums, which, np.c_[np.diff(bounds), np.diff(reach[bounds], axis=0)])
@@ -155,7 +186,7 @@ _LOADED: dict[tuple[str, str], UnigramCounter] = {}
 
 def load(path: str, pattern: str) -> UnigramCounter:
     if (path, pattern) not in _LOADED:
-        _LOADED[path, pattern] = UnigramCounter(path, pattern)
+        _LOADED[path, pattern] = UnigramCounter(path, pattern, max_pretoken=None)
     return _LOADED[path, pattern]
 
 

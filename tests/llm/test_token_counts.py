@@ -59,5 +59,22 @@ def test_bytes_outside_the_vocabulary(tmp_path):
     assert row[:2].tolist() == [1, 3]
 
 
+def test_pretokens_longer_than_any_limit_are_counted_whole(make_docs):
+    rnd = random.Random(5)
+    texts = ["z" * 10_000, "-" * 9_000, "".join(rnd.choice("theanrio") for _ in range(4_097)), "".join(rnd.choice("漢字仮名") for _ in range(5_000))]
+    texts += [f"before {texts[2]} after {texts[0]}", "".join(rnd.choice("theanrio") for _ in range(4_096))]
+    cost, longest = costs(), max(map(len, costs()))
+    for r in C.count_tokens(make_docs(list(enumerate(texts))), PATH, PATTERN).collect():
+        words = regex.findall(PATTERN, r.text)
+        each = []
+        for w in map(str.encode, words):
+            best = [(0, 0)]
+            for i in range(1, len(w) + 1):
+                best.append(min((best[j][0] + cost[w[j:i]], best[j][1] + 1) for j in range(max(0, i - longest), i) if w[j:i] in cost))
+            each.append(best[-1])
+        assert (r.n_pretokens, r.n_tokens) == (len(words), sum(n for _, n in each))
+        assert math.isclose(-r.log_prob * C.COST_SCALE, sum(c for c, _ in each), abs_tol=1e-3)
+
+
 def test_empty_table(make_docs):
     assert C.count_tokens(make_docs([]), PATH, PATTERN).collect() == []
