@@ -6,7 +6,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from innkeeper.llm import bpe, chat, decontaminate, embeddings, langid, sharding, simhash, substring_dedup, token_counts, toxicity
+from innkeeper.llm import (
+    bpe,
+    chat,
+    decontaminate,
+    embeddings,
+    langid,
+    lm_score,
+    sharding,
+    simhash,
+    substring_dedup,
+    token_counts,
+    toxicity,
+)
 from innkeeper.llm.common import crc_fold, read_table
 
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -97,6 +109,17 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
+
+
+def op11_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lattice and base score of every document, learned from the rows outside the held-out seventh."""
+    found = lm_score.score_texts(read_table(spark, sf_dir, "documents"), PIECES, crc_fold("doc_id", 7) != 2)
+    return found.withColumn("held_out", F.coalesce(crc_fold("doc_id", 7) == 2, F.lit(False))).select(
+        "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
+
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_sharding": op2_sharding,
@@ -108,5 +131,6 @@ QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_decontaminate": op9_decontaminate,
     "op10_embedding_near_dedup": op10_embedding_near_dedup,
+    "op11_lm_score": op11_lm_score,
 }
 ORACLE_SQL: dict[str, str] = {}
