@@ -13,6 +13,7 @@ from innkeeper.llm import (
     embeddings,
     langid,
     lm_score,
+    periodic,
     sharding,
     simhash,
     substring_dedup,
@@ -120,6 +121,30 @@ def op11_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of at least 12 words of every document, a tenth of which get a repeated stretch first."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = periodic.periodic_runs(_with_repeats(docs), least=12)
+    longest = F.array_min(F.transform("runs", lambda r: F.struct((-r["length"]).alias("length"), r["start"].alias("start"), r["period"].alias("period"))))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.withColumn("best", longest).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), F.col("best.start").alias("start"), (-F.col("best.length")).alias("length"),
+        F.col("best.period").alias("period"), F.expr("1000 * -best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def _with_repeats(docs: DataFrame) -> DataFrame:
+    """A document whose id's checksum h is divisible by 10 goes on, from word a = g % n (g = h div 10) of its n words, with copies of the
+    p = 1 + (n - a) div (3 + g % 8) words that begin there.  A NULL id has no checksum: its text stays."""
+    found = docs.withColumn("h", F.crc32(F.col("doc_id").cast("string").cast("binary")))
+    found = found.withColumn("words", F.when(F.col("h") % 10 == 0, F.expr(r"filter(split(text, r'[\x20\x09-\x0D]+'), w -> w <> '')")))
+    found = found.withColumn("n", F.size("words")).withColumn("a", F.expr("IF(n > 0, (h div 10) % n, NULL)"))
+    found = found.withColumn("p", F.expr("1 + (n - a) div (3 + (h div 10) % 8)"))
+    repeated = "array_join(transform(words, (w, i) -> IF(i < a, w, words[int(a + (i - a) % p)])), ' ')"
+    return found.select("doc_id", F.expr(f"IF(p IS NULL, text, {repeated})").alias("text"))
+
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_sharding": op2_sharding,
@@ -132,5 +157,6 @@ QUERIES = {
     "op9_decontaminate": op9_decontaminate,
     "op10_embedding_near_dedup": op10_embedding_near_dedup,
     "op11_lm_score": op11_lm_score,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 ORACLE_SQL: dict[str, str] = {}
