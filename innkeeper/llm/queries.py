@@ -16,6 +16,7 @@ from innkeeper.llm import (
     periodic,
     sharding,
     simhash,
+    spelling,
     substring_dedup,
     token_counts,
     toxicity,
@@ -121,6 +122,22 @@ def op11_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near words and forms of all words of 7 letters or more that the documents hold twice; of a 31st of a document's words a letter is lost."""
+    return spelling.group_variants(_letter_runs(read_table(spark, sf_dir, "documents")), ratio=10, min_length=7, min_count=2)
+
+
+def _letter_runs(docs: DataFrame) -> DataFrame:
+    """``word, n`` by document: runs of Latin letters, A-Z in lower case, without the code point that the checksum of ``<doc_id>:<run>`` takes.
+    A NULL id has no checksum: its runs stay."""
+    low = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    runs = F.filter(F.regexp_extract_all(low, F.lit(r"[a-z\x{C0}-\x{FF}]+"), F.lit(0)), lambda w: F.char_length(w) >= 7)
+    found = docs.select("doc_id", F.explode(runs).alias("run"))
+    found = found.withColumn("h", F.crc32(F.concat(F.col("doc_id").cast("string"), F.lit(":"), "run").cast("binary")))
+    cut = F.expr("concat(substring(run, 1, int(h % char_length(run))), substring(run, int(h % char_length(run)) + 2))")
+    return found.select(F.when(F.col("h") % 31 == 0, cut).otherwise(F.col("run")).alias("word"), F.lit(1).cast("long").alias("n"))
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Periodic runs of at least 12 words of every document, a tenth of which get a repeated stretch first."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -157,6 +174,7 @@ QUERIES = {
     "op9_decontaminate": op9_decontaminate,
     "op10_embedding_near_dedup": op10_embedding_near_dedup,
     "op11_lm_score": op11_lm_score,
+    "op12_spelling_variants": op12_spelling_variants,
     "op13_periodic_runs": op13_periodic_runs,
 }
 ORACLE_SQL: dict[str, str] = {}
