@@ -1,8 +1,8 @@
 """The registered queries: one per operator group of the inventory, each a
 ``(spark, sf_dir) -> DataFrame`` over the stand-in extracts of ``sf_dir``.
 
-``Build`` assembles each layer lazily and at most once per call, so a query
-only computes the layers it reads (Q3 never touches a fact, for instance).
+``Build`` assembles the staging layer lazily, so a staging query only computes what it reads.
+Warehouse queries read the staging tables and the star that the pipeline wrote (``_published``), once per application.
 Parameters of the questions are fixed for the stand-in data: the calendar covers
 January 2024, reviews cover 1995-2001.
 """
@@ -10,6 +10,7 @@ January 2024, reviews cover 1995-2001.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -72,45 +73,34 @@ class Build:
     def cleaned(self) -> S.Cleaned:
         return S.clean(self.stg_listings, self.stg_reviews, self.stg_calendar)
 
-    @cached_property
-    def dim_neighbourhood(self) -> DataFrame:
-        return W.dim_neighbourhood(self.stg_neighbourhoods)
-
-    @cached_property
-    def dim_date(self) -> DataFrame:
-        return W.dim_date(self.cleaned.calendar, self.cleaned.reviews)
-
-    @cached_property
-    def dim_listing(self) -> DataFrame:
-        return W.dim_listing(self.cleaned.listings, self.dim_neighbourhood)
+def _b(spark: SparkSession, sf_dir: str) -> Build:
+    return Build(spark, sf_dir)
 
-    @cached_property
-    def fact_reviews(self) -> DataFrame:
-        return W.fact_reviews(self.cleaned.reviews, self.dim_listing)
 
-    @cached_property
-    def fact_availability(self) -> DataFrame:
-        return W.fact_availability(self.cleaned.calendar, self.dim_listing)
+@dataclass
+class Published:
+    """Staging tables and star of one ``sf_dir``, written by the pipeline and read back."""
 
-    def tables(self) -> dict[str, DataFrame]:
-        return W.Star.tables(self)  # type: ignore[arg-type]
+    staging: dict[str, DataFrame]
+    star: W.Star
 
 
-def _b(spark: SparkSession, sf_dir: str) -> Build:
-    return Build(spark, sf_dir)
+_PUBLISHED: dict[tuple[str, str], Published] = {}
 
 
-_STARS: dict[tuple[str, str], W.Star] = {}
+def _published(spark: SparkSession, sf_dir: str) -> Published:
+    """Built once per application, as the questions, checks and warehouse steps read a published load."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _PUBLISHED:
+        root = session.scratch_path(spark, "innkeeper-published")
+        staged = P.run_staging(spark, _b(spark, sf_dir).raw, f"{root}/staging", enforce=False)
+        built = P.run_warehouse(spark, staged.path, f"{root}/warehouse", enforce=False)
+        _PUBLISHED[key] = Published(P.read_staging(spark, staged.path), P.read_star(spark, built.path, built.row_counts))
+    return _PUBLISHED[key]
 
 
 def _star(spark: SparkSession, sf_dir: str) -> W.Star:
-    """The star of ``sf_dir``, built and written by the pipeline once per application and read
-    back, as the questions and checks read a published warehouse."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _STARS:
-        root = session.scratch_path(spark, "innkeeper-star")
-        _STARS[key] = P.full_refresh(spark, _b(spark, sf_dir).raw, root, enforce=False)
-    return _STARS[key]
+    return _published(spark, sf_dir).star
 
 
 # --- questions -------------------------------------------------------------------------
@@ -137,8 +127,9 @@ def q5_range_stay(spark, sf_dir):
 
 
 def drill_across(spark, sf_dir):
-    star = _star(spark, sf_dir)
-    shifted = _b(spark, sf_dir).cleaned.reviews.withColumn("date", F.add_months("date", 12 * DRILL_SHIFT_YEARS))
+    p = _published(spark, sf_dir)
+    star = p.star
+    shifted = p.staging["reviews"].withColumn("date", F.add_months("date", 12 * DRILL_SHIFT_YEARS))
     return A.drill_across(star, W.fact_reviews(shifted, star.dim_listing, dim_rows=star.rows("dim_listing")))
 
 
@@ -146,23 +137,27 @@ def drill_across(spark, sf_dir):
 
 
 def dim_neighbourhood(spark, sf_dir):
-    return _b(spark, sf_dir).dim_neighbourhood
+    return W.dim_neighbourhood(_published(spark, sf_dir).staging["neighbourhoods"])
 
 
 def dim_date(spark, sf_dir):
-    return _b(spark, sf_dir).dim_date
+    stg = _published(spark, sf_dir).staging
+    return W.dim_date(stg["calendar"], stg["reviews"])
 
 
 def dim_listing(spark, sf_dir):
-    return _b(spark, sf_dir).dim_listing
+    p = _published(spark, sf_dir)
+    return W.dim_listing(p.staging["listings"], p.star.dim_neighbourhood, dim_rows=p.star.rows("dim_neighbourhood"))
 
 
 def fact_reviews(spark, sf_dir):
-    return _b(spark, sf_dir).fact_reviews
+    p = _published(spark, sf_dir)
+    return W.fact_reviews(p.staging["reviews"], p.star.dim_listing, dim_rows=p.star.rows("dim_listing"))
 
 
 def fact_availability(spark, sf_dir):
-    return _b(spark, sf_dir).fact_availability
+    p = _published(spark, sf_dir)
+    return W.fact_availability(p.staging["calendar"], p.star.dim_listing, dim_rows=p.star.rows("dim_listing"))
 
 
 LINEITEM_ORDER = [
@@ -384,20 +379,20 @@ def drop_null_rows(spark, sf_dir):
 
 
 def lookup_left(spark, sf_dir):
-    b = _b(spark, sf_dir)
-    return W.listings_with_neighbourhood_key(b.cleaned.listings, b.dim_neighbourhood).select(
+    p = _published(spark, sf_dir)
+    return W.listings_with_neighbourhood_key(p.staging["listings"], p.star.dim_neighbourhood).select(
         "listing_id", "neighbourhood", "neighbourhood_key"
     )
 
 
 def lookup_inner(spark, sf_dir):
-    b = _b(spark, sf_dir)
-    return lookup_key(b.cleaned.reviews.select("review_id", "listing_id"), b.dim_listing, "listing_id", "listing_key")
+    p = _published(spark, sf_dir)
+    return lookup_key(p.staging["reviews"].select("review_id", "listing_id"), p.star.dim_listing, "listing_id", "listing_key")
 
 
 def lookup_misses(spark, sf_dir):
-    b = _b(spark, sf_dir)
-    return W.lookup_misses(W.listings_with_neighbourhood_key(b.cleaned.listings, b.dim_neighbourhood))
+    p = _published(spark, sf_dir)
+    return W.lookup_misses(W.listings_with_neighbourhood_key(p.staging["listings"], p.star.dim_neighbourhood))
 
 
 def missing_parent_ids_q(spark, sf_dir):

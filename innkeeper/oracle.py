@@ -189,8 +189,7 @@ SELECT CAST(row_number() OVER (ORDER BY listing_id) AS INTEGER) AS listing_key,
        CAST(bathrooms AS DECIMAL(4,1)) AS bathrooms, bedrooms, beds
 FROM lst_keyed""",
     "fact_reviews": f"""
-SELECT CAST(row_number() OVER (ORDER BY r.review_id NULLS FIRST, l.listing_key, {date_key('r.date')},
-                                        r.reviewer_id NULLS FIRST) AS BIGINT) AS review_key,
+SELECT CAST(row_number() OVER (ORDER BY r.date, r.review_id NULLS FIRST, l.listing_key, r.reviewer_id NULLS FIRST) AS BIGINT) AS review_key,
        l.listing_key, {date_key('r.date')} AS date_key, r.review_id, r.reviewer_id,
        CAST(1 AS INTEGER) AS review_count, {month_key('r.date')} AS month_key
 FROM clean_reviews r JOIN dim_listing l ON r.listing_id = l.listing_id""",
@@ -200,7 +199,7 @@ SELECT listing_id, date, available, minimum_nights, maximum_nights FROM (
             ORDER BY available NULLS FIRST, minimum_nights NULLS FIRST, maximum_nights NULLS FIRST) AS rn
   FROM clean_calendar) t WHERE rn = 1""",
     "fact_availability": f"""
-SELECT CAST(row_number() OVER (ORDER BY l.listing_key, {date_key('c.date')}) AS BIGINT) AS availability_key,
+SELECT CAST(row_number() OVER (ORDER BY c.date, l.listing_key) AS BIGINT) AS availability_key,
        l.listing_key, {date_key('c.date')} AS date_key, c.available, c.minimum_nights, c.maximum_nights,
        {month_key('c.date')} AS month_key
 FROM cal_first c JOIN dim_listing l ON c.listing_id = l.listing_id""",

@@ -4,11 +4,11 @@ Layout decisions for scale:
 
 * dimensions are joined to facts through ``lookup_key``: broadcast only when the
   row count is proved small, otherwise a shuffle join with AQE skew splitting;
-* fact surrogate keys use ``dense_key`` (no single-partition window); the
-  pipeline passes ``checkpoint=True`` so the dedup/join under a key is computed
-  once, not once per numbering pass;
+* dimension keys use ``dense_key`` (no single-partition window);
 * both facts carry ``month_key`` (yyyyMM) and are written ``partitionBy``
-  month_key, so month/range questions prune partitions;
+  month_key, so month/range questions prune partitions; their keys number the rows in
+  that layout (``layout_key``: by date, then natural key), so one shuffle
+  serves the numbering and the files;
 * the calendar is deduplicated on its natural key with a map-side-combining
   aggregate before the lookup, so a hot listing never moves all its copies.
 """
@@ -24,23 +24,20 @@ from innkeeper import schemas
 from innkeeper.functions import columns as C
 from innkeeper.operators import quality as Q
 from innkeeper.operators.dedup import keep_first
-from innkeeper.operators.keys import dense_key
+from innkeeper.operators.keys import PIECE_ROWS, dense_key, layout_key
 from innkeeper.operators.lookup import (
     DEFAULT_BROADCAST_ROWS,
     checked_broadcast,
     lookup_key,
     union_distinct,
 )
+from innkeeper.session import Scratch
 
+# The staged columns of the listing dimension: its own, less the keys, plus the name that is looked up.
 LISTING_DIM_SOURCE = [
-    "listing_id", "host_id", "host_name", "price", "host_is_superhost", "neighbourhood",
-    "latitude", "longitude", "property_type", "room_type", "accommodates", "bathrooms",
-    "bedrooms", "beds",
+    "neighbourhood" if f.name == "neighbourhood_key" else f.name for f in schemas.DIM_LISTING.fields if f.name != "listing_key"
 ]
 
-# Packs (listing_key, date_key) into one BIGINT that sorts like the pair; date_key < 10**8.
-_PAIR_BASE = 10**8
-
 
 def conform(df: DataFrame, schema) -> DataFrame:
     """Project and cast to the target schema, in its column order.  A value that the target
@@ -146,17 +143,13 @@ def dim_listing(
     return conform(df, schemas.DIM_LISTING)
 
 
-def fact_reviews(
-    clean_reviews: DataFrame,
-    dim_list: DataFrame,
-    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-    dim_rows: int | None = None,
-    checkpoint: bool = False,
+def review_rows(
+    clean_reviews: DataFrame, dim_list: DataFrame, max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS, dim_rows: int | None = None
 ) -> DataFrame:
-    """M9: J4 (inner lookup), C11, P6 (review_count = 1), K2 in review_id order."""
+    """M9 before its key: J4 (inner lookup), C11, P6 (review_count = 1)."""
     df = clean_reviews.select("listing_id", "review_id", "date", "reviewer_id")
     df = lookup_key(df, dim_list, "listing_id", "listing_key", "inner", max_broadcast_rows, dim_rows)
-    df = df.select(
+    return df.select(
         "listing_key",
         required_date_key("date").alias("date_key"),
         "review_id",
@@ -164,26 +157,34 @@ def fact_reviews(
         F.lit(1).cast("int").alias("review_count"),
         C.month_key("date").alias("month_key"),
     )
-    df = dense_key(
-        df, ["review_id", "listing_key", "date_key", "reviewer_id"], "review_key",
-        checkpoint=checkpoint,
-    )
-    return conform(df, schemas.FACT_REVIEWS)
 
 
-def fact_availability(
-    clean_calendar: DataFrame,
+def number_reviews(rows: DataFrame, piece_rows: int = PIECE_ROWS, scratch: Scratch | None = None) -> DataFrame:
+    """M9's K2: by date, then review_id; laid out by month."""
+    order = ["review_id", "listing_key", "reviewer_id"]
+    return conform(layout_key(rows, "month_key", "date_key", order, "review_key", piece_rows, scratch), schemas.FACT_REVIEWS)
+
+
+def fact_reviews(
+    clean_reviews: DataFrame,
     dim_list: DataFrame,
     max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
     dim_rows: int | None = None,
-    checkpoint: bool = False,
+    scratch: Scratch | None = None,
+    piece_rows: int = PIECE_ROWS,
+) -> DataFrame:
+    """M9: looked up and numbered."""
+    return number_reviews(review_rows(clean_reviews, dim_list, max_broadcast_rows, dim_rows), piece_rows, scratch)
+
+
+def availability_rows(
+    clean_calendar: DataFrame, dim_list: DataFrame, max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS, dim_rows: int | None = None
 ) -> DataFrame:
-    """D3 (global, one row per listing and date, unavailable first), J5,
-    C11, K2 in (listing_key, date_key) order."""
+    """M10 before its key: D3 (global, one row per listing and date, unavailable first), J5, C11."""
     df = clean_calendar.select("listing_id", "date", "available", "minimum_nights", "maximum_nights")
     df = keep_first(df, ["listing_id", "date"], order_by=["available", "minimum_nights", "maximum_nights"])
     df = lookup_key(df, dim_list, "listing_id", "listing_key", "inner", max_broadcast_rows, dim_rows)
-    df = df.select(
+    return df.select(
         "listing_key",
         required_date_key("date").alias("date_key"),
         "available",
@@ -191,32 +192,24 @@ def fact_availability(
         "maximum_nights",
         C.month_key("date").alias("month_key"),
     )
-    pair = F.col("listing_key").cast("bigint") * _PAIR_BASE + F.col("date_key")
-    df = dense_key(
-        df, ["listing_key", "date_key"], "availability_key", sort_value=pair,
-        checkpoint=checkpoint,
-    )
-    return conform(df, schemas.FACT_AVAILABILITY)
 
 
-def build_star(
-    stg_listings: DataFrame,
-    clean_reviews: DataFrame,
+def number_availability(rows: DataFrame, piece_rows: int = PIECE_ROWS, scratch: Scratch | None = None) -> DataFrame:
+    """M10's K2: by date, then listing; laid out by month."""
+    keyed = layout_key(rows, "month_key", "date_key", ["listing_key"], "availability_key", piece_rows, scratch)
+    return conform(keyed, schemas.FACT_AVAILABILITY)
+
+
+def fact_availability(
     clean_calendar: DataFrame,
-    stg_neighbourhoods: DataFrame,
+    dim_list: DataFrame,
     max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-) -> Star:
-    """Dimensions first (neighbourhood before listing for the key lookup), then facts."""
-    nb = dim_neighbourhood(stg_neighbourhoods)
-    dates = dim_date(clean_calendar, clean_reviews)
-    listing = dim_listing(stg_listings, nb, max_broadcast_rows)
-    return Star(
-        dim_neighbourhood=nb,
-        dim_listing=listing,
-        dim_date=dates,
-        fact_reviews=fact_reviews(clean_reviews, listing, max_broadcast_rows),
-        fact_availability=fact_availability(clean_calendar, listing, max_broadcast_rows),
-    )
+    dim_rows: int | None = None,
+    scratch: Scratch | None = None,
+    piece_rows: int = PIECE_ROWS,
+) -> DataFrame:
+    """One row per listing and date, looked up and numbered."""
+    return number_availability(availability_rows(clean_calendar, dim_list, max_broadcast_rows, dim_rows), piece_rows, scratch)
 
 
 # --- M11: post-load checks (V16-V19) ----------------------------------------------------

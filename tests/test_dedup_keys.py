@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from innkeeper.operators.dedup import drop_exact_duplicates, duplicate_count, keep_first
-from innkeeper.operators.keys import dense_key
+from innkeeper.operators.keys import dense_key, layout_key
 
 
 def test_duplicate_count_nulls_equal(spark):
@@ -114,3 +114,33 @@ def test_dense_key_random_against_row_number(spark):
         rows = sorted((r["key"], r["k"], r["i"]) for r in got.collect())
         assert [(k, i) for _, k, i in rows] == expect, trial
         assert [x[0] for x in rows] == list(range(1, n + 1))
+
+
+@pytest.mark.parametrize("piece_rows", [40, 150, 400, 10**6])
+def test_layout_key_numbers_by_day_then_key(spark, piece_rows):
+    rnd = random.Random(piece_rows)
+    days = [20240131, 20240201, 20240202, 20240229, 20250101]
+    # a third of all rows on one day, NULL and negative keys, repeated ones
+    data = [(days[1] if rnd.random() < 0.33 else rnd.choice(days), rnd.choice([None, -5] + 60 * [rnd.randint(0, 10**12)]), i) for i in range(900)]
+    df = spark.createDataFrame([(d // 100, d, k, i) for d, k, i in data], "m int, d int, k long, i int").repartition(5)
+    got = layout_key(df, "m", "d", ["k", "i"], "key", piece_rows=piece_rows)
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # it would join small tasks
+    try:
+        tasks = [[(r["m"], r["d"], r["key"], r["k"], r["i"]) for r in part] for part in got.rdd.glom().collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+    rows = sorted(r[2:] for part in tasks for r in part)
+    expect = sorted(data, key=lambda r: (r[0], r[1] is not None, r[1] or 0, r[2]))
+    assert rows == [(n + 1, k, i) for n, (_, k, i) in enumerate(expect)]
+    for part in tasks:  # file order, and no task with much more than a piece
+        assert part == sorted(part, key=lambda r: (r[0], r[1], r[2]))
+        assert len(part) <= 1.5 * piece_rows
+    assert len([p for p in tasks if p]) >= min(900 // (2 * piece_rows), 900)
+
+
+@pytest.mark.parametrize("rows", [[], [(202401, 20240105, None)], [(202401, 20240105, 7)] * 60])
+def test_layout_key_small_inputs(spark, rows):
+    df = spark.createDataFrame(rows, "m int, d int, k int")
+    got = layout_key(df, "m", "d", ["k"], "key", piece_rows=25)
+    assert sorted(r["key"] for r in got.collect()) == list(range(1, len(rows) + 1))

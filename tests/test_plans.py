@@ -48,8 +48,8 @@ def test_q5_pushes_the_date_key_range(built):
 
 def test_fact_lookup_uses_broadcast_when_dimension_is_proved_small(built, spark):
     star, stg = built
-    fact = W.fact_availability(stg["calendar"], star.dim_listing, dim_rows=star.rows("dim_listing"))
-    assert "BroadcastHashJoin" in plan_of(fact)
+    rows = W.availability_rows(stg["calendar"], star.dim_listing, dim_rows=star.rows("dim_listing"))
+    assert "BroadcastHashJoin" in plan_of(rows)
 
 
 def test_large_dimension_is_not_broadcast(built, spark):
@@ -60,8 +60,8 @@ def test_large_dimension_is_not_broadcast(built, spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
     try:
-        fact = W.fact_reviews(stg["reviews"], star.dim_listing, max_broadcast_rows=10, dim_rows=star.rows("dim_listing"))
-        plan = plan_of(fact)
+        rows = W.review_rows(stg["reviews"], star.dim_listing, max_broadcast_rows=10, dim_rows=star.rows("dim_listing"))
+        plan = plan_of(rows)
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
         spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
@@ -69,6 +69,29 @@ def test_large_dimension_is_not_broadcast(built, spark):
     assert "BroadcastHashJoin" not in plan
 
 
+@pytest.mark.parametrize("piece_rows", [100, 8_000_000])
+def test_one_shuffle_serves_numbering_and_files(built, spark, piece_rows):
+    """After the lookup a fact moves once: by the numbering's buckets, which are the files; the write
+    adds neither an exchange nor a sort to the one of the numbering."""
+    star, stg = built
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        for rows, number in ((W.review_rows(stg["reviews"], star.dim_listing), W.number_reviews), (W.availability_rows(stg["calendar"], star.dim_listing), W.number_availability)):
+            fact = number(rows, piece_rows)
+            path = session.scratch_path(spark, "test-layout")
+            plan = fact._jdf.queryExecution().executedPlan().toString()
+            assert plan.count("Exchange") == 1, plan
+            assert ("direct_shuffle_partition_id" if piece_rows == 100 else "SinglePartition") in plan, plan  # few rows: one task
+            assert plan.count("Sort [") == 1 and "Sort [month_key" in plan, plan
+            # what a write partitioned by month asks of its input, so it sorts nothing
+            assert fact._jdf.queryExecution().optimizedPlan().outputOrdering().toString().startswith("List(month_key#")
+            written = P.write_fact(fact, path)
+            assert written == rows.count()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+
+
 def test_staging_reads_only_needed_columns(built):
     _, stg = built
     plan = plan_of(W.dim_date(stg["calendar"], stg["reviews"]))
