@@ -12,8 +12,8 @@ sums over all segmentations of all training words give the expected number of ea
 numbers plus ``SMOOTHING`` times the existing ones; ``rounds`` times.
 
 On Spark: word counts are combined in each task before they shuffle; the lattice of a distinct word is summed once, not once
-per occurrence; the learned weights are one number per piece of the vocabulary file.  The ``HEAD`` most frequent words (a
-table of fixed size) reach the documents by broadcast, all other words by a join on the word, so that no frequent word is a join key.
+per occurrence; the learned weights are one number per piece of the vocabulary file.  At most
+``HEAD`` words, the most frequent ones, reach the documents by broadcast, all other words by a join on the word, so that no frequent word is a join key.
 
 Defined results: a NULL or empty text is one token, its end; whole texts and words of any length count; a NULL id is a training
 row; repeated rows count and are scored each; without training tokens the base is log10(1) for every token and the existing scores
@@ -37,7 +37,7 @@ LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 CHUNK_BYTES = 1 << 18  # bytes of words whose lattices are summed together
 TEXT_BYTES = 4 << 20
 SMOOTHING = 1000.0
-HEAD, HEAD_WORD_BYTES = 1 << 17, 64
+HEAD, HEAD_WORD_BYTES = 1 << 17, 256
 
 
 def read_pieces(path: str) -> tuple[list[bytes], np.ndarray]:
@@ -261,6 +261,20 @@ def _score_words(vocabulary: DataFrame, path: str, prob: np.ndarray) -> DataFram
     return vocabulary.select("word", "n").mapInArrow(run, "word string, n long, score double")
 
 
+def _head_from(vocabulary: DataFrame) -> int:
+    """The least count from which on there are at most ``HEAD`` words: from a histogram whose bins are an eighth of a doubling wide, so
+    every task sends a few hundred numbers and no words."""
+    scale = F.floor(F.log2("n") * 8)
+    bins = vocabulary.where("n > 0").groupBy(scale.alias("bin")).agg(F.count(F.lit(1)).alias("words"), F.min("n").alias("least")).orderBy(F.desc("bin")).collect()
+    least, words = 1 << 62, 0
+    for _, n, low in bins:
+        words += n
+        if words > HEAD:
+            break
+        least = low
+    return least
+
+
 def score_texts(docs: DataFrame, path: str, train: Column, id_col: str = "doc_id", text_col: str = "text", rounds: int = 3) -> DataFrame:
     """Every row of ``docs`` as ``id_col, train, n_tokens, n_known, train_tokens, base_score, score``, learned from the rows of which
     ``train`` holds (a NULL of it counts as true: such a row has no id to hold it out by).  ``base_score`` adds log10((c + 1) / (N + V + 1)) over the tokens; ``score`` is the lattice's log10 probability."""
@@ -279,7 +293,7 @@ def score_texts(docs: DataFrame, path: str, train: Column, id_col: str = "doc_id
     scored = materialise(_score_words(vocabulary, path, prob), "lm-scores")
 
     below = math.log10(n_all + n_kinds + 1)
-    top = scored.where((F.col("n") > 0) & (F.octet_length("word") <= HEAD_WORD_BYTES)).orderBy(F.desc("n"), "word").limit(HEAD)
+    top = scored.where(F.col("n") >= _head_from(scored)).where(F.octet_length("word") <= HEAD_WORD_BYTES)
     head = {w.encode("utf-8"): (math.log10(n + 1) - below, s) for w, n, s in top.collect()}
     shared = spark.sparkContext.broadcast(head)
     end = (int(n_ends > 0), math.log10(n_ends + 1) - below, math.log10(prob[-1]))
