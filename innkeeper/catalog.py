@@ -264,6 +264,32 @@ def scan_csv_typed(spark, sf_dir):
     return S.stage_listings(files.scan_csv(spark, path, schemas.LISTING_COLUMNS))
 
 
+def scan_csv_plain(spark, sf_dir):
+    """S2 + M2: raw reviews whose comments hold newlines, as one uncompressed file read in splits of 64 KB."""
+    raw = _b(spark, sf_dir).raw["reviews"].withColumn("comments", F.concat("comments", F.lit("\nthe \"end\",\n")))
+    with session.Scratch(spark) as scratch:
+        path = scratch.path("innkeeper-csv-plain")
+        files.write_csv(raw.coalesce(1), path, compression="none")
+        return _kept(S.stage_reviews(files.scan_csv(spark, path, schemas.RAW_REVIEWS, split_bytes=1 << 16)))
+
+
+def scan_csv_many(spark, sf_dir):
+    """S1/S2 + M4: the calendar as many files of two layouts (other order and a column more), each bound by its own header."""
+    raw = _b(spark, sf_dir).raw["calendar"]
+    odd = F.col("listing_id").cast("long") % 2 == 1
+    with session.Scratch(spark) as scratch:
+        path = scratch.path("innkeeper-csv-many")
+        files.write_csv(raw.where(~odd).repartition(5), f"{path}/even")
+        other = raw.where(odd).select("maximum_nights", "date", F.concat("listing_id", F.lit(".00")).alias("price"), "available", "minimum_nights", "listing_id")
+        files.write_csv(other.repartition(7), f"{path}/odd", compression="none")
+        return _kept(S.stage_calendar(files.scan_csv(spark, [f"{path}/even", f"{path}/odd"], schemas.RAW_CALENDAR, multiline=False)))
+
+
+def _kept(df: DataFrame) -> DataFrame:
+    """``df`` written once for the caller, so that the files it was read from can go."""
+    return session.Scratch(df.sparkSession).write(df, "innkeeper-scanned")
+
+
 def staging_roundtrip(spark, sf_dir):
     """Cleaned reviews written to Parquet and read back with types intact."""
     path = session.scratch_path(spark, "innkeeper-staging")
@@ -510,6 +536,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "cleaning_metrics": cleaning_metrics,
     "normalise_headers": normalise_headers,
     "scan_csv_typed": scan_csv_typed,
+    "scan_csv_plain": scan_csv_plain,
+    "scan_csv_many": scan_csv_many,
     "staging_roundtrip": staging_roundtrip,
     "cast_ids": cast_ids,
     "parse_date_lenient": parse_date_lenient,

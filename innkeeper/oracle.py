@@ -433,6 +433,10 @@ SELECT 'calendar_orphans', (SELECT count(*) FROM stg_calendar), (SELECT count(*)
        (SELECT count(*) FROM stg_calendar) - (SELECT count(*) FROM clean_calendar)""",
         "normalise_headers": "SELECT neighbourhood_group, neighbourhood FROM raw_neighbourhoods",
         "scan_csv_typed": "SELECT * FROM stg_listings",
+        "scan_csv_plain": """
+SELECT * REPLACE (comments || chr(10) || 'the "end",' AS comments) FROM stg_reviews""",
+        "scan_csv_many": """
+SELECT *, CASE WHEN listing_id % 2 = 1 THEN listing_id || '.00' END AS price FROM stg_calendar""",
         "staging_roundtrip": "SELECT * FROM clean_reviews",
         "cast_ids": "SELECT o_orderkey, CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_orderkey END AS parsed_id FROM orders",
         "parse_date_lenient": f"""

@@ -66,9 +66,12 @@ class Scratch:
     def __init__(self, spark: SparkSession):
         self.spark, self.paths = spark, []
 
+    def path(self, name: str) -> str:
+        self.paths.append(scratch_path(self.spark, name))
+        return self.paths[-1]
+
     def write(self, df: DataFrame, name: str) -> DataFrame:
-        path = scratch_path(self.spark, name)
-        self.paths.append(path)
+        path = self.path(name)
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 

@@ -1,10 +1,6 @@
 """File sources and sinks.
 
-* CSV extracts are read with every column as STRING, named by the header line
-  (no inference pass, no positional binding), ``multiLine`` for quoted newlines
-  and ``""`` as the quote escape; the missing-value tokens become NULL (S3).  A
-  gzip file is one split, so an under-split scan is spread over the task slots
-  before any wide work.
+* CSV extracts: ``sources.csv_files``.
 * Staging and warehouse tables are Parquet (types survive between layers).
   Facts are written ``partitionBy("month_key")``.
 * A full refresh writes a complete new version directory and only then appends
@@ -16,98 +12,14 @@ from __future__ import annotations
 
 import time
 import uuid
-from collections.abc import Iterable
-from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from innkeeper.sources.standin import as_read_from_csv, spread
-
-CSV_OPTIONS = {
-    "header": "true",
-    "multiLine": "true",
-    "quote": '"',
-    "escape": '"',
-    "mode": "FAILFAST",
-    "ignoreLeadingWhiteSpace": "false",
-    "ignoreTrailingWhiteSpace": "false",
-}
-
-
-def _headers(spark: SparkSession, files: list[str], options: dict[str, str]) -> dict[tuple[str, ...], list[str]]:
-    """Files by their header line; each header is read by a job of its own over the first line."""
-    with ThreadPoolExecutor(max_workers=16) as pool:
-        found = list(pool.map(lambda f: tuple(spark.read.options(**options).csv(f).columns), files))
-    groups: dict[tuple[str, ...], list[str]] = {}
-    for name, header in zip(files, found, strict=True):
-        groups.setdefault(header, []).append(name)
-    return groups
-
-
-def scan_csv(
-    spark: SparkSession,
-    path: str | list[str],
-    expected: T.StructType | list[str] | None = None,
-    partitions: int | None = None,
-    multiline: bool = True,
-) -> DataFrame:
-    """Read CSV (plain or ``.gz``) with every column as STRING, named by
-    the header line of its own file (no schema inference pass, no positional binding: the
-    files of an extract may hold their columns in any order, and more of them; a column that a file
-    lacks is NULL there).  ``expected`` names the columns that
-    every file must have; a missing one raises before any work.
-
-    ``multiline=True`` is needed when quoted fields hold newlines (listings,
-    reviews) and makes every file one task; an extract without free text
-    (calendar) can pass ``False`` so that uncompressed or bzip2 files split."""
-    options = {**CSV_OPTIONS, "multiLine": str(multiline).lower(), "inferSchema": "false"}
-    inputs = sorted(spark.read.text(path).inputFiles())
-    if not inputs:
-        raise FileNotFoundError(f"no files under {path}")
-    parts = []
-    for header, names in sorted(_headers(spark, inputs, options).items()):
-        if not header:  # an empty file
-            continue
-        if expected is not None:
-            wanted = expected.fieldNames() if isinstance(expected, T.StructType) else list(expected)
-            if missing := [n for n in wanted if n not in header]:
-                raise ValueError(f"{names[0]}: missing columns {missing}")
-        schema = T.StructType([T.StructField(n, T.StringType()) for n in header])
-        parts.append(spark.read.options(**options).option("enforceSchema", "false").schema(schema).csv(names))
-    if not parts:
-        raise ValueError(f"{path}: no header line")
-    df = parts[0]
-    for more in parts[1:]:
-        df = df.unionByName(more, allowMissingColumns=True)
-    df = df.repartition(partitions) if partitions else spread(df)
-    return as_read_from_csv(df)
-
-
-def write_csv(df: DataFrame, path: str, compression: str = "gzip") -> None:
-    """Write CSV that ``scan_csv`` reads back unchanged (quotes, newlines, edges)."""
-    (
-        df.write.mode("overwrite")
-        .options(**{k: v for k, v in CSV_OPTIONS.items() if k not in ("multiLine", "mode")})
-        .option("quoteAll", "true")
-        .option("compression", compression)
-        .csv(path)
-    )
-
-
-def require_inputs(spark: SparkSession, paths: Iterable[str], fmt: str = "parquet") -> None:
-    """Fail with one clear error, before any write, if an input is missing."""
-    missing = []
-    for p in paths:
-        try:
-            spark.read.format(fmt).load(p).schema  # noqa: B018 - resolves the path only
-        except AnalysisException:
-            missing.append(p)
-    if missing:
-        raise FileNotFoundError(f"required input not found: {', '.join(missing)}")
-
+from innkeeper.session import delete_path
+from innkeeper.sources.csv_files import scan_csv, write_csv  # noqa: F401 - the sources of this layer in one place
 
 def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = None, mode: str = "overwrite") -> None:
     """Parquet sink; ``mode='append'`` for incremental loads."""
@@ -186,10 +98,4 @@ def expire_versions(spark: SparkSession, root: str, keep: int = 2) -> list[str]:
     except AnalysisException:
         return []
     published = list(dict.fromkeys(r["value"].split("\t", 1)[1] for r in records))
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    gone = []
-    for version in published[keep:]:
-        path = jvm.org.apache.hadoop.fs.Path(version)
-        if path.getFileSystem(conf).delete(path, True):
-            gone.append(version)
-    return gone
+    return [version for version in published[keep:] if delete_path(spark, version)]

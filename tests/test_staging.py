@@ -59,8 +59,8 @@ def test_csv_round_trip_keeps_quoted_text(spark):
 
 
 def test_required_input_missing(spark):
-    with pytest.raises(FileNotFoundError):
-        files.require_inputs(spark, ["/nonexistent/innkeeper/input"])
+    with pytest.raises(FileNotFoundError, match="input/a, .*input/b"):
+        files.read_tables(spark, "/nonexistent/innkeeper/input", {"a": None, "b": None})
 
 
 def test_lenient_parsers_keep_rows(spark):
