@@ -27,6 +27,7 @@ from innkeeper.plans import analytics as A
 from innkeeper.plans import pipeline as P
 from innkeeper.plans import staging as S
 from innkeeper.plans import warehouse as W
+from innkeeper.plans.append import append_batch, read_batches
 from innkeeper.sources import files, standin
 from innkeeper.sources.planted import broken, broken_star
 
@@ -180,6 +181,19 @@ def conform_types(spark, sf_dir):
     return W.conform(listings, T.StructType(target))
 
 
+def append_batches(spark, sf_dir):
+    """The reviews as three batches (by year), the second one sent twice: keys go on from batch to batch and
+    the repeated one changes nothing."""
+    p = _published(spark, sf_dir)
+    root = session.scratch_path(spark, "innkeeper-append")
+    year = F.year("date")
+    parts = {"to 1995": year <= 1995, "1996 and 1997": year.between(1996, 1997), "from 1998": year >= 1998}
+    for name in ("to 1995", "1996 and 1997", "1996 and 1997", "from 1998"):
+        rows = W.review_rows(p.staging["reviews"].where(parts[name]), p.star.dim_listing, dim_rows=p.star.rows("dim_listing"))
+        append_batch(spark, root, name, rows, W.number_reviews, "review_key")
+    return read_batches(spark, root, schemas.FACT_REVIEWS)
+
+
 # Numbers that depend on the columns of a row together: table -> (key, what goes with it).
 CONTENT = {
     "dim_neighbourhood": ("neighbourhood_key", "length(neighbourhood) * 7 + length(neighbourhood_group)"),
@@ -526,6 +540,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fact_surrogate_key": fact_surrogate_key,
     "conform_types": conform_types,
     "full_refresh": full_refresh,
+    "append_batches": append_batches,
     "stg_listings": stg_listings,
     "stg_reviews": stg_reviews,
     "stg_neighbourhoods": stg_neighbourhoods,

@@ -412,6 +412,11 @@ SELECT listing_id, host_id, host_name, price, host_is_superhost, CAST(latitude A
                  "listing_key * 31 + date_key * 7 + CAST(available AS INT) + COALESCE(minimum_nights, 0) * 3 + COALESCE(maximum_nights, 0)"),
             ]
         ),
+        "append_batches": f"""
+SELECT CAST(row_number() OVER (ORDER BY CASE WHEN year(r.date) <= 1995 THEN 1 WHEN year(r.date) <= 1997 THEN 2 ELSE 3 END, r.date,
+         r.review_id NULLS FIRST, l.listing_key, r.reviewer_id NULLS FIRST) AS BIGINT) AS review_key,
+       l.listing_key, {date_key('r.date')} AS date_key, r.review_id, r.reviewer_id, CAST(1 AS INTEGER) AS review_count, {month_key('r.date')} AS month_key
+FROM clean_reviews r JOIN dim_listing l ON r.listing_id = l.listing_id""",
         "table_row_counts": _star_counts(),
         "stg_listings": "SELECT * FROM stg_listings",
         "stg_reviews": "SELECT * FROM stg_reviews",

@@ -23,7 +23,7 @@ from innkeeper.operators.lookup import DEFAULT_BROADCAST_ROWS, missing_parent_id
 from innkeeper.plans import staging as S
 from innkeeper.plans import warehouse as W
 from innkeeper.session import Scratch
-from innkeeper.sources import files
+from innkeeper.sources import commits, files
 
 STAGING_TABLES = ("listings", "reviews", "neighbourhoods", "calendar")
 T = TypeVar("T")
@@ -89,7 +89,7 @@ def run_staging(
 
     The S13 metrics (rows in / out of each cleaning step) are observed during the
     writes themselves, so they cost no extra pass over the input."""
-    version = files.new_version(out_root)
+    base, version = commits.head(spark, out_root), files.new_version(out_root)
     with ThreadPoolExecutor(max_workers=3) as pool:
         # Neighbourhoods depend on nothing else: written alongside the rest.
         nb_job = pool.submit(
@@ -114,7 +114,7 @@ def run_staging(
     staged = read_staging(spark, version)
     report = staging_report(staged["listings"], staged["reviews"], staged["neighbourhoods"], staged["calendar"])
     rows = Q.enforce(report) if enforce else report.collect()
-    files.publish_version(spark, out_root, version)
+    files.publish_version(spark, out_root, version, base)
     counts = {"listings": kept_rows, "reviews": reviews_out, "neighbourhoods": nb_rows, "calendar": calendar_out}
     return StagingResult(version, rows, metrics, counts)
 
@@ -169,7 +169,7 @@ def run_warehouse(
     ``max_broadcast_rows``, whether the lookups broadcast a dimension.
     Listings left without a neighbourhood key (V15) are counted, with a sample of them."""
     stg = read_staging(spark, staging_path)
-    version = files.new_version(out_root)
+    base, version = commits.head(spark, out_root), files.new_version(out_root)
     rows: dict[str, int] = {}
     with ThreadPoolExecutor(max_workers=2) as pool:
         # DimDate depends on nothing else: written alongside the listing chain.
@@ -200,7 +200,7 @@ def run_warehouse(
     star = read_star(spark, version, rows)
     report = W.constraint_report(star)
     checked = Q.enforce(report) if enforce else report.collect()
-    files.publish_version(spark, out_root, version)
+    files.publish_version(spark, out_root, version, base)
     # the written dimension names its listings without a key: one pruned scan, a bounded sample
     missing = int(star.dim_listing.where(F.col("neighbourhood_key").isNull()).count())
     sample = W.missing_key_sample(star.dim_listing).collect() if missing else []

@@ -3,14 +3,14 @@
 * CSV extracts: ``sources.csv_files``.
 * Staging and warehouse tables are Parquet (types survive between layers).
   Facts are written ``partitionBy("month_key")``.
-* A full refresh writes a complete new version directory and only then appends
-  a pointer record to ``_current``, so readers never see a half-loaded
-  warehouse and a failed or retried run leaves the previous version in place.
+* A full refresh writes a complete new version directory and only then commits
+  it by the next numbered record (``sources.commits``), so readers never see a half-loaded
+  warehouse, a failed or retried run leaves the previous version in place, and of two runs
+  that overlap the first to commit wins.
 """
 
 from __future__ import annotations
 
-import time
 import uuid
 
 from pyspark.errors import AnalysisException
@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from innkeeper.session import delete_path
+from innkeeper.sources import commits
 from innkeeper.sources.csv_files import scan_csv, write_csv  # noqa: F401 - the sources of this layer in one place
 
 def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = None, mode: str = "overwrite") -> None:
@@ -65,26 +66,21 @@ def new_version(root: str) -> str:
     return f"{root.rstrip('/')}/v={uuid.uuid4().hex}"
 
 
-def publish_version(spark: SparkSession, root: str, version_dir: str) -> None:
-    """Make a fully written version directory current.
+def publish_version(spark: SparkSession, root: str, version_dir: str, base: int | None = None) -> None:
+    """Make a fully written version directory current by the next numbered commit.
 
-    Pointer records are only ever appended (``<ns timestamp>\t<path>``), never
-    overwritten: a reader always finds at least the previous version, and a
-    publish that dies half-way leaves the old pointer in force."""
-    record = f"{time.time_ns():020d}\t{version_dir}"
-    pointer = spark.range(1).select(F.lit(record).alias("value"))
-    pointer.coalesce(1).write.mode("append").text(f"{root.rstrip('/')}/_current")
+    ``base`` is the number that the load started from (``commits.head``): if another load has published
+    since, this one raises ``commits.CommitConflict`` and stays invisible.  Without it the newest state is taken as seen.  A
+    load that dies before its commit leaves the previous version in force."""
+    commits.commit(spark, root, {"version": version_dir}, commits.head(spark, root) if base is None else base)
 
 
 def current_version(spark: SparkSession, root: str) -> str:
     """The most recently published version directory under ``root``."""
-    try:
-        latest = spark.read.text(f"{root.rstrip('/')}/_current").agg(F.max("value").alias("v")).first()
-    except AnalysisException:
-        latest = None
-    if latest is None or latest["v"] is None:
+    found = commits.latest(spark, root)
+    if found is None:
         raise FileNotFoundError(f"no published version under {root}")
-    return latest["v"].split("\t", 1)[1]
+    return found.record["version"]
 
 
 def expire_versions(spark: SparkSession, root: str, keep: int = 2) -> list[str]:
@@ -93,9 +89,5 @@ def expire_versions(spark: SparkSession, root: str, keep: int = 2) -> list[str]:
     a version that was never published (a load may be writing it)."""
     if keep < 1:
         raise ValueError("keep must be at least 1")
-    try:
-        records = spark.read.text(f"{root.rstrip('/')}/_current").orderBy(F.desc("value")).collect()
-    except AnalysisException:
-        return []
-    published = list(dict.fromkeys(r["value"].split("\t", 1)[1] for r in records))
+    published = list(dict.fromkeys(c.record["version"] for c in reversed(commits.history(spark, root))))
     return [version for version in published[keep:] if delete_path(spark, version)]
