@@ -90,6 +90,11 @@ def count_report(table: str, name: str, severity: str, counted: DataFrame) -> Da
     return counted.agg(F.count(F.lit(1)).alias("_n")).selectExpr(_report_rows(table, [(name, severity, "_n")]))
 
 
+def values_report(table: str, items: Sequence[tuple[str, str, str]], one_row: DataFrame) -> DataFrame:
+    """A report row per ``(rule, severity, column)`` of a one-row DataFrame."""
+    return one_row.selectExpr(_report_rows(table, items))
+
+
 def value_report(table: str, name: str, severity: str, one_row: DataFrame, value_col: str) -> DataFrame:
     """A report row whose violation count is ``value_col`` of a one-row DataFrame."""
     return one_row.selectExpr(_report_rows(table, [(name, severity, value_col)]))

@@ -224,30 +224,50 @@ def table_row_counts(star: Star) -> DataFrame:
     return Q.report_union(parts)
 
 
-def _unmatched_report(star: Star, dim_name: str, key: str, rule: str) -> DataFrame:
-    rows = _rows(star, dim_name)
-    dim = checked_broadcast(getattr(star, dim_name).select(key), known_rows=rows)
-    return Q.report_union(
-        [
-            Q.value_report(fact, rule, Q.REPORT, Q.unmatched_row_count(getattr(star, fact), dim, key), "n")
-            for fact in ("fact_reviews", "fact_availability")
-        ]
-    )
-
-
 def _rows(star, name: str) -> int | None:
     rows = getattr(star, "rows", None)
     return rows(name) if rows is not None else None
 
 
+FACTS = ("fact_reviews", "fact_availability")
+
+
+def _unmatched_keys(fact: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
+    """One row ``listing_key, date_key``: fact rows whose key of that name is in no row of its dimension (a NULL key isn't).
+
+    The fact is scanned once for both: the few dates are met first (their keys are broadcast after a size check), then one
+    aggregate per listing key, which collapses a hot listing before anything moves, carries the rows and those without a date
+    to the listing dimension."""
+    dates = checked_broadcast(dims["dim_date"].select("date_key").dropna().distinct().withColumn("_dated", F.lit(True)))
+    per_listing = fact.select("listing_key", "date_key").join(dates, "date_key", "left").groupBy("listing_key").agg(
+        F.count(F.lit(1)).alias("_rows"), F.count_if(F.col("_dated").isNull()).alias("_undated")
+    )
+    listed = dims["dim_listing"].select("listing_key").dropna().distinct().withColumn("_listed", F.lit(True))
+    both = per_listing.join(listed, "listing_key", "left")
+    orphans = F.sum(F.when(F.col("_listed").isNull(), F.col("_rows")).otherwise(0))
+    return both.agg(F.coalesce(orphans, F.lit(0)).alias("listing_key"), F.coalesce(F.sum("_undated"), F.lit(0)).alias("date_key"))
+
+
+KEY_RULES = {"listing_key": "orphan_listing_key", "date_key": "invalid_date_key"}
+
+
+def foreign_key_report(star: Star, severity: str = Q.FATAL, keys: tuple[str, ...] = ("listing_key", "date_key")) -> DataFrame:
+    """The foreign keys of both facts."""
+    parts = []
+    for name in FACTS:
+        counts = _unmatched_keys(getattr(star, name), {"dim_date": star.dim_date, "dim_listing": star.dim_listing})
+        parts.append(Q.values_report(name, [(KEY_RULES[k], severity, k) for k in keys], counts))
+    return Q.report_union(parts)
+
+
 def orphan_facts(star: Star) -> DataFrame:
     """Fact rows whose listing_key is not in DimListing."""
-    return _unmatched_report(star, "dim_listing", "listing_key", "orphan_listing_key")
+    return foreign_key_report(star, Q.REPORT, ("listing_key",))
 
 
 def invalid_date_keys(star: Star) -> DataFrame:
     """Fact rows whose date_key is not in DimDate."""
-    return _unmatched_report(star, "dim_date", "date_key", "invalid_date_key")
+    return foreign_key_report(star, Q.REPORT, ("date_key",))
 
 
 UNIQUE_KEYS = {
@@ -275,8 +295,7 @@ def constraint_report(star: Star) -> DataFrame:
             "dim_listing", "fk_neighbourhood_key", Q.FATAL, Q.unmatched_row_count(listed, nb_keys, "neighbourhood_key"), "n"
         )
     )
-    parts.append(orphan_facts(star).withColumn("severity", F.lit(Q.FATAL)))
-    parts.append(invalid_date_keys(star).withColumn("severity", F.lit(Q.FATAL)))
+    parts.append(foreign_key_report(star))
     return Q.report_union(parts)
 
 

@@ -10,6 +10,7 @@ from innkeeper.plans import analytics as A
 from innkeeper.plans import pipeline as P
 from innkeeper.plans import warehouse as W
 from innkeeper.sources import files, standin
+from innkeeper.sources.planted import broken_star
 from tests.conftest import SF_SMALL
 
 
@@ -92,6 +93,23 @@ def test_one_shuffle_serves_numbering_and_files(built, spark, piece_rows):
         spark.conf.set("spark.sql.adaptive.enabled", before)
 
 
+def test_both_foreign_keys_of_a_fact_come_from_one_scan(built):
+    star, _ = built
+    broken = broken_star(star)
+    report = W.foreign_key_report(broken)
+    plan = report._jdf.queryExecution().optimizedPlan().toString()
+    for fact in W.FACTS:
+        leaves = [line for line in plan.splitlines() if "Relation" in line and ("review" if fact == "fact_reviews" else "available") in line]
+        assert len(leaves) == 2, leaves  # the broken fact is a union of two reads
+    got = {(r["table_name"], r["rule"]): r["violations"] for r in report.collect()}
+    for fact in W.FACTS:
+        rows = getattr(broken, fact)
+        for key, dim in (("listing_key", broken.dim_listing), ("date_key", broken.dim_date)):
+            known = {r[0] for r in dim.select(key).collect()}
+            assert got[fact, W.KEY_RULES[key]] == sum(r[0] not in known or r[0] is None for r in rows.select(key).collect()) > 0
+    assert len(got) == 4
+
+
 def test_staging_reads_only_needed_columns(built):
     _, stg = built
     plan = plan_of(W.dim_date(stg["calendar"], stg["reviews"]))
