@@ -22,7 +22,8 @@ from innkeeper.functions import columns as C
 from innkeeper.operators import quality as Q
 from innkeeper.operators.dedup import drop_exact_duplicates, keep_first
 from innkeeper.operators.keys import dense_key
-from innkeeper.operators.lookup import lookup_key, missing_parent_ids, union_distinct
+from innkeeper.operators.lookup import lookup_key, missing_parent_ids, union_all, union_distinct
+from innkeeper.operators.metrics import metrics_frame
 from innkeeper.plans import analytics as A
 from innkeeper.plans import pipeline as P
 from innkeeper.plans import staging as S
@@ -84,6 +85,7 @@ class Published:
 
     staging: dict[str, DataFrame]
     star: W.Star
+    metrics: list[dict]
 
 
 _PUBLISHED: dict[tuple[str, str], Published] = {}
@@ -96,7 +98,7 @@ def _published(spark: SparkSession, sf_dir: str) -> Published:
         root = session.scratch_path(spark, "innkeeper-published")
         staged = P.run_staging(spark, _b(spark, sf_dir).raw, f"{root}/staging", enforce=False)
         built = P.run_warehouse(spark, staged.path, f"{root}/warehouse", enforce=False)
-        _PUBLISHED[key] = Published(P.read_staging(spark, staged.path), P.read_star(spark, built.path, built.row_counts))
+        _PUBLISHED[key] = Published(P.read_staging(spark, staged.path), P.read_star(spark, built.path, built.row_counts), staged.metrics + built.metrics)
     return _PUBLISHED[key]
 
 
@@ -259,8 +261,16 @@ def clean_calendar_semi(spark, sf_dir):
 
 
 def cleaning_metrics(spark, sf_dir):
-    b = _b(spark, sf_dir)
-    return S.cleaning_metrics(b.stg_listings, b.stg_reviews, b.stg_calendar)
+    """Rows in and out of every cleaning step of the load, observed while it wrote."""
+    return metrics_frame(spark, _published(spark, sf_dir).metrics)
+
+
+def stg_reviews_extra(spark, sf_dir):
+    """Reviews with a column that staging doesn't know, after the staging pipeline and its read-back."""
+    raw = dict(_b(spark, sf_dir).raw)
+    raw["reviews"] = raw["reviews"].withColumn("Review Source", F.concat(F.lit(" r"), "id"))
+    staged = P.run_staging(spark, raw, session.scratch_path(spark, "innkeeper-extra"), enforce=False)
+    return P.read_staging(spark, staged.path)["reviews"]
 
 
 def normalise_headers(spark, sf_dir):
@@ -449,6 +459,12 @@ def union_dates(spark, sf_dir):
     return union_distinct(b.cleaned.calendar.select("date"), b.cleaned.reviews.select("date"))
 
 
+def union_all_dates(spark, sf_dir):
+    """The dates of both tables with their repeats."""
+    stg = _published(spark, sf_dir).staging
+    return union_all(*[stg[t].select(F.lit(t).alias("source"), "date") for t in ("calendar", "reviews")])
+
+
 # --- quality ---------------------------------------------------------------------------
 
 
@@ -549,6 +565,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "clean_reviews_semi": clean_reviews_semi,
     "clean_calendar_semi": clean_calendar_semi,
     "cleaning_metrics": cleaning_metrics,
+    "stg_reviews_extra": stg_reviews_extra,
     "normalise_headers": normalise_headers,
     "scan_csv_typed": scan_csv_typed,
     "scan_csv_plain": scan_csv_plain,
@@ -571,6 +588,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "lookup_misses": lookup_misses,
     "missing_parent_ids": missing_parent_ids_q,
     "union_dates": union_dates,
+    "union_all_dates": union_all_dates,
     "dq_listings": dq_listings,
     "dq_reviews": dq_reviews,
     "dq_neighbourhoods": dq_neighbourhoods,

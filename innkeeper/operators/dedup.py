@@ -14,18 +14,21 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def drop_exact_duplicates(df: DataFrame) -> DataFrame:
-    """Keep one row per distinct full row (NULLs compare equal)."""
-    return df.distinct()
+def drop_exact_duplicates(df: DataFrame, copies: str | None = None) -> DataFrame:
+    """Keep one row per distinct full row (NULLs compare equal); with the number of rows it stands for as ``copies``."""
+    if copies is None:
+        return df.distinct()
+    return df.groupBy(*[F.col(f"`{c}`") for c in df.columns]).agg(F.count(F.lit(1)).alias(copies))
 
 
 def keep_first(
     df: DataFrame,
     keys: Sequence[str],
     order_by: Sequence[str] | None = None,
+    copies: str | None = None,
 ) -> DataFrame:
     """One row per ``keys``; the kept row is the smallest by ``order_by``
-    (default: the remaining columns in order), NULLs first.
+    (default: the remaining columns in order), NULLs first; with the number of its key's rows as ``copies``.
 
     Files carry no row order, so "keep first" needs an explicit order; this one is
     deterministic.  Implemented as ``min(struct(order..., payload...))`` per key.
@@ -38,9 +41,10 @@ def keep_first(
         fields.append(F.col(c).isNotNull().alias(f"_nn{i}"))
         fields.append(F.col(c).alias(f"_ob{i}"))
     fields += [F.col(c).alias(c) for c in rest]
-    first = df.groupBy(*keys).agg(F.min(F.struct(*fields)).alias("_first"))
-    return first.select(*[F.col(k) for k in keys], *[F.col("_first")[c].alias(c) for c in rest]).select(
-        *df.columns
+    first = df.groupBy(*keys).agg(F.min(F.struct(*fields)).alias("_first"), *([F.count(F.lit(1)).alias(copies)] if copies else []))
+    more = [copies] if copies else []
+    return first.select(*[F.col(k) for k in keys], *[F.col("_first")[c].alias(c) for c in rest], *more).select(
+        *df.columns, *more
     )
 
 

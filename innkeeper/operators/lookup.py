@@ -60,20 +60,6 @@ def lookup_key(
     return df.join(checked_broadcast(side, max_broadcast_rows, dim_rows), natural_key, how)
 
 
-def keep_matching(
-    df: DataFrame,
-    parent: DataFrame,
-    keys: Sequence[str] | str,
-    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-    parent_rows: int | None = None,
-) -> DataFrame:
-    """Rows of ``df`` whose key exists in ``parent`` (left semi join).
-    ``parent`` may already be a (checked) broadcast; ``parent_rows`` skips the count."""
-    keys = [keys] if isinstance(keys, str) else list(keys)
-    ids = parent.select(*keys)
-    return df.join(checked_broadcast(ids, max_broadcast_rows, parent_rows), keys, "left_semi")
-
-
 def without_match(
     df: DataFrame, parent: DataFrame, keys: Sequence[str] | str, max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS
 ) -> DataFrame:

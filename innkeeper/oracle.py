@@ -359,6 +359,31 @@ def _listing_rules_sql(source: str) -> str:
     )
 
 
+# Step -> what goes in, what comes out.
+STEPS = {
+    "neighbourhoods_duplicates": ("raw_neighbourhoods", "stg_neighbourhoods"),
+    "listings_nights_range": ("stg_listings", "clean_listings"),
+    "reviews_orphans": ("stg_reviews", "clean_reviews"),
+    "calendar_duplicates": ("raw_calendar", "stg_calendar"),
+    "calendar_orphans": ("stg_calendar", "clean_calendar"),
+    "dim_date_dates": ("(SELECT date FROM clean_calendar UNION ALL SELECT date FROM clean_reviews) u WHERE date IS NOT NULL", "dim_date"),
+    "dim_neighbourhood_duplicates": ("stg_neighbourhoods", "nb_first"),
+    "dim_neighbourhood_nulls": ("nb_first", "dim_neighbourhood"),
+    "dim_listing_duplicates": ("clean_listings", "lst_first"),
+    "dim_listing_lookup": ("lst_first", "lst_keyed WHERE neighbourhood_key IS NOT NULL"),
+    "fact_reviews_lookup": ("clean_reviews", "fact_reviews"),
+    "fact_availability_duplicates": ("clean_calendar", "cal_first"),
+    "fact_availability_lookup": ("cal_first", "fact_availability"),
+}
+
+
+def _steps() -> str:
+    counted = "\nUNION ALL\n".join(
+        f"SELECT '{step}' AS step, (SELECT count(*) FROM {a}) AS rows_in, (SELECT count(*) FROM {b}) AS rows_out" for step, (a, b) in STEPS.items()
+    )
+    return f"SELECT step, rows_in, rows_out, rows_in - rows_out AS dropped FROM ({counted}) s"
+
+
 def queries() -> dict[str, str]:
     shifted_reviews = "(SELECT * REPLACE (CAST(date + INTERVAL 27 YEAR AS DATE) AS date) FROM clean_reviews)"
     body = {
@@ -425,17 +450,9 @@ FROM clean_reviews r JOIN dim_listing l ON r.listing_id = l.listing_id""",
         "clean_listings": "SELECT * FROM clean_listings",
         "clean_reviews_semi": "SELECT * FROM clean_reviews",
         "clean_calendar_semi": "SELECT * FROM clean_calendar",
-        "cleaning_metrics": """
-SELECT 'listings_nights_range' AS step, CAST(count(*) AS BIGINT) AS rows_in,
-       CAST(count(*) FILTER (WHERE minimum_nights <= maximum_nights) AS BIGINT) AS rows_out,
-       CAST(count(*) - count(*) FILTER (WHERE minimum_nights <= maximum_nights) AS BIGINT) AS dropped
-FROM stg_listings
-UNION ALL
-SELECT 'reviews_orphans', (SELECT count(*) FROM stg_reviews), (SELECT count(*) FROM clean_reviews),
-       (SELECT count(*) FROM stg_reviews) - (SELECT count(*) FROM clean_reviews)
-UNION ALL
-SELECT 'calendar_orphans', (SELECT count(*) FROM stg_calendar), (SELECT count(*) FROM clean_calendar),
-       (SELECT count(*) FROM stg_calendar) - (SELECT count(*) FROM clean_calendar)""",
+        "cleaning_metrics": _steps(),
+        "stg_reviews_extra": "SELECT *, ' r' || review_id AS \"Review Source\" FROM clean_reviews",
+        "union_all_dates": "SELECT 'calendar' AS source, date FROM clean_calendar UNION ALL SELECT 'reviews', date FROM clean_reviews",
         "normalise_headers": "SELECT neighbourhood_group, neighbourhood FROM raw_neighbourhoods",
         "scan_csv_typed": "SELECT * FROM stg_listings",
         "scan_csv_plain": """

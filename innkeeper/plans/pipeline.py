@@ -14,12 +14,13 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from typing import TypeVar
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from innkeeper import schemas
 from innkeeper.operators import quality as Q
 from innkeeper.operators.lookup import DEFAULT_BROADCAST_ROWS, missing_parent_ids
+from innkeeper.operators.metrics import StepMetrics
 from innkeeper.plans import staging as S
 from innkeeper.plans import warehouse as W
 from innkeeper.session import Scratch
@@ -73,11 +74,6 @@ def run_concurrently(*jobs: Callable[[], T]) -> list[T]:
         return [f.result() for f in futures]
 
 
-def _observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
-    obs = Observation(name)
-    return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
-
-
 def run_staging(
     spark: SparkSession,
     raw: dict[str, DataFrame],
@@ -88,39 +84,35 @@ def run_staging(
     """Stage, clean, write, validate the written tables, then publish.
 
     The S13 metrics (rows in / out of each cleaning step) are observed during the
-    writes themselves, so they cost no extra pass over the input."""
+    writes themselves, so they cost no extra pass over the input.  The schemas of the written tables are recorded in the
+    version, so columns that only pass through (P4) are there again when it is read."""
     base, version = commits.head(spark, out_root), files.new_version(out_root)
+    steps = StepMetrics()
     with ThreadPoolExecutor(max_workers=3) as pool:
         # Neighbourhoods depend on nothing else: written alongside the rest.
-        nb_job = pool.submit(
-            files.write_parquet_counted, S.stage_neighbourhoods(raw["neighbourhoods"]), f"{version}/neighbourhoods"
-        )
+        neighbourhoods = S.stage_neighbourhoods(raw["neighbourhoods"], steps)
+        nb_job = pool.submit(files.write_parquet_counted, neighbourhoods, f"{version}/neighbourhoods")
         # Listings next: the written table (with its observed row count) is the
         # id side of both orphan joins, so the listing chain runs once.
-        staged_listings, listings_in = _observed(S.stage_listings(raw["listings"], date_format), "listings_in")
-        kept_rows = files.write_parquet_counted(S.nights_in_range(staged_listings), f"{version}/listings")
+        listings = S.nights_in_range(steps.before(S.stage_listings(raw["listings"], date_format), "listings_nights_range"))
+        kept_rows = files.write_parquet_counted(listings, f"{version}/listings")
         kept = files.read_parquet(spark, f"{version}/listings", schemas.STG_LISTINGS)
-        staged_reviews, reviews_in = _observed(S.stage_reviews(raw["reviews"], date_format), "reviews_in")
-        staged_calendar, calendar_in = _observed(S.stage_calendar(raw["calendar"], date_format), "calendar_in")
+        staged_reviews = steps.before(S.stage_reviews(raw["reviews"], date_format), "reviews_orphans")
+        staged_calendar = steps.before(S.stage_calendar(raw["calendar"], date_format, steps), "calendar_orphans")
         cleaned = S.drop_orphans(kept, staged_reviews, staged_calendar, kept_rows)
         reviews_job = pool.submit(files.write_parquet_counted, cleaned["reviews"], f"{version}/reviews")
         calendar_out = files.write_parquet_counted(cleaned["calendar"], f"{version}/calendar")
         reviews_out, nb_rows = reviews_job.result(), nb_job.result()
-    metrics = [
-        _metric("listings_nights_range", listings_in.get["rows"], kept_rows),
-        _metric("reviews_orphans", reviews_in.get["rows"], reviews_out),
-        _metric("calendar_orphans", calendar_in.get["rows"], calendar_out),
-    ]
+    for step, n in (("listings_nights_range", kept_rows), ("reviews_orphans", reviews_out), ("calendar_orphans", calendar_out)):
+        steps.known(step, rows_out=n)
+    written = {"listings": listings, "reviews": cleaned["reviews"], "neighbourhoods": neighbourhoods, "calendar": cleaned["calendar"]}
+    files.write_schemas(spark, version, {name: df.schema for name, df in written.items()})
     staged = read_staging(spark, version)
     report = staging_report(staged["listings"], staged["reviews"], staged["neighbourhoods"], staged["calendar"])
     rows = Q.enforce(report) if enforce else report.collect()
     files.publish_version(spark, out_root, version, base)
     counts = {"listings": kept_rows, "reviews": reviews_out, "neighbourhoods": nb_rows, "calendar": calendar_out}
-    return StagingResult(version, rows, metrics, counts)
-
-
-def _metric(step: str, rows_in: int, rows_out: int) -> dict:
-    return {"step": step, "rows_in": int(rows_in), "rows_out": int(rows_out), "dropped": int(rows_in) - int(rows_out)}
+    return StagingResult(version, rows, steps.rows(), counts)
 
 
 STAGING_SCHEMAS = {
@@ -132,8 +124,9 @@ STAGING_SCHEMAS = {
 
 
 def read_staging(spark: SparkSession, path: str) -> dict[str, DataFrame]:
-    """S5 with S11: all four staging tables, or one error naming the missing ones."""
-    return files.read_tables(spark, path, STAGING_SCHEMAS)
+    """S5 with S11: all four staging tables with the schemas recorded beside them (the fixed ones if there are none), or one
+    error naming the missing tables."""
+    return files.read_tables(spark, path, {**STAGING_SCHEMAS, **files.read_schemas(spark, path)})
 
 
 def read_star(spark: SparkSession, path: str, row_counts: dict[str, int] | None = None) -> W.Star:
@@ -145,6 +138,7 @@ class WarehouseResult:
     path: str
     report: list
     row_counts: dict[str, int]
+    metrics: list = field(default_factory=list)
     missing_keys: int = 0  # V15: listings without a neighbourhood key
     missing_sample: list = field(default_factory=list)
 
@@ -171,32 +165,31 @@ def run_warehouse(
     stg = read_staging(spark, staging_path)
     base, version = commits.head(spark, out_root), files.new_version(out_root)
     rows: dict[str, int] = {}
+    steps = StepMetrics()
     with ThreadPoolExecutor(max_workers=2) as pool:
         # DimDate depends on nothing else: written alongside the listing chain.
         date_job = pool.submit(
-            files.write_parquet_counted, W.dim_date(stg["calendar"], stg["reviews"]), f"{version}/dim_date"
+            files.write_parquet_counted, W.dim_date(stg["calendar"], stg["reviews"], steps), f"{version}/dim_date"
         )
         rows["dim_neighbourhood"] = files.write_parquet_counted(
-            W.dim_neighbourhood(stg["neighbourhoods"]), f"{version}/dim_neighbourhood"
+            W.dim_neighbourhood(stg["neighbourhoods"], steps), f"{version}/dim_neighbourhood"
         )
         nb = files.read_parquet(spark, f"{version}/dim_neighbourhood", schemas.DIM_NEIGHBOURHOOD)
         rows["dim_listing"] = files.write_parquet_counted(
-            W.dim_listing(stg["listings"], nb, max_broadcast_rows, rows["dim_neighbourhood"], True),
+            W.dim_listing(stg["listings"], nb, max_broadcast_rows, rows["dim_neighbourhood"], True, steps),
             f"{version}/dim_listing",
         )
         listing = files.read_parquet(spark, f"{version}/dim_listing", schemas.DIM_LISTING)
         with Scratch(spark) as scratch:
+            reviews = W.review_rows(stg["reviews"], listing, max_broadcast_rows, rows["dim_listing"], steps)
+            calendar = W.availability_rows(stg["calendar"], listing, max_broadcast_rows, rows["dim_listing"], steps)
             rows["fact_reviews"], rows["fact_availability"] = run_concurrently(
-                lambda: write_fact(
-                    W.fact_reviews(stg["reviews"], listing, max_broadcast_rows, rows["dim_listing"], scratch),
-                    f"{version}/fact_reviews",
-                ),
-                lambda: write_fact(
-                    W.fact_availability(stg["calendar"], listing, max_broadcast_rows, rows["dim_listing"], scratch),
-                    f"{version}/fact_availability",
-                ),
+                lambda: write_fact(W.number_reviews(reviews, scratch=scratch), f"{version}/fact_reviews"),
+                lambda: write_fact(W.number_availability(calendar, scratch=scratch), f"{version}/fact_availability"),
             )
         rows["dim_date"] = date_job.result()
+    for step in ("fact_reviews", "fact_availability"):
+        steps.known(f"{step}_lookup", rows_out=rows[step])
     star = read_star(spark, version, rows)
     report = W.constraint_report(star)
     checked = Q.enforce(report) if enforce else report.collect()
@@ -204,7 +197,7 @@ def run_warehouse(
     # the written dimension names its listings without a key: one pruned scan, a bounded sample
     missing = int(star.dim_listing.where(F.col("neighbourhood_key").isNull()).count())
     sample = W.missing_key_sample(star.dim_listing).collect() if missing else []
-    return WarehouseResult(version, checked, rows, missing, sample)
+    return WarehouseResult(version, checked, rows, steps.rows(), missing, sample)
 
 
 def full_refresh(spark: SparkSession, raw: dict[str, DataFrame], root: str, enforce: bool = True) -> W.Star:

@@ -17,6 +17,7 @@ from innkeeper import schemas
 from innkeeper.functions import columns as C
 from innkeeper.operators.dedup import drop_exact_duplicates
 from innkeeper.operators.lookup import checked_broadcast
+from innkeeper.operators.metrics import COPIES, StepMetrics
 
 LISTING_RENAMES = {
     "id": "listing_id",
@@ -57,16 +58,26 @@ def stage_listings(raw: DataFrame, date_format: str = "yyyy-MM-dd") -> DataFrame
     return df.select(*out)
 
 
+def _passed_through(raw: DataFrame, known: set[str], taken: list[str]) -> list[F.Column]:
+    """The columns that staging doesn't know, as they are.  One that is named like a staged column would
+    make two of that name, so it raises."""
+    extra = [c for c in raw.columns if c not in known]
+    if clash := sorted({c for c in extra if c.lower() in {t.lower() for t in taken}}):
+        raise ValueError(f"columns named like staged ones: {clash}")
+    return [F.col(f"`{c.replace('`', '``')}`") for c in extra]
+
+
 def stage_reviews(raw: DataFrame, date_format: str = "yyyy-MM-dd") -> DataFrame:
-    """M2: rename ``id`` -> ``review_id``, strict ids, lenient date, trimmed text."""
-    df = raw.withColumnRenamed("id", "review_id")
-    return df.select(
+    """M2: rename ``id`` -> ``review_id``, strict ids, lenient date, trimmed text; other columns are kept as they are."""
+    extra = _passed_through(raw, set(schemas.RAW_REVIEWS.fieldNames()), schemas.STG_REVIEWS.fieldNames())
+    return raw.select(
         C.strict_bigint("listing_id", "listing_id").alias("listing_id"),
-        C.strict_bigint("review_id", "review_id").alias("review_id"),
+        C.strict_bigint("id", "review_id").alias("review_id"),
         C.parse_date("date", date_format).alias("date"),
         C.strict_bigint("reviewer_id", "reviewer_id").alias("reviewer_id"),
         C.clean_text("reviewer_name").alias("reviewer_name"),
         C.clean_text("comments").alias("comments"),
+        *extra,
     )
 
 
@@ -75,21 +86,25 @@ def normalise_headers(df: DataFrame) -> DataFrame:
     return df.toDF(*[c.strip().lower() for c in df.columns])
 
 
-def stage_neighbourhoods(raw: DataFrame) -> DataFrame:
+def stage_neighbourhoods(raw: DataFrame, metrics: StepMetrics | None = None) -> DataFrame:
     """M3: normalise headers, trim both columns, drop exact duplicates."""
     df = normalise_headers(raw)
-    return drop_exact_duplicates(
-        df.select(
-            C.clean_text("neighbourhood_group").alias("neighbourhood_group"),
-            C.clean_text("neighbourhood").alias("neighbourhood"),
-        )
+    typed = df.select(
+        C.clean_text("neighbourhood_group").alias("neighbourhood_group"),
+        C.clean_text("neighbourhood").alias("neighbourhood"),
     )
+    return _distinct_rows(typed, "neighbourhoods_duplicates", metrics)
+
 
+def _distinct_rows(df: DataFrame, step: str, metrics: StepMetrics | None) -> DataFrame:
+    if metrics is None:
+        return drop_exact_duplicates(df)
+    return metrics.deduplicated(drop_exact_duplicates(df, COPIES), step)
 
-def stage_calendar(raw: DataFrame, date_format: str = "yyyy-MM-dd") -> DataFrame:
+
+def stage_calendar(raw: DataFrame, date_format: str = "yyyy-MM-dd", metrics: StepMetrics | None = None) -> DataFrame:
     """M4: strict id, lenient date, t/f flag, lenient nights; drop exact duplicates.
     Columns other than the five known ones are kept as they are (P4)."""
-    known = {"listing_id", "date", "available", "minimum_nights", "maximum_nights"}
     typed = [
         C.strict_bigint("listing_id", "listing_id").alias("listing_id"),
         C.parse_date("date", date_format).alias("date"),
@@ -97,8 +112,8 @@ def stage_calendar(raw: DataFrame, date_format: str = "yyyy-MM-dd") -> DataFrame
         C.parse_int("minimum_nights").alias("minimum_nights"),
         C.parse_int("maximum_nights").alias("maximum_nights"),
     ]
-    extra = [F.col(f"`{c}`") for c in raw.columns if c not in known]
-    return drop_exact_duplicates(raw.select(*typed, *extra))
+    extra = _passed_through(raw, set(schemas.RAW_CALENDAR.fieldNames()), schemas.STG_CALENDAR.fieldNames())
+    return _distinct_rows(raw.select(*typed, *extra), "calendar_duplicates", metrics)
 
 
 @dataclass
@@ -129,33 +144,3 @@ def drop_orphans(
         "reviews": reviews.join(ids, "listing_id", "left_semi"),
         "calendar": calendar.join(ids, "listing_id", "left_semi"),
     }
-
-
-def cleaning_metrics(listings: DataFrame, reviews: DataFrame, calendar: DataFrame) -> DataFrame:
-    """``(step, rows_in, rows_out, dropped)`` for the three cleaning steps.
-
-    Reviews and calendar are counted per listing_id first (a hot listing collapses
-    map-side), then those counts are matched against the distinct kept ids.
-    ``pipeline.run_staging`` observes the same figures during its writes."""
-    kept_ids = (
-        nights_in_range(listings).select("listing_id").dropna().distinct().withColumn("_kept", F.lit(True))
-    )
-
-    def totals(name: str, rows: F.Column, kept_rows: F.Column, df: DataFrame) -> DataFrame:
-        return df.agg(
-            F.lit(name).alias("step"),
-            F.coalesce(F.sum(rows), F.lit(0)).cast("bigint").alias("rows_in"),
-            F.coalesce(F.sum(kept_rows), F.lit(0)).cast("bigint").alias("rows_out"),
-        ).withColumn("dropped", F.col("rows_in") - F.col("rows_out"))
-
-    def orphans(name: str, df: DataFrame) -> DataFrame:
-        per_key = df.groupBy("listing_id").agg(F.count(F.lit(1)).alias("_rows"))
-        matched = per_key.join(kept_ids, "listing_id", "left")
-        return totals(name, F.col("_rows"), F.when(F.col("_kept"), F.col("_rows")), matched)
-
-    nights_ok = F.col("minimum_nights") <= F.col("maximum_nights")
-    return (
-        totals("listings_nights_range", F.lit(1), F.when(nights_ok, F.lit(1)), listings)
-        .unionByName(orphans("reviews_orphans", reviews))
-        .unionByName(orphans("calendar_orphans", calendar))
-    )

@@ -23,14 +23,15 @@ from pyspark.sql import functions as F
 from innkeeper import schemas
 from innkeeper.functions import columns as C
 from innkeeper.operators import quality as Q
-from innkeeper.operators.dedup import keep_first
+from innkeeper.operators.dedup import drop_exact_duplicates, keep_first
 from innkeeper.operators.keys import PIECE_ROWS, dense_key, layout_key
 from innkeeper.operators.lookup import (
     DEFAULT_BROADCAST_ROWS,
     checked_broadcast,
     lookup_key,
-    union_distinct,
+    union_all,
 )
+from innkeeper.operators.metrics import COPIES, StepMetrics
 from innkeeper.session import Scratch
 
 # The staged columns of the listing dimension: its own, less the keys, plus the name that is looked up.
@@ -83,20 +84,29 @@ class Star:
         }
 
 
-def dim_neighbourhood(stg_neighbourhoods: DataFrame) -> DataFrame:
+def _first_rows(df: DataFrame, keys: list[str], step: str, metrics: StepMetrics | None, order_by: list[str] | None = None) -> DataFrame:
+    if metrics is None:
+        return keep_first(df, keys, order_by)
+    return metrics.deduplicated(keep_first(df, keys, order_by, COPIES), step)
+
+
+def dim_neighbourhood(stg_neighbourhoods: DataFrame, metrics: StepMetrics | None = None) -> DataFrame:
     """M6: first row per name (NULL group first), then drop rows with a NULL
     (dedup before the NULL drop, so a name whose first row lacks a group is
     gone), then key by name."""
     df = stg_neighbourhoods.select("neighbourhood", "neighbourhood_group")
-    df = keep_first(df, ["neighbourhood"], order_by=["neighbourhood_group"])
+    df = _first_rows(df, ["neighbourhood"], "dim_neighbourhood_duplicates", metrics, ["neighbourhood_group"])
+    df = metrics.before(df, "dim_neighbourhood_nulls") if metrics else df
     df = df.dropna(how="any", subset=["neighbourhood", "neighbourhood_group"])
+    df = metrics.after(df, "dim_neighbourhood_nulls") if metrics else df
     df = dense_key(df, ["neighbourhood"], "neighbourhood_key")
     return conform(df, schemas.DIM_NEIGHBOURHOOD)
 
 
-def dim_date(calendar: DataFrame, reviews: DataFrame) -> DataFrame:
+def dim_date(calendar: DataFrame, reviews: DataFrame, metrics: StepMetrics | None = None) -> DataFrame:
     """M7: one row per date seen in calendar or reviews (no gap filling)."""
-    dates = union_distinct(calendar.select("date"), reviews.select("date")).dropna(subset=["date"])
+    dates = union_all(calendar.select("date"), reviews.select("date")).dropna(subset=["date"])
+    dates = metrics.deduplicated(drop_exact_duplicates(dates, COPIES), "dim_date_dates") if metrics else drop_exact_duplicates(dates)
     attrs = C.date_attributes("date")
     return dates.select(*[attrs[f.name].cast(f.dataType).alias(f.name) for f in schemas.DIM_DATE.fields])
 
@@ -106,13 +116,16 @@ def listings_with_neighbourhood_key(
     dim_nb: DataFrame,
     max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
     dim_rows: int | None = None,
+    metrics: StepMetrics | None = None,
 ) -> DataFrame:
     """M8 steps D2, C4, J3: first row per listing_id, price parsed if still text,
     neighbourhood_key looked up (unmatched -> NULL, row kept)."""
-    df = keep_first(stg_listings.select(*LISTING_DIM_SOURCE), ["listing_id"])
+    df = _first_rows(stg_listings.select(*LISTING_DIM_SOURCE), ["listing_id"], "dim_listing_duplicates", metrics)
     if dict(df.dtypes)["price"] == "string":
         df = df.withColumn("price", C.parse_currency("price"))
-    return lookup_key(df, dim_nb, "neighbourhood", "neighbourhood_key", "left", max_broadcast_rows, dim_rows)
+    df = metrics.before(df, "dim_listing_lookup") if metrics else df
+    df = lookup_key(df, dim_nb, "neighbourhood", "neighbourhood_key", "left", max_broadcast_rows, dim_rows)
+    return metrics.after(df, "dim_listing_lookup", F.col("neighbourhood_key").isNotNull()) if metrics else df
 
 
 def lookup_misses(listings_keyed: DataFrame, n: int = 5) -> DataFrame:
@@ -136,18 +149,24 @@ def dim_listing(
     max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
     dim_rows: int | None = None,
     checkpoint: bool = False,
+    metrics: StepMetrics | None = None,
 ) -> DataFrame:
     """M8: D2, C4, J3, C7, then a dense key in listing_id order."""
-    df = listings_with_neighbourhood_key(stg_listings, dim_nb, max_broadcast_rows, dim_rows)
+    df = listings_with_neighbourhood_key(stg_listings, dim_nb, max_broadcast_rows, dim_rows, metrics)
     df = dense_key(df, ["listing_id"], "listing_key", checkpoint=checkpoint)
     return conform(df, schemas.DIM_LISTING)
 
 
 def review_rows(
-    clean_reviews: DataFrame, dim_list: DataFrame, max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS, dim_rows: int | None = None
+    clean_reviews: DataFrame,
+    dim_list: DataFrame,
+    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+    dim_rows: int | None = None,
+    metrics: StepMetrics | None = None,
 ) -> DataFrame:
     """M9 before its key: J4 (inner lookup), C11, P6 (review_count = 1)."""
     df = clean_reviews.select("listing_id", "review_id", "date", "reviewer_id")
+    df = metrics.before(df, "fact_reviews_lookup") if metrics else df
     df = lookup_key(df, dim_list, "listing_id", "listing_key", "inner", max_broadcast_rows, dim_rows)
     return df.select(
         "listing_key",
@@ -178,11 +197,17 @@ def fact_reviews(
 
 
 def availability_rows(
-    clean_calendar: DataFrame, dim_list: DataFrame, max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS, dim_rows: int | None = None
+    clean_calendar: DataFrame,
+    dim_list: DataFrame,
+    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+    dim_rows: int | None = None,
+    metrics: StepMetrics | None = None,
 ) -> DataFrame:
     """M10 before its key: D3 (global, one row per listing and date, unavailable first), J5, C11."""
     df = clean_calendar.select("listing_id", "date", "available", "minimum_nights", "maximum_nights")
-    df = keep_first(df, ["listing_id", "date"], order_by=["available", "minimum_nights", "maximum_nights"])
+    order = ["available", "minimum_nights", "maximum_nights"]
+    df = _first_rows(df, ["listing_id", "date"], "fact_availability_duplicates", metrics, order)
+    df = metrics.before(df, "fact_availability_lookup") if metrics else df
     df = lookup_key(df, dim_list, "listing_id", "listing_key", "inner", max_broadcast_rows, dim_rows)
     return df.select(
         "listing_key",

@@ -11,6 +11,7 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 
 from pyspark.errors import AnalysisException
@@ -62,6 +63,30 @@ def read_tables(
     return out
 
 
+def write_schemas(spark: SparkSession, version_dir: str, schemas: dict[str, T.StructType]) -> None:
+    """Record the schemas of a version's tables beside them."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(f"{version_dir}/_schemas.json")
+    stream = target.getFileSystem(spark._jsc.hadoopConfiguration()).create(target, True)
+    try:
+        stream.write(json.dumps({name: s.jsonValue() for name, s in schemas.items()}).encode("utf-8"))
+    finally:
+        stream.close()
+
+
+def read_schemas(spark: SparkSession, version_dir: str) -> dict[str, T.StructType]:
+    """The schemas recorded with a version; none if it has no record."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(f"{version_dir.rstrip('/')}/_schemas.json")
+    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(target):
+        return {}
+    stream = fs.open(target)
+    try:
+        found = json.loads(bytes(stream.readAllBytes()).decode("utf-8"))
+    finally:
+        stream.close()
+    return {name: T.StructType.fromJson(s) for name, s in found.items()}
+
+
 def new_version(root: str) -> str:
     return f"{root.rstrip('/')}/v={uuid.uuid4().hex}"
 

@@ -119,6 +119,21 @@ def test_staging_metrics_observed_during_writes(spark):
     assert m["calendar_orphans"]["rows_in"] == 5 * 31 + 1 and m["calendar_orphans"]["dropped"] == 31
 
 
+def test_every_step_has_its_rows(spark):
+    """Rows in and out of each step of both loads, observed during the writes."""
+    root = session.scratch_path(spark, "test-steps")
+    staged = P.run_staging(spark, raw(spark), f"{root}/staging", enforce=False)
+    built = P.run_warehouse(spark, staged.path, f"{root}/warehouse", enforce=False)
+    got = {m["step"]: (m["rows_in"], m["rows_out"], m["dropped"]) for m in staged.metrics + built.metrics}
+    assert got == {
+        "neighbourhoods_duplicates": (5, 4, 1), "listings_nights_range": (5, 4, 1), "reviews_orphans": (4, 3, 1),
+        "calendar_duplicates": (157, 156, 1), "calendar_orphans": (156, 125, 31), "dim_date_dates": (128, 34, 94),
+        "dim_neighbourhood_duplicates": (4, 3, 1), "dim_neighbourhood_nulls": (3, 2, 1), "dim_listing_duplicates": (4, 4, 0),
+        "dim_listing_lookup": (4, 3, 1), "fact_reviews_lookup": (3, 3, 0), "fact_availability_duplicates": (125, 124, 1),
+        "fact_availability_lookup": (124, 124, 0),
+    }
+
+
 def test_validate_warehouse_reports(star):
     s, _ = star
     reports = W.validate_warehouse(s)
