@@ -326,8 +326,11 @@ def staging_roundtrip(spark, sf_dir):
 
 def cast_ids(spark, sf_dir):
     o = _b(spark, sf_dir).table("orders")
-    text = F.when(F.col("o_orderstatus") == "P", F.lit(None)).otherwise(
-        F.concat(F.lit(" "), F.col("o_orderkey").cast("string"))
+    large = (F.col("o_orderkey") + F.lit(2**53)).cast("string")  # beyond what a double holds exactly
+    text = (
+        F.when(F.col("o_orderstatus") == "P", F.lit(None))
+        .when(F.col("o_orderstatus") == "F", F.concat(large, F.lit(".0")))
+        .otherwise(F.concat(F.lit(" "), F.col("o_orderkey").cast("string")))
     )
     return o.select("o_orderkey", C.strict_bigint(text, "id").alias("parsed_id"))
 
@@ -518,6 +521,7 @@ def invalid_date_keys(spark, sf_dir):
 
 
 def table_row_counts(spark, sf_dir):
+    """From the footers of the published files."""
     return W.table_row_counts(_star(spark, sf_dir))
 
 

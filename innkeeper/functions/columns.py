@@ -64,9 +64,13 @@ def strict_bigint(c: ColumnOrName, name: str = "id") -> Column:
     (``12.5``, ``abc``, overflow) raises, as a strict nullable-integer cast does."""
     c = _c(c)
     text = c.cast("string")
-    number = parse_number(text)
-    integral = (number == F.floor(number)) & (F.abs(number) < F.lit(2.0**63))
-    parsed = F.coalesce(text.try_cast("bigint"), F.when(integral, number.try_cast("bigint")))
+    # exact, never by a double: digits and exponent of the text say whether it is integral
+    part = lambda i: F.regexp_extract(text, r"^\s*[+-]?(\d*)\.?(\d*)(?:[eE]([+-]?\d{1,9}))?\s*$", i)
+    digits, shift = F.concat(part(1), part(2)), F.coalesce(part(3).try_cast("int"), F.lit(0))
+    kept = F.regexp_replace(digits, "0+$", "")
+    integral = (kept == "") | (F.length(part(2)) - shift <= F.length(digits) - F.length(kept))
+    exact = F.when((digits != "") & integral, text.try_cast("decimal(38,0)").try_cast("bigint"))
+    parsed = F.coalesce(text.try_cast("bigint"), exact)
     return F.when(c.isNull() | parsed.isNotNull(), parsed).otherwise(
         F.raise_error(F.concat(F.lit(f"not an integer in {name}: "), text))
     ).cast("bigint")

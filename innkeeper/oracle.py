@@ -460,7 +460,7 @@ SELECT * REPLACE (comments || chr(10) || 'the "end",' AS comments) FROM stg_revi
         "scan_csv_many": """
 SELECT *, CASE WHEN listing_id % 2 = 1 THEN listing_id || '.00' END AS price FROM stg_calendar""",
         "staging_roundtrip": "SELECT * FROM clean_reviews",
-        "cast_ids": "SELECT o_orderkey, CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_orderkey END AS parsed_id FROM orders",
+        "cast_ids": "SELECT o_orderkey, CASE o_orderstatus WHEN 'P' THEN NULL WHEN 'F' THEN o_orderkey + 9007199254740992 ELSE o_orderkey END AS parsed_id FROM orders",
         "parse_date_lenient": f"""
 SELECT o_orderkey, date_text, {date('date_text')} AS parsed_date FROM (
   SELECT o_orderkey, CASE o_orderpriority

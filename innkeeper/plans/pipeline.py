@@ -130,7 +130,7 @@ def read_staging(spark: SparkSession, path: str) -> dict[str, DataFrame]:
 
 
 def read_star(spark: SparkSession, path: str, row_counts: dict[str, int] | None = None) -> W.Star:
-    return W.Star(**files.read_tables(spark, path, dict(schemas.WAREHOUSE)), row_counts=dict(row_counts or {}))
+    return W.Star(**files.read_tables(spark, path, dict(schemas.WAREHOUSE)), row_counts=dict(row_counts or {}), path=path)
 
 
 @dataclass

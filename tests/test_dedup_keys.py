@@ -5,8 +5,9 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from innkeeper.operators.dedup import drop_exact_duplicates, duplicate_count, keep_first
+from innkeeper.operators.dedup import dense_distinct, drop_exact_duplicates, duplicate_count, keep_first
 from innkeeper.operators.keys import dense_key, layout_key
+from innkeeper.plans.warehouse import total_vs_distinct
 
 
 def test_duplicate_count_nulls_equal(spark):
@@ -144,3 +145,32 @@ def test_layout_key_small_inputs(spark, rows):
     df = spark.createDataFrame(rows, "m int, d int, k int")
     got = layout_key(df, "m", "d", ["k"], "key", piece_rows=25)
     assert sorted(r["key"] for r in got.collect()) == list(range(1, len(rows) + 1))
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_bitmap_distinct_is_exact(spark, seed):
+    rnd = random.Random(seed)
+    low, span = rnd.choice([(0, 10), (-5, 40_000), (2**40, 70_000), (20240101, 300)]), 0
+    low, span = low
+    hot = low + 3
+    data = [(None if rnd.random() < 0.03 else hot if rnd.random() < 0.33 else low + rnd.randrange(span), rnd.choice([None, 1, 2, 7])) for _ in range(rnd.choice([1, 900, 4000]))]
+    df = spark.createDataFrame(data, "a long, b int").repartition(3)
+    for cols in (["a"], ["b"], ["a", "b"]):
+        if dense_distinct(df, cols) is None:
+            assert span > 10_000
+        got = tuple(total_vs_distinct(df, cols, "t", "d").first())
+        values = {r if len(cols) > 1 else r[0] for r in ([(x[0], x[1]) if len(cols) > 1 else (x["ab".index(cols[0])],) for x in data])}
+        assert got == (len(data), len(values - {None})), (cols, seed)
+
+
+def test_bitmap_distinct_ships_no_keys(spark):
+    df = spark.range(100_000).selectExpr("cast(id % 50000 as int) AS k", "cast(20240101 + id % 28 as int) AS d")
+    for cols in (["k"], ["k", "d"]):
+        got = total_vs_distinct(df, cols, "t", "d")
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert "bitmap_construct_agg" in plan and "distinct" not in plan.lower().replace("count(distinct", "distinct")
+        assert got.first()["t"] == 100_000
+    thin = spark.range(1000).selectExpr("id * 1000003 AS k")
+    assert dense_distinct(thin, ["k"]) is None and tuple(total_vs_distinct(thin, ["k"], "t", "d").first()) == (1000, 1000)
+    assert dense_distinct(thin.selectExpr("cast(k as string) AS k"), ["k"]) is None
+    assert tuple(total_vs_distinct(thin.limit(0), ["k"], "t", "d").first()) == (0, 0)

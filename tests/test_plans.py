@@ -110,6 +110,14 @@ def test_both_foreign_keys_of_a_fact_come_from_one_scan(built):
     assert len(got) == 4
 
 
+def test_row_counts_come_from_footers(built):
+    star, _ = built
+    counts = W.table_row_counts(star)
+    plan = plan_of(counts)
+    assert plan.count("PushedAggregation: [COUNT(*)]") == 5, plan
+    assert {r["table_name"]: r["row_count"] for r in counts.collect()} == {n: df.count() for n, df in star.tables().items()}
+
+
 def test_staging_reads_only_needed_columns(built):
     _, stg = built
     plan = plan_of(W.dim_date(stg["calendar"], stg["reviews"]))

@@ -53,6 +53,18 @@ def test_integral_ids(spark, ansi):
     assert got == [12, 12, 1000, None, -7, 9223372036854775807]
 
 
+def test_integral_ids_are_exact(spark, ansi):
+    texts = ["9007199254740993.0", "9223372036854775807.000", "-9223372036854775808.", "1000e-3", "1.50e1", "0e3", "0.000", " +12.0 ", "123456789012345678.9e1"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select(C.strict_bigint("t").alias("v"))
+    assert [r.v for r in df.collect()] == [9007199254740993, 2**63 - 1, -(2**63), 1, 15, 0, 0, 12, 1234567890123456789]
+
+
+@pytest.mark.parametrize("text", ["12.0000000000000000000001", "1001e-3", "9223372036854775808.0", "1e19", ".", "e3", "1e99999999999"])
+def test_inexact_ids_raise(spark, ansi, text):
+    with pytest.raises(PySparkException, match="not an integer"):
+        spark.createDataFrame([(text,)], "t string").select(C.strict_bigint("t")).collect()
+
+
 @pytest.mark.parametrize("text", ["12.5", "abc", "", "1e30", "NaN", "inf", "9223372036854775808", "12d"])
 def test_other_ids_raise(spark, ansi, text):
     with pytest.raises(PySparkException, match="not an integer"):
