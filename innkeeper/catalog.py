@@ -521,7 +521,6 @@ def invalid_date_keys(spark, sf_dir):
 
 
 def table_row_counts(spark, sf_dir):
-    """From the footers of the published files."""
     return W.table_row_counts(_star(spark, sf_dir))
 
 

@@ -114,7 +114,7 @@ def test_row_counts_come_from_footers(built):
     star, _ = built
     counts = W.table_row_counts(star)
     plan = plan_of(counts)
-    assert plan.count("PushedAggregation: [COUNT(*)]") == 5, plan
+    assert plan.count("ReadSchema: struct<>") == plan.count("ReadSchema") == 5, plan
     assert {r["table_name"]: r["row_count"] for r in counts.collect()} == {n: df.count() for n, df in star.tables().items()}
 
 
