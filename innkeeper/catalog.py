@@ -472,7 +472,15 @@ def union_all_dates(spark, sf_dir):
 
 
 def dq_listings(spark, sf_dir):
-    return Q.validate(_b(spark, sf_dir).cleaned.listings, "listings", Q.listing_rules())
+    """V1-V4, V6 on cleaned listings with planted breaks: repeated and missing ids, no guests, fewer than no bedrooms, nights the wrong way."""
+    changes = {
+        "listing_id": "CASE WHEN listing_id % 40 = 2 THEN NULL ELSE listing_id END",
+        "accommodates": "CASE WHEN listing_id % 40 = 3 THEN 0 ELSE accommodates END",
+        "bedrooms": "CASE WHEN listing_id % 40 = 4 THEN -1 ELSE bedrooms END",
+        "minimum_nights": "CASE WHEN listing_id % 40 = 5 THEN maximum_nights + 1 ELSE minimum_nights END",
+    }
+    planted = broken(_b(spark, sf_dir).cleaned.listings, "listing_id % 40 = 1", changes)
+    return Q.validate(planted, "listings", Q.listing_rules())
 
 
 def dq_reviews(spark, sf_dir):
@@ -486,11 +494,21 @@ def dq_reviews(spark, sf_dir):
 
 
 def dq_neighbourhoods(spark, sf_dir):
-    return Q.validate(_b(spark, sf_dir).stg_neighbourhoods, "neighbourhoods", Q.neighbourhood_rules())
+    """V10/V11 with names that occur twice and names that are missing."""
+    changes = {"neighbourhood": "CASE WHEN ascii(right(neighbourhood, 1)) % 5 = 1 THEN NULL ELSE neighbourhood END"}
+    planted = broken(_b(spark, sf_dir).stg_neighbourhoods, "ascii(right(neighbourhood, 1)) % 5 = 2", changes)
+    return Q.validate(planted, "neighbourhoods", Q.neighbourhood_rules())
 
 
 def dq_calendar(spark, sf_dir):
-    return Q.validate(_b(spark, sf_dir).cleaned.calendar, "calendar", Q.calendar_rules())
+    """V5, V9, V12, V13 with missing listings, dates and flags beside the repeats that the calendar has."""
+    changes = {
+        "listing_id": "CASE WHEN listing_id % 30 = 2 THEN NULL ELSE listing_id END",
+        "date": "CASE WHEN listing_id % 30 = 3 THEN NULL ELSE date END",
+        "available": "CASE WHEN listing_id % 30 = 4 THEN NULL ELSE available END",
+    }
+    planted = broken(_b(spark, sf_dir).cleaned.calendar, "listing_id % 30 = 1", changes)
+    return Q.validate(planted, "calendar", Q.calendar_rules())
 
 
 def dq_relationships(spark, sf_dir):

@@ -255,30 +255,43 @@ WIDTHS = {
 # The same breaks that the checked star has, as CTEs named bad_<table>.
 BAD_STAR = """,
 bad_dim_neighbourhood AS (
-  SELECT * REPLACE (CASE neighbourhood_key % 10 WHEN 2 THEN NULL WHEN 3 THEN repeat('n', 256) ELSE neighbourhood END AS neighbourhood,
+  SELECT * REPLACE (CASE WHEN neighbourhood_key % 10 <> 6 THEN neighbourhood_key END AS neighbourhood_key,
+                    CASE neighbourhood_key % 10 WHEN 2 THEN NULL WHEN 3 THEN repeat('n', 256) ELSE neighbourhood END AS neighbourhood,
                     CASE neighbourhood_key % 10 WHEN 4 THEN NULL WHEN 5 THEN repeat('g', 300) ELSE neighbourhood_group END AS neighbourhood_group)
   FROM dim_neighbourhood UNION ALL SELECT * FROM dim_neighbourhood WHERE neighbourhood_key % 10 = 1),
 bad_dim_listing AS (
-  SELECT * REPLACE (CASE WHEN listing_key % 50 <> 2 THEN listing_id END AS listing_id,
+  SELECT * REPLACE (CASE WHEN listing_key % 50 <> 7 THEN listing_key END AS listing_key,
+                    CASE WHEN listing_key % 50 <> 2 THEN listing_id END AS listing_id,
                     CASE WHEN listing_key % 50 = 3 THEN repeat('h', 256) ELSE host_name END AS host_name,
                     CASE WHEN listing_key % 50 = 4 THEN repeat('p', 256) ELSE property_type END AS property_type,
                     CASE WHEN listing_key % 50 = 5 THEN repeat('r', 101) ELSE room_type END AS room_type,
                     neighbourhood_key + CASE WHEN listing_key % 50 = 6 THEN 100000 ELSE 0 END AS neighbourhood_key)
   FROM dim_listing UNION ALL SELECT * FROM dim_listing WHERE listing_key % 50 = 1),
 bad_dim_date AS (
-  SELECT * REPLACE (CASE WHEN date_key % 7 = 2 THEN -date_key ELSE date_key END AS date_key,
+  SELECT * REPLACE (CASE WHEN date_key % 11 = 8 THEN NULL WHEN date_key % 7 = 2 THEN -date_key ELSE date_key END AS date_key,
+                    CASE WHEN date_key % 11 <> 1 THEN day END AS day,
+                    CASE WHEN date_key % 11 <> 2 THEN month END AS month,
+                    CASE WHEN date_key % 11 <> 3 THEN quarter END AS quarter,
+                    CASE WHEN date_key % 11 <> 4 THEN year END AS year,
+                    CASE WHEN date_key % 11 <> 5 THEN week_of_year END AS week_of_year,
+                    CASE WHEN date_key % 11 <> 6 THEN month_key END AS month_key,
                     CASE WHEN date_key % 7 <> 3 THEN full_date END AS full_date,
-                    CASE WHEN date_key % 7 = 4 THEN repeat('m', 21) ELSE month_name END AS month_name,
+                    CASE WHEN date_key % 11 = 7 THEN NULL WHEN date_key % 7 = 4 THEN repeat('m', 21) ELSE month_name END AS month_name,
                     CASE date_key % 7 WHEN 5 THEN repeat('d', 21) WHEN 6 THEN NULL ELSE day_name END AS day_name,
                     CASE WHEN date_key % 7 <> 0 THEN day_of_week END AS day_of_week)
   FROM dim_date UNION ALL SELECT * FROM dim_date WHERE date_key % 7 = 1),
 bad_fact_reviews AS (
-  SELECT * REPLACE (CASE review_key % 40 WHEN 2 THEN -listing_key WHEN 3 THEN NULL ELSE listing_key END AS listing_key,
+  SELECT * REPLACE (CASE WHEN review_key % 40 <> 6 THEN review_key END AS review_key,
+                    CASE WHEN review_key % 40 <> 7 THEN review_id END AS review_id,
+                    CASE WHEN review_key % 40 <> 8 THEN month_key END AS month_key,
+                    CASE review_key % 40 WHEN 2 THEN -listing_key WHEN 3 THEN NULL ELSE listing_key END AS listing_key,
                     CASE WHEN review_key % 40 <> 4 THEN date_key END AS date_key,
                     CASE WHEN review_key % 40 <> 5 THEN review_count END AS review_count)
   FROM fact_reviews UNION ALL SELECT * FROM fact_reviews WHERE review_key % 40 = 1),
 bad_fact_availability AS (
-  SELECT * REPLACE (CASE WHEN availability_key % 40 = 2 THEN -listing_key ELSE listing_key END AS listing_key,
+  SELECT * REPLACE (CASE WHEN availability_key % 40 <> 5 THEN availability_key END AS availability_key,
+                    CASE WHEN availability_key % 40 <> 6 THEN month_key END AS month_key,
+                    CASE availability_key % 40 WHEN 2 THEN -listing_key WHEN 7 THEN NULL ELSE listing_key END AS listing_key,
                     CASE WHEN availability_key % 40 <> 3 THEN date_key END AS date_key,
                     CASE WHEN availability_key % 40 <> 4 THEN available END AS available)
   FROM fact_availability UNION ALL SELECT * FROM fact_availability WHERE availability_key % 40 = 1)
@@ -295,7 +308,7 @@ def _constraints() -> str:
         parts.append(_dq(name, rules, "(SELECT 1) one"))
     broken_fk = (
         "SELECT count(*) FROM bad_dim_listing WHERE neighbourhood_key IS NOT NULL AND neighbourhood_key NOT IN "
-        "(SELECT neighbourhood_key FROM bad_dim_neighbourhood)"
+        "(SELECT neighbourhood_key FROM bad_dim_neighbourhood WHERE neighbourhood_key IS NOT NULL)"
     )
     parts.append(_dq("dim_listing", [("fk_neighbourhood_key", "fatal", broken_fk)], "(SELECT 1) one"))
     parts += [_bad_keys(dim, key, rule, "fatal") for dim, key, rule in BAD_KEYS]
@@ -523,7 +536,15 @@ UNION ALL
 SELECT DISTINCT listing_id, 'calendar' AS child FROM stg_calendar
 WHERE listing_id IS NOT NULL AND listing_id NOT IN (SELECT listing_id FROM clean_listings WHERE listing_id IS NOT NULL)""",
         "union_dates": "SELECT date FROM clean_calendar UNION SELECT date FROM clean_reviews",
-        "dq_listings": _listing_rules_sql("clean_listings"),
+        "dq_listings": """,
+bad_listings AS (
+  SELECT * REPLACE (CASE WHEN listing_id % 40 <> 2 THEN listing_id END AS listing_id,
+                    CASE WHEN listing_id % 40 = 3 THEN 0 ELSE accommodates END AS accommodates,
+                    CASE WHEN listing_id % 40 = 4 THEN -1 ELSE bedrooms END AS bedrooms,
+                    CASE WHEN listing_id % 40 = 5 THEN maximum_nights + 1 ELSE minimum_nights END AS minimum_nights)
+  FROM clean_listings UNION ALL SELECT * FROM clean_listings WHERE listing_id % 40 = 1)
+"""
+        + _listing_rules_sql("bad_listings"),
         "dq_reviews": """,
 bad_reviews AS (
   SELECT * REPLACE (CASE WHEN review_id % 30 <> 2 THEN listing_id END AS listing_id, CASE WHEN review_id % 30 <> 3 THEN date END AS date)
@@ -538,23 +559,33 @@ bad_reviews AS (
             ],
             "(SELECT 1) one",
         ),
-        "dq_neighbourhoods": _dq(
+        "dq_neighbourhoods": """,
+bad_neighbourhoods AS (
+  SELECT * REPLACE (CASE WHEN ascii(right(neighbourhood, 1)) % 5 <> 1 THEN neighbourhood END AS neighbourhood)
+  FROM stg_neighbourhoods UNION ALL SELECT * FROM stg_neighbourhoods WHERE ascii(right(neighbourhood, 1)) % 5 = 2)
+"""
+        + _dq(
             "neighbourhoods",
             [
-                ("neighbourhood_not_null", "fatal", "SELECT count(*) FROM stg_neighbourhoods WHERE neighbourhood IS NULL"),
-                ("neighbourhood_group_not_null", "fatal",
-                 "SELECT count(*) FROM stg_neighbourhoods WHERE neighbourhood_group IS NULL"),
-                ("neighbourhood_unique", "fatal", _dup("neighbourhood", "stg_neighbourhoods")),
+                ("neighbourhood_not_null", "fatal", "SELECT count(*) FROM bad_neighbourhoods WHERE neighbourhood IS NULL"),
+                ("neighbourhood_group_not_null", "fatal", "SELECT count(*) FROM bad_neighbourhoods WHERE neighbourhood_group IS NULL"),
+                ("neighbourhood_unique", "fatal", _dup("neighbourhood", "bad_neighbourhoods")),
             ],
             "(SELECT 1) one",
         ),
-        "dq_calendar": _dq(
+        "dq_calendar": """,
+bad_calendar AS (
+  SELECT * REPLACE (CASE WHEN listing_id % 30 <> 2 THEN listing_id END AS listing_id, CASE WHEN listing_id % 30 <> 3 THEN date END AS date,
+                    CASE WHEN listing_id % 30 <> 4 THEN available END AS available)
+  FROM clean_calendar UNION ALL SELECT * FROM clean_calendar WHERE listing_id % 30 = 1)
+"""
+        + _dq(
             "calendar",
             [
-                ("listing_id_not_null", "fatal", "SELECT count(*) FROM clean_calendar WHERE listing_id IS NULL"),
-                ("date_not_null", "fatal", "SELECT count(*) FROM clean_calendar WHERE date IS NULL"),
-                ("available_not_null", "fatal", "SELECT count(*) FROM clean_calendar WHERE available IS NULL"),
-                ("listing_id_date_unique", "fatal", _dup("listing_id, date", "clean_calendar")),
+                ("listing_id_not_null", "fatal", "SELECT count(*) FROM bad_calendar WHERE listing_id IS NULL"),
+                ("date_not_null", "fatal", "SELECT count(*) FROM bad_calendar WHERE date IS NULL"),
+                ("available_not_null", "fatal", "SELECT count(*) FROM bad_calendar WHERE available IS NULL"),
+                ("listing_id_date_unique", "fatal", _dup("listing_id, date", "bad_calendar")),
             ],
             "(SELECT 1) one",
         ),
