@@ -3,6 +3,11 @@
 Every stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame that ``run`` writes as Parquet in
 the shared checkpoint folder and reads back as the next stage's ``docs``.  All but the last return the columns
 of ``documents``.  A stage works on all rows of its own input, also for the statistics it learns.
+
+Defined results, for every stage: NULL and empty texts aren't toxic, hold no passage and no benchmark words, and encode to no
+tokens; texts without any word have one fingerprint, so one of them stays; repeated rows are near duplicates of each other, and one stays; rows
+with a NULL id are documents like others; ties of a group go to the smallest id; empty tables give an empty table of the stage's columns;
+columns of ``documents`` beyond the five known ones are left out, whatever their names.
 """
 
 from __future__ import annotations
