@@ -52,11 +52,26 @@ def test_stages_and_planted_cases(spark, prose, tmp_path):
         assert r.token_ids == tokenizer.encode(clean[r.doc_id].text or "", add_special_tokens=False).ids and r.n_tokens == len(r.token_ids)
 
 
+def test_empty_tables_and_columns_of_clashing_names(spark, tmp_path):
+    sf = "/root/testdata/sf0.001"
+    for name in ("documents", "labels", "benchmark"):
+        df = spark.read.parquet(f"{sf}/{name}.parquet").limit(0)
+        if name == "documents":
+            for c in ("predicted", "score", "token_ids", "fp", "doc", "_doc"):
+                df = df.withColumn(c, df["doc_id"])
+        df.write.parquet(str(tmp_path / f"{name}.parquet"))
+    table = spark.read.parquet(str(tmp_path / "documents.parquet"))
+    for name, stage in P.STAGES:
+        table = P.materialise(stage(spark, table, str(tmp_path)), f"test-empty-{name}")
+        assert table.count() == 0
+    assert table.columns == ["doc_id", "lang", "source", "n_tokens", "token_ids"]
+
+
 def test_run_reads_the_given_tables(spark):
     rows = P.run(spark, "/root/testdata/sf0.001")
     assert 0 < rows.count() < 200 and "token_ids" in rows.columns
 
 
 def test_one_query_per_operator():
-    assert sorted(int(k[2:].split("_")[0]) for k in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(k[2:].split("_")[0]) for k in queries.QUERIES) == list(range(1, 14))
     assert len(P.STAGES) == 5 and not queries.ORACLE_SQL and P.ORACLE_SQL is None
