@@ -75,3 +75,11 @@ def test_run_reads_the_given_tables(spark):
 def test_one_query_per_operator():
     assert sorted(int(k[2:].split("_")[0]) for k in queries.QUERIES) == list(range(1, 14))
     assert len(P.STAGES) == 5 and not queries.ORACLE_SQL and P.ORACLE_SQL is None
+
+
+def test_a_notice_of_all_documents_hides_no_longer_repeat(spark, make_docs, prose):
+    """The third stage cuts the 50 words that each two documents share, though all share 49 of them."""
+    notice = prose(201, 49)
+    pairs = [(i, f"{prose(i, 30)} {notice} joint{i // 2} {prose(5000 + i, 30)}") for i in range(60)]
+    cut = {r.doc_id: len(r.text.split()) for r in P.cut_repeated_passages(spark, make_docs(pairs), "").collect()}
+    assert cut == {i: 60 if i % 2 else 110 for i in range(60)}
